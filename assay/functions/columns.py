@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +21,8 @@ def as_date(value: ColumnLike) -> Column:
 
 def typed(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     """Cast the named columns; a value that does not parse becomes NULL instead of an error."""
-    return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in spec.items()})
+    return df.withColumns({
+        name: F.expr(f"try_cast(`{name}` AS {kind})") for name, kind in spec.items()})
 
 
 def parse_date(col: ColumnLike, formats: Sequence[str]) -> Column:
@@ -37,9 +37,14 @@ def parse_date(col: ColumnLike, formats: Sequence[str]) -> Column:
     ])
 
 
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup(col: ColumnLike, mapping: Mapping[str, str]) -> Column:
     """Value of a small literal mapping, NULL for an unknown key."""
-    literal = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
+    literal = F.expr("map(" + ", ".join(text(x) for kv in mapping.items() for x in kv) + ")")
     return F.try_element_at(literal, as_column(col))
 
 

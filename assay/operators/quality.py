@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import text
+
 REASON = "quarantine_reason"
 
 
@@ -29,9 +31,13 @@ class Rule:
         if self.action not in ("drop", "warn", "fail"):
             raise ValueError(f"unknown action: {self.action}")
 
+    @property
+    def passing(self) -> str:
+        return f"coalesce({self.predicate}, false)"
+
     @property
     def passes(self) -> Column:
-        return F.coalesce(F.expr(self.predicate), F.lit(False))
+        return F.expr(self.passing)
 
 
 def rules_from(predicates: Mapping[str, str], action: str = "drop") -> list[Rule]:
@@ -49,7 +55,7 @@ def expect(df: DataFrame, predicates: Mapping[str, str], action: str = "drop") -
     if action == "warn":
         return df.withColumns({f"{r.name}_ok": r.passes for r in rules})
     if action == "drop":
-        return df.filter(reduce(lambda a, b: a & b, [r.passes for r in rules], F.lit(True)))
+        return df.filter(" AND ".join(["true", *[r.passing for r in rules]]))
     checks = [
         F.when(r.passes, True).otherwise(
             F.raise_error(F.lit(f"expectation failed: {r.name}")).cast("boolean"))
@@ -60,10 +66,10 @@ def expect(df: DataFrame, predicates: Mapping[str, str], action: str = "drop") -
 
 def judge(df: DataFrame, rules: Sequence[Rule], out: str = REASON) -> DataFrame:
     """Add the reason of the first failing drop rule, NULL for a clean row."""
-    reason = F.lit(None).cast("string")
-    for rule in reversed([r for r in rules if r.action == "drop"]):
-        reason = F.when(~rule.passes, F.lit(rule.reason or rule.name)).otherwise(reason)
-    return df.withColumn(out, reason)
+    cases = " ".join(f"WHEN NOT {r.passing} THEN {text(r.reason or r.name)}"
+                     for r in rules if r.action == "drop")
+    reason = f"CASE {cases} ELSE cast(NULL AS STRING) END" if cases else "cast(NULL AS STRING)"
+    return df.withColumn(out, F.expr(reason))
 
 
 def clean_rows(judged: DataFrame, reason: str = REASON) -> DataFrame:

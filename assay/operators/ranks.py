@@ -117,10 +117,12 @@ def rank_auc(df: DataFrame, score: str, label: str, decimals: int = 6) -> DataFr
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     # Twice the number of (positive, negative) pairs in the right order, ties once.
     doubled = F.sum((wide("pos") * (wide("neg_before") * 2 + wide("neg"))).cast("decimal(38,0)"))
-    zero = F.lit(0).cast("bigint")
-    totals = totals_before(counts, "__key", ["neg"]).agg(
-        F.coalesce(F.sum("pos"), zero).alias("positives"),
-        F.coalesce(F.sum("neg"), zero).alias("negatives"),
+    # Class sizes come from the running totals as well: both sides of the join inside
+    # totals_before then need the same columns, and Spark computes the counts once for the two.
+    size = lambda c: F.coalesce(
+        F.max(F.col(f"{c}_before") + F.col(c)), F.lit(0).cast("bigint"))
+    totals = totals_before(counts, "__key", ["pos", "neg"]).agg(
+        size("pos").alias("positives"), size("neg").alias("negatives"),
         doubled.alias("__doubled"))
     pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
     return totals.select(

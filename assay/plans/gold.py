@@ -70,8 +70,13 @@ def rollup_by_customer(accounts: DataFrame, txns: DataFrame) -> DataFrame:
 
 
 def with_region(customers: DataFrame, branches: DataFrame) -> DataFrame:
-    region = branches.select(F.col("branch_id").alias("home_branch_id"),
-                             F.col("branch_region").alias("region"))
+    """Add the region of the home branch.
+
+    Grouping the branches by their id keeps one row per customer should an id ever repeat, and
+    lets the optimizer drop the join where nobody asks for the region.
+    """
+    region = branches.groupBy(F.col("branch_id").alias("home_branch_id")).agg(
+        F.min("branch_region").alias("region"))
     return customers.join(region, "home_branch_id", "left")
 
 

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.values import AS_OF
+from ..operators import quality
 from ..session import new_folder, stage
 from ..sources.tables import create_database, write_table
 from . import gold, silver
@@ -47,6 +48,16 @@ class Medallion:
     def accounts(self) -> DataFrame:
         return silver.silver_accounts(self.bronze["accounts"], self.bronze["customers"])
 
+    @cached_property
+    def valid_accounts(self) -> DataFrame:
+        """Accounts that meet the balance rules, orphans included.
+
+        The gold tables join accounts to customers anyway, and that join drops the same orphans
+        as the parent check, so they skip its extra pass and shuffle.
+        """
+        rules = {r.name: r.predicate for r in silver.ACCOUNT_RULES}
+        return quality.expect(silver.parse_accounts(self.bronze["accounts"]), rules)
+
     @cached_property
     def accounts_quarantine(self) -> DataFrame:
         return silver.accounts_quarantine(self.judged_accounts)
@@ -69,12 +80,13 @@ class Medallion:
 
     @cached_property
     def customer_360(self) -> DataFrame:
-        return gold.customer_360(self.customers, self.branches, self.accounts,
+        return gold.customer_360(self.customers, self.branches, self.valid_accounts,
                                  self.transactions)
 
     @cached_property
     def facts(self) -> DataFrame:
-        return gold.transaction_facts(self.transactions, self.accounts, self.customer_360)
+        return gold.transaction_facts(
+            self.transactions, self.valid_accounts, self.customer_360)
 
     @cached_property
     def balance_by_age_band(self) -> DataFrame:

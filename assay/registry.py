@@ -407,7 +407,6 @@ def planted(raw) -> dict[str, DataFrame]:
     customers = d.plant(raw["customers"], "customer_id", PLANTED_CUSTOMERS, SEED)
     transactions = d.plant(raw["card_transactions"], "txn_id", PLANTED_TRANSACTIONS, SEED)
     return {
-        **raw,
         "customers": d.plant_copies(customers, "customer_id", "duplicate_customer_rows",
                                     CUSTOMER_COPY_RATE, SEED, STALE),
         "accounts": d.plant(raw["accounts"], "account_id", PLANTED_ACCOUNTS, SEED),

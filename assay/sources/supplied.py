@@ -6,27 +6,21 @@ columns it needs and works at any size. Rules are in FIXTURES.md, part B.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator, Mapping
 
-from ..functions.values import AS_OF, MERCHANT_CATEGORIES, SOURCE_BANKS, STATES
-
-
-def _pick(index: Column, values) -> Column:
-    """The value at a zero-based position."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+from pyspark.sql import DataFrame, SparkSession
 
-
-def _iso(date: Column) -> Column:
-    return date.cast("date").cast("string")
+from ..functions.values import AS_OF, MERCHANT_CATEGORIES, SOURCE_BANKS, STATES
 
 
-def _day(start: str, offset: Column) -> Column:
-    return F.date_add(F.lit(start).cast("date"), offset.cast("int"))
+def _array(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
+_CODES = _array(code for code, _ in STATES)
+_NAMES = _array(name for _, name in STATES)
+_BANKS = _array(SOURCE_BANKS)
+_AS_OF = f"DATE'{AS_OF}'"
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -34,120 +28,101 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("c_custkey")
-    as_of = F.lit(AS_OF).cast("date")
-    base = _read(spark, folder, "customer").select(
-        k, "c_nationkey", "c_mktsegment",
-        _day("1938-10-01", k * 7919 % 25000).alias("dob"),
-        _day("2008-10-01", k * 104729 % 6500).alias("joined"),
-        F.when(k % 11 <= 1, "switch_kit").when(k % 11 <= 5, "branch")
-         .when(k % 11 <= 8, "online").when(k % 11 == 9, "referral")
-         .otherwise("employer").alias("acquisition_channel"),
-        F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "BUILDING", "FURNITURE"), "mass_market")
-         .when(F.col("c_mktsegment") == "MACHINERY", "affluent")
-         .otherwise("private").alias("segment"))
-    days = F.datediff(as_of, F.col("joined"))
-    is_switch = F.col("acquisition_channel") == "switch_kit"
-    z = (F.lit(1.2) - F.lit(0.30) * F.least(days / F.lit(365.25), F.lit(15.0))
-         + F.lit(1.55) * (F.datediff(as_of, F.col("dob")) / F.lit(365.25) < 30).cast("double")
-         + F.lit(0.88) * is_switch.cast("double")
-         - F.lit(1.10) * (F.col("segment") != "mass_market").cast("double"))
-    u = F.conv(F.substring(F.md5(_text("L", k)), 1, 7), 16, 10).cast("bigint") / 268435456.0
-    flag = (F.when(days < 270, "")
-             .when(u < F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), "1").otherwise("0"))
-    status = (F.when((F.col("attrition_flag") == "1") & (k % 17 == 0), "reactivated")
-               .when(F.col("attrition_flag") == "1", "attrited")
-               .when(k % 9 == 1, "dormant").otherwise("active"))
-    stale = F.col("copy") == 1
-    return (base
-            .withColumn("attrition_flag", flag)
-            .withColumn("status", status)
-            .withColumn("copy", F.explode(
-                F.when(k % 100 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-            .select(
-                _text("CUST", k).alias("customer_id"),
-                _text("First", k % 38).alias("first_name"),
-                _text("Last", k % 36).alias("last_name"),
-                F.when(k % 250 == 7, "")
-                 .when(k % 500 == 11, _iso(_day("1900-01-01", k % 300)))
-                 .when(k % 20 == 3, F.date_format("dob", "MM/dd/yyyy"))
-                 .otherwise(_iso(F.col("dob"))).alias("date_of_birth"),
-                _pick(k % 5, ["F", "M", "F", "M", "X"]).alias("gender"),
-                F.when(k % 19 == 0, _pick(k % 12, [name for _, name in STATES]))
-                 .otherwise(_pick(k % 12, [code for code, _ in STATES])).alias("home_state"),
-                (k * 31 % 90000 + 10000).cast("string").alias("home_zip"),
-                _text("BR", F.col("c_nationkey")).alias("home_branch_id"),
-                "segment", "acquisition_channel",
-                F.when(is_switch & (k % 37 != 0), _pick(k % 8, SOURCE_BANKS))
-                 .otherwise("").alias("source_bank"),
-                _iso(F.col("joined")).alias("join_date"),
-                F.when(stale & (F.col("status") == "active"), "dormant")
-                 .when(stale, "active").otherwise(F.col("status")).alias("customer_status"),
-                "attrition_flag",
-                F.when(stale, "2026-05-01").otherwise("2026-09-01").alias("updated_at")))
+    base = _read(spark, folder, "customer").selectExpr(
+        "c_custkey AS k", "c_nationkey",
+        "date_add(DATE'1938-10-01', int(c_custkey * 7919 % 25000)) AS dob",
+        "date_add(DATE'2008-10-01', int(c_custkey * 104729 % 6500)) AS joined",
+        "CASE WHEN c_custkey % 11 <= 1 THEN 'switch_kit' WHEN c_custkey % 11 <= 5 THEN 'branch'"
+        " WHEN c_custkey % 11 <= 8 THEN 'online' WHEN c_custkey % 11 = 9 THEN 'referral'"
+        " ELSE 'employer' END AS acquisition_channel",
+        "CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'BUILDING', 'FURNITURE') THEN 'mass_market'"
+        " WHEN c_mktsegment = 'MACHINERY' THEN 'affluent' ELSE 'private' END AS segment")
+    outcome = base.selectExpr(
+        "*", f"datediff({_AS_OF}, joined) AS days",
+        f"1.2D - 0.30D * least(datediff({_AS_OF}, joined) / 365.25D, 15.0D)"
+        f" + 1.55D * double(datediff({_AS_OF}, dob) / 365.25D < 30)"
+        " + 0.88D * double(acquisition_channel = 'switch_kit')"
+        " - 1.10D * double(segment <> 'mass_market') AS z",
+        "bigint(conv(substring(md5(concat('L', k)), 1, 7), 16, 10)) / 268435456D AS u")
+    flagged = outcome.selectExpr(
+        "*", "CASE WHEN days < 270 THEN '' WHEN u < 1D / (1D + exp(-z)) THEN '1' ELSE '0' END"
+             " AS attrition_flag")
+    copied = flagged.selectExpr(
+        "*",
+        "CASE WHEN attrition_flag = '1' AND k % 17 = 0 THEN 'reactivated'"
+        " WHEN attrition_flag = '1' THEN 'attrited' WHEN k % 9 = 1 THEN 'dormant'"
+        " ELSE 'active' END AS status",
+        "explode(CASE WHEN k % 100 = 0 THEN array(false, true) ELSE array(false) END) AS stale")
+    return copied.selectExpr(
+        "concat('CUST', k) AS customer_id", "concat('First', k % 38) AS first_name",
+        "concat('Last', k % 36) AS last_name",
+        "CASE WHEN k % 250 = 7 THEN ''"
+        " WHEN k % 500 = 11 THEN string(date_add(DATE'1900-01-01', int(k % 300)))"
+        " WHEN k % 20 = 3 THEN date_format(dob, 'MM/dd/yyyy') ELSE string(dob) END"
+        " AS date_of_birth",
+        "array('F', 'M', 'F', 'M', 'X')[int(k % 5)] AS gender",
+        f"CASE WHEN k % 19 = 0 THEN {_NAMES}[int(k % 12)] ELSE {_CODES}[int(k % 12)] END"
+        " AS home_state",
+        "string(k * 31 % 90000 + 10000) AS home_zip",
+        "concat('BR', c_nationkey) AS home_branch_id", "segment", "acquisition_channel",
+        f"CASE WHEN acquisition_channel = 'switch_kit' AND k % 37 <> 0 THEN {_BANKS}[int(k % 8)]"
+        " ELSE '' END AS source_bank",
+        "string(joined) AS join_date",
+        "CASE WHEN NOT stale THEN status WHEN status = 'active' THEN 'dormant' ELSE 'active' END"
+        " AS customer_status",
+        "attrition_flag",
+        "CASE WHEN stale THEN '2026-05-01' ELSE '2026-09-01' END AS updated_at")
 
 
 def raw_accounts(spark: SparkSession, folder: str) -> DataFrame:
-    key, total = F.col("o_orderkey"), F.col("o_totalprice")
-    balance = (F.when(key % 300 == 0, -total).when(key % 1250 == 1, total * 100)
-                .otherwise(total))
-    priority = F.substring("o_orderpriority", 1, 1)
-    return _read(spark, folder, "orders").select(
-        _text("ACC", key).alias("account_id"),
-        F.when(key % 500 == 2, _text("CUST9", F.col("o_custkey") + 1000000))
-         .otherwise(_text("CUST", F.col("o_custkey"))).alias("customer_id"),
-        F.when(priority == "2", "savings").when(priority == "3", "money_market")
-         .when(priority == "4", "cd").otherwise("checking").alias("account_type"),
-        _iso(F.col("o_orderdate")).alias("open_date"),
-        F.lit("").alias("close_date"),
-        balance.cast("decimal(20,2)").cast("string").alias("balance"),
-        F.lit("open").alias("account_status"))
+    return _read(spark, folder, "orders").selectExpr(
+        "concat('ACC', o_orderkey) AS account_id",
+        "CASE WHEN o_orderkey % 500 = 2 THEN concat('CUST9', o_custkey + 1000000)"
+        " ELSE concat('CUST', o_custkey) END AS customer_id",
+        "CASE substring(o_orderpriority, 1, 1) WHEN '2' THEN 'savings'"
+        " WHEN '3' THEN 'money_market' WHEN '4' THEN 'cd' ELSE 'checking' END AS account_type",
+        "string(date(o_orderdate)) AS open_date", "'' AS close_date",
+        "string(cast(CASE WHEN o_orderkey % 300 = 0 THEN -o_totalprice"
+        " WHEN o_orderkey % 1250 = 1 THEN o_totalprice * 100 ELSE o_totalprice END"
+        " AS DECIMAL(20, 2))) AS balance",
+        "'open' AS account_status")
 
 
 def raw_card_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    order = F.col("l_orderkey")
-    return _read(spark, folder, "lineitem").select(
-        F.concat(_text("TXN", order), F.lit("-"), F.col("l_linenumber").cast("string"))
-         .alias("txn_id"),
-        _text("ACC", order).alias("account_id"),
-        F.when(F.col("l_returnflag") == "R", "credit").otherwise("debit").alias("card_type"),
-        _pick(F.col("l_partkey") % 4, ["online", "atm", "swipe", "contactless"])
-         .alias("channel"),
-        _pick(F.col("l_suppkey") % 9, MERCHANT_CATEGORIES).alias("merchant_category"),
-        F.col("l_extendedprice").alias("amount"),
-        _iso(F.col("l_shipdate")).alias("txn_ts"))
+    return _read(spark, folder, "lineitem").selectExpr(
+        "concat('TXN', l_orderkey, '-', l_linenumber) AS txn_id",
+        "concat('ACC', l_orderkey) AS account_id",
+        "CASE WHEN l_returnflag = 'R' THEN 'credit' ELSE 'debit' END AS card_type",
+        "array('online', 'atm', 'swipe', 'contactless')[int(l_partkey % 4)] AS channel",
+        f"{_array(MERCHANT_CATEGORIES)}[int(l_suppkey % 9)] AS merchant_category",
+        "l_extendedprice AS amount", "string(date(l_shipdate)) AS txn_ts")
 
 
 def raw_customer_events(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("event_id")
-    kind = (F.when(F.col("event_type") == "signup", "acquired")
-             .when(F.col("event_type") == "error", "attrited").otherwise("reactivated"))
-    reason = (F.when(F.col("event_type") == "signup", "switch")
-               .when(F.col("event_type") == "error", _pick(key % 5, [
-                   "fees", "rate", "service", "relocation", "competitor_offer"]))
-               .otherwise("win_back_offer"))
     return (_read(spark, folder, "events")
-            .filter(F.col("event_type").isin("signup", "error", "purchase"))
-            .select(
-                _text("EVT", key).alias("event_id"),
-                _text("CUST", F.col("user_id")).alias("customer_id"),
-                kind.alias("event_type"), _iso(F.col("ts")).alias("event_date"),
-                F.when((F.col("event_type") == "signup") & (key % 5 == 0),
-                       _pick(key % 8, SOURCE_BANKS)).otherwise("").alias("source_bank"),
-                reason.alias("reason")))
+            .filter("event_type IN ('signup', 'error', 'purchase')")
+            .selectExpr(
+                "concat('EVT', event_id) AS event_id", "concat('CUST', user_id) AS customer_id",
+                "CASE event_type WHEN 'signup' THEN 'acquired' WHEN 'error' THEN 'attrited'"
+                " ELSE 'reactivated' END AS event_type",
+                "string(date(ts)) AS event_date",
+                f"CASE WHEN event_type = 'signup' AND event_id % 5 = 0"
+                f" THEN {_BANKS}[int(event_id % 8)] ELSE '' END AS source_bank",
+                "CASE event_type WHEN 'signup' THEN 'switch' WHEN 'error' THEN array('fees',"
+                " 'rate', 'service', 'relocation', 'competitor_offer')[int(event_id % 5)]"
+                " ELSE 'win_back_offer' END AS reason"))
 
 
 def raw_branches(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    region = _read(spark, folder, "region")
     return (_read(spark, folder, "nation")
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                _text("BR", key).alias("branch_id"),
-                F.concat(F.col("n_name"), F.lit(" Branch")).alias("branch_name"),
-                _pick(key % 12, [code for code, _ in STATES]).alias("branch_state"),
-                F.col("r_name").alias("branch_region"),
-                _iso(_day("2005-01-01", key * 283 % 7000)).alias("opened_date")))
+            .withColumnRenamed("n_regionkey", "r_regionkey")
+            .join(_read(spark, folder, "region"), "r_regionkey")
+            .selectExpr(
+                "concat('BR', n_nationkey) AS branch_id",
+                "concat(n_name, ' Branch') AS branch_name",
+                f"{_CODES}[int(n_nationkey % 12)] AS branch_state", "r_name AS branch_region",
+                "string(date_add(DATE'2005-01-01', int(n_nationkey * 283 % 7000)))"
+                " AS opened_date"))
 
 
 SOURCES = {
@@ -156,5 +131,25 @@ SOURCES = {
 }
 
 
-def raw_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: view(spark, folder) for name, view in SOURCES.items()}
+class LandingViews(Mapping):
+    """The five views by source name; a view is made when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._make = {name: lambda view=view: view(spark, folder)
+                      for name, view in SOURCES.items()}
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._make)
+
+    def __len__(self) -> int:
+        return len(self._make)
+
+
+def raw_sources(spark: SparkSession, folder: str) -> LandingViews:
+    return LandingViews(spark, folder)

@@ -15,6 +15,7 @@ def make_session(cpus: int = 4) -> SparkSession:
     folder = tempfile.mkdtemp(prefix="assay-test-")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("assay-tests")
              .config("spark.ui.enabled", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "8g")
              .config("spark.checkpoint.dir", f"{folder}/checkpoints")
