@@ -90,6 +90,8 @@ class MetricView:
         rows = source.select(
             *[F.expr(d.expr).alias(name) for name, d in self.dimensions.items()],
             F.struct("*").alias(_ROW))
+        # The alias hides the source columns from the filter, which would otherwise find them.
+        rows = rows.alias("metrics")
         if where is not None:
             rows = rows.filter(F.expr(where))
         keys = [f"__d{i}" for i in range(len(by))]
