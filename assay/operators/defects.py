@@ -31,14 +31,15 @@ def _hit(key: str, name: str, rate: float, seed: int) -> Column:
     return whole_share(key, f"{seed}:{name}:") < F.lit(float(rate))
 
 
-def _hits(defect: Defect, key: str, seed: int) -> Column:
+def hits(defect: Defect, key: str, seed: int) -> Column:
+    """TRUE for the rows that the defect is planted on."""
     return _hit(key, defect.name, defect.rate, seed) & F.coalesce(
         F.expr(defect.where), F.lit(False))
 
 
 def plant(df: DataFrame, key: str, defects: Sequence[Defect], seed: int) -> DataFrame:
     """Apply the defects in order. Hits are decided on the untouched row."""
-    flags = {f"__hit_{i}": _hits(d, key, seed) for i, d in enumerate(defects)}
+    flags = {f"__hit_{i}": hits(d, key, seed) for i, d in enumerate(defects)}
     out = df.withColumns(flags)
     for i, d in enumerate(defects):
         out = out.withColumn(
@@ -65,7 +66,7 @@ def plant_copies(df: DataFrame, key: str, name: str, rate: float, seed: int,
 def planted_counts(df: DataFrame, key: str, defects: Sequence[Defect], seed: int,
                    copies: Mapping[str, float] | None = None) -> DataFrame:
     """How many rows each rule hits on the table before planting, in one pass."""
-    conditions = {d.name: _hits(d, key, seed) for d in defects}
+    conditions = {d.name: hits(d, key, seed) for d in defects}
     conditions |= {n: _hit(key, n, rate, seed) for n, rate in (copies or {}).items()}
     counts = df.agg(*[F.count_if(c).alias(f"__{i}")
                       for i, c in enumerate(conditions.values())])

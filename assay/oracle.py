@@ -618,6 +618,8 @@ FROM metrics_before b JOIN metrics_after a
         for s, r in _RAW.items()),
     "table_counts": _counts({**_TABLES, "silver_txn_quarantine": _BAD_TXNS}),
     "promote_tables": _counts(_TABLES),
+    "promote_scored": _counts({**_TABLES, "gold_customers_scored":
+                               "(SELECT * FROM c360 WHERE attrition_flag IS NULL)"}),
     "metric_by_region": f"""
 SELECT region AS "Region", {_measures(_MEASURE_SQL)} FROM c360 GROUP BY region""",
     "metric_by_all_dimensions": f"""

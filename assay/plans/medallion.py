@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.values import AS_OF
-from ..operators import quality
+from ..operators import model, quality
 from ..session import new_folder, stage
-from ..sources.tables import create_database, write_table
+from ..sources.tables import create_database, write_split, write_table
 from . import gold, silver
 
 
@@ -99,31 +100,34 @@ class Medallion:
 
 def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
           as_of=AS_OF) -> list[str]:
-    """Write the sixteen tables in dependency order and return their names.
+    """Write all bronze, silver and gold tables in dependency order and return their names.
 
-    Every layer reads the written tables of the layer before it. The judged frames are staged
-    once, so neither the dedup nor the foreign-key join runs for both the clean table and its
-    quarantine.
+    Every layer reads the written tables of the layer before it. A judged frame is written once,
+    clean and quarantined rows into folders of their own, so neither the dedup nor the
+    foreign-key join runs for both.
     """
-    create_database(spark, database, new_folder(spark, database))
-    written: dict[str, DataFrame] = {}
+    folder = new_folder(spark, database)
+    create_database(spark, database, folder)
+    names: list[str] = []
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        written[name] = write_table(df, f"{database}.{name}")
-        return written[name]
-
-    landed = {source: put(f"bronze_{source}", df) for source, df in bronze.items()}
-    lazy = Medallion(landed, as_of)
-
-    judged = stage(lazy.judged_customers, "judged-customers")
-    customers = put("silver_customers", silver.clean_customers(judged))
-    put("silver_customers_quarantine", silver.customers_quarantine(judged))
-    judged = stage(lazy.judged_accounts, "judged-accounts")
-    accounts = put("silver_accounts", silver.clean_accounts(judged))
-    put("silver_accounts_quarantine", silver.accounts_quarantine(judged))
-    judged = stage(lazy.judged_transactions, "judged-transactions")
-    transactions = put("silver_card_transactions", silver.clean_transactions(judged))
-    put("silver_txn_quarantine", silver.transactions_quarantine(judged))
+        names.append(name)
+        return write_table(df, f"{database}.{name}")
+
+    def split(name: str, judged: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
+        names.append(name)
+        return write_split(judged, f"{database}.{name}", f"{folder}/{name}_judged",
+                           F.col(quality.REASON).isNull(), columns)
+
+    lazy = Medallion({source: put(f"bronze_{source}", df) for source, df in bronze.items()},
+                     as_of)
+    customers, bad = split("silver_customers", lazy.judged_customers, silver.CUSTOMER_COLUMNS)
+    put("silver_customers_quarantine", silver.customers_quarantine(bad))
+    accounts, bad = split("silver_accounts", lazy.judged_accounts, silver.ACCOUNT_COLUMNS)
+    put("silver_accounts_quarantine", silver.accounts_quarantine(bad))
+    transactions, bad = split("silver_card_transactions", lazy.judged_transactions,
+                              silver.TRANSACTION_COLUMNS)
+    put("silver_txn_quarantine", silver.transactions_quarantine(bad))
     put("silver_customer_events", lazy.events)
     branches = put("silver_branches", lazy.branches)
 
@@ -132,4 +136,13 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
     put("gold_transaction_facts", gold.transaction_facts(transactions, accounts, c360))
     put("gold_balance_by_age_band", gold.balance_by_band(c360))
     put("gold_retention_summary", gold.retention_summary(c360))
-    return list(written)
+    return names
+
+
+def build_scored(spark: SparkSession, database: str, trees: int = 20) -> DataFrame:
+    """Train on the labelled customers of a built database and write the scores of the others."""
+    rows = stage(model.feature_table(spark.table(f"{database}.gold_customer_360")), "features")
+    labelled, open_rows = model.split_labelled(rows)
+    train, _ = model.stratified_split(labelled)
+    fitted = model.fit_churn(train, trees=trees)
+    return write_table(model.score(fitted, open_rows), f"{database}.gold_customers_scored")

@@ -44,16 +44,16 @@ _TRANSACTION_REASONS = [
     q.Rule("readable_amount", "is_money", reason="unparseable_amount"), TRANSACTION_RULES[0],
 ]
 
-_CUSTOMER_COLUMNS = [
+CUSTOMER_COLUMNS = [
     "customer_id", "first_name", "last_name", "date_of_birth", "gender", "home_state",
     "home_zip", "home_branch_id", "segment", "acquisition_channel", "source_bank", "join_date",
     "customer_status", "attrition_flag", "updated_at", "age", "age_band", "tenure_years",
     "moved_from_bank", "is_retained",
 ]
-_ACCOUNT_COLUMNS = [
+ACCOUNT_COLUMNS = [
     "account_id", "customer_id", "account_type", "open_date", "account_status", "balance",
 ]
-_TRANSACTION_COLUMNS = [
+TRANSACTION_COLUMNS = [
     "txn_id", "account_id", "card_type", "channel", "merchant_category", "amount", "txn_date",
 ]
 
@@ -93,7 +93,7 @@ def parse_customers(bronze: DataFrame, as_of=v.AS_OF) -> DataFrame:
                 "moved_from_bank": F.col("acquisition_channel") == "switch_kit",
                 "is_retained": F.col("customer_status") != "attrited",
             })
-            .select(*_CUSTOMER_COLUMNS, "dob_raw"))
+            .select(*CUSTOMER_COLUMNS, "dob_raw"))
 
 
 def judge_customers(bronze: DataFrame, as_of=v.AS_OF) -> DataFrame:
@@ -101,7 +101,7 @@ def judge_customers(bronze: DataFrame, as_of=v.AS_OF) -> DataFrame:
 
 
 def clean_customers(judged: DataFrame) -> DataFrame:
-    return q.clean_rows(judged).select(*_CUSTOMER_COLUMNS)
+    return q.clean_rows(judged).select(*CUSTOMER_COLUMNS)
 
 
 def customers_quarantine(judged: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def silver_customers_quarantine(bronze: DataFrame, as_of=v.AS_OF) -> DataFrame:
 # silver customers for the stricter reading.
 
 def parse_accounts(bronze: DataFrame) -> DataFrame:
-    return c.typed(bronze.select(*_ACCOUNT_COLUMNS), {"open_date": "date", "balance": "double"})
+    return c.typed(bronze.select(*ACCOUNT_COLUMNS), {"open_date": "date", "balance": "double"})
 
 
 def judge_accounts(bronze: DataFrame, parents: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def judge_accounts(bronze: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def clean_accounts(judged: DataFrame) -> DataFrame:
-    return q.clean_rows(judged).select(*_ACCOUNT_COLUMNS)
+    return q.clean_rows(judged).select(*ACCOUNT_COLUMNS)
 
 
 def accounts_quarantine(judged: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def parse_transactions(bronze: DataFrame) -> DataFrame:
     return (first
             .withColumn("amount", F.col("amount").try_cast("double"))
             .withColumn("txn_date", F.col("txn_ts").try_cast("date"))
-            .select(*_TRANSACTION_COLUMNS))
+            .select(*TRANSACTION_COLUMNS))
 
 
 def judge_transactions(bronze: DataFrame) -> DataFrame:
@@ -168,7 +168,7 @@ def judge_transactions(bronze: DataFrame) -> DataFrame:
 
 
 def clean_transactions(judged: DataFrame) -> DataFrame:
-    return q.clean_rows(judged).select(*_TRANSACTION_COLUMNS)
+    return q.clean_rows(judged).select(*TRANSACTION_COLUMNS)
 
 
 def transactions_quarantine(judged: DataFrame) -> DataFrame:

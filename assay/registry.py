@@ -15,7 +15,7 @@ from .operators import model as m
 from .operators import parents, profile, quality, ranks
 from .operators.dedupe import dedupe_first, dedupe_latest, top_k
 from .plans import gold, metrics, reports, silver
-from .plans.medallion import Medallion, build
+from .plans.medallion import Medallion, build, build_scored
 from .session import new_folder, stage, tune
 from .sources import landing, supplied, tables
 from .streaming import ingest
@@ -227,6 +227,15 @@ def profile_columns(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+@register
+def sample_customers(spark, folder):
+    """A few raw rows to look at."""
+    raw = supplied.raw_customers(tune(spark), folder)
+    return profile.sample_rows(raw.select(
+        "customer_id", "date_of_birth", "home_state", "segment", "acquisition_channel",
+        "source_bank", "customer_status", "updated_at"), 15)
+
+
 @register
 def duplicate_keys(spark, folder):
     raw = supplied.raw_card_transactions(tune(spark), folder)
@@ -450,7 +459,7 @@ def planted_caught(spark, folder):
     bad = silver.silver_accounts_quarantine(damaged["accounts"], damaged["customers"])
     parts = []
     for defect in PLANTED_ACCOUNTS:
-        hit = raw["accounts"].filter(d._hits(defect, "account_id", SEED)).select("account_id")
+        hit = raw["accounts"].filter(d.hits(defect, "account_id", SEED)).select("account_id")
         seen = bad.select("account_id").withColumn("caught", F.lit(True))
         parts.append(hit.join(seen, "account_id", "left").agg(
             F.count("*").alias("planted"), F.count("caught").alias("caught"))
@@ -512,8 +521,7 @@ def stream_dedupe(spark, folder):
 @register
 def landing_manifest(spark, folder):
     path = landed(spark, folder, list(supplied.SOURCES))
-    return landing.landing_manifest(
-        {s: landing.read_source(spark, path, s) for s in supplied.SOURCES})
+    return landing.landing_manifest(spark, path, list(supplied.SOURCES))
 
 
 @register
@@ -543,6 +551,16 @@ def promote_tables(spark, folder):
     return tables.promote(spark, source, target, tables.level_tables("medallion"))
 
 
+@register
+def promote_scored(spark, folder):
+    """The seventeen tables of the second level, scores included."""
+    source, _ = built(spark, folder, "assay_scored_source")
+    build_scored(spark, source)
+    target = source.replace("scored_source", "scored_target")
+    tables.create_database(spark, target, new_folder(spark, target))
+    return tables.promote(spark, source, target, tables.level_tables("scored"))
+
+
 # Metric layer.
 
 @register

@@ -31,6 +31,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input bytes per shuffle partition. Compressed Parquet grows when it is shuffled, so this keeps
+# a partition at a few hundred megabytes.
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+MAX_PARTITIONS = 200_000
+
+
+def fit_shuffles(df: DataFrame) -> DataFrame:
+    """Raise the number of shuffle partitions if ``df``'s files call for more than are set.
+
+    The size comes from the file listing, so no job runs. The setting is never lowered: adaptive
+    execution joins partitions that turn out small.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(-(-size // BYTES_PER_PARTITION), MAX_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return df
+
+
 def work_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     global _local_root

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -70,21 +72,27 @@ def export_source(df: DataFrame, landing: str, source: str, shards: int | None =
                    "csv" if source in CSV_SOURCES else "json", shards)
 
 
-def landing_manifest(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Files, bytes, rows and smallest file per source.
+def landing_manifest(spark: SparkSession, landing: str, sources: Sequence[str]) -> DataFrame:
+    """Files, bytes, rows and smallest file per expected source.
 
-    A source whose folder holds no readable row is listed with zeros, which is how a missing
+    A source whose folder is absent or holds no row is listed with zeros, which is how a missing
     delivery shows.
     """
-    spark = next(iter(frames.values())).sparkSession
-    per_file = None
-    for source, df in frames.items():
-        part = (df.select("_metadata.file_path", "_metadata.file_size")
-                  .groupBy("file_path", "file_size").agg(F.count("*").alias("row_count"))
-                  .withColumn("source", F.lit(source)))
-        per_file = part if per_file is None else per_file.unionByName(part)
-    expected = spark.createDataFrame([(s,) for s in frames], "source string")
-    totals = per_file.groupBy("source").agg(
+    parts = []
+    for source in sources:
+        try:
+            df = read_source(spark, landing, source)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        parts.append(df.select("_metadata.file_path", "_metadata.file_size")
+                       .groupBy("file_path", "file_size").agg(F.count("*").alias("row_count"))
+                       .withColumn("source", F.lit(source)))
+    expected = spark.createDataFrame([(s,) for s in sources], "source string")
+    none = expected.limit(0).selectExpr(
+        "'' AS file_path", "0L AS file_size", "0L AS row_count", "source")
+    totals = reduce(DataFrame.unionByName, parts, none).groupBy("source").agg(
         F.count("*").alias("files"), F.sum("file_size").alias("bytes"),
         F.sum("row_count").alias("row_count"),
         F.min("row_count").alias("smallest_file_rows"))

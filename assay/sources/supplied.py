@@ -11,6 +11,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.values import AS_OF, MERCHANT_CATEGORIES, SOURCE_BANKS, STATES
+from ..session import fit_shuffles
 
 
 def _array(values) -> str:
@@ -24,7 +25,7 @@ _AS_OF = f"DATE'{AS_OF}'"
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return fit_shuffles(spark.read.parquet(f"{folder}/{table}.parquet"))
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:

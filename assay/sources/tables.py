@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Promotion levels; each one includes the levels before it.
@@ -39,6 +39,24 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def write_split(df: DataFrame, name: str, path: str, keep: Column, columns: Sequence[str]
+                ) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` once, as the table ``name`` of the rows for which ``keep`` holds and a frame
+    of the others.
+
+    Both are folders of the one write, so neither the plan nor the data is gone through twice.
+    The table shows only ``columns``.
+    """
+    spark = df.sparkSession
+    df.withColumn("__keep", F.coalesce(keep, F.lit(False))).write.partitionBy("__keep").parquet(
+        path)
+    schema = df.select(*columns).schema
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=f"{path}/__keep=true", source="parquet", schema=schema)
+    whole = spark.read.schema(df.schema.add("__keep", "boolean")).parquet(path)
+    return spark.table(name), whole.filter(~F.col("__keep")).drop("__keep")
+
+
 def missing_tables(spark: SparkSession, database: str, tables: Sequence[str]) -> list[str]:
     present = {t.name for t in spark.catalog.listTables(database)}
     return [t for t in tables if t not in present]

@@ -27,14 +27,16 @@ def test_json_shards_and_manifest(spark, tmp_path):
     landing.export_source(df, str(tmp_path), "card_transactions", shards=4)
     landing.export_source(bronze(spark, "branches", {}), str(tmp_path), "branches", shards=1)
     (tmp_path / "accounts").mkdir()
-    frames = {s: landing.read_source(spark, str(tmp_path), s)
-              for s in ("card_transactions", "branches", "accounts")}
-    got = {r.source: r for r in landing.landing_manifest(frames).collect()}
+    got = {r.source: r for r in landing.landing_manifest(
+        spark, str(tmp_path), ["card_transactions", "branches", "accounts", "customers"]
+    ).collect()}
+    assert (got["customers"].files, got["customers"].landed) == (0, False)
     assert (got["card_transactions"].files, got["card_transactions"].row_count) == (4, 40)
     assert got["card_transactions"].smallest_file_rows >= 5
     assert got["card_transactions"].bytes > 0
     assert (got["accounts"].files, got["accounts"].landed) == (0, False)
-    assert frames["card_transactions"].schema["amount"].dataType.simpleString() == "double"
+    back = landing.read_source(spark, str(tmp_path), "card_transactions")
+    assert dict(back.dtypes)["amount"] == "double"
 
 
 @pytest.mark.parametrize("source", ["customers", "card_transactions"])
@@ -95,6 +97,31 @@ def test_build_and_promote(spark):
         tables.level_tables("none")
 
 
+def test_build_with_nothing_clean(spark):
+    empty = {**sources(spark), "customers": bronze(spark, "customers", dict(date_of_birth=""))}
+    build(spark, empty, "assay_test_empty")
+    assert spark.table("assay_test_empty.silver_customers").count() == 0
+    assert spark.table("assay_test_empty.silver_customers_quarantine").count() == 1
+    assert spark.table("assay_test_empty.gold_customer_360").count() == 0
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    spark.range(200000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.fit_shuffles(df)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == old
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10000)
+        session.fit_shuffles(df)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(old)
+        monkeypatch.setattr(session, "MAX_PARTITIONS", 3)
+        session.fit_shuffles(df)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(old)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_write_table_replaces_schema(spark):
     tables.create_database(spark, "assay_test_w", session.new_folder(spark, "assay_test_w"))
     tables.write_table(spark.range(3), "assay_test_w.t")
