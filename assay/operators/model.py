@@ -132,7 +132,7 @@ def _feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
     """Names of the assembled vector's slots, one-hot columns expanded."""
     metadata = model.transform(df.limit(0)).schema["raw_features"].metadata["ml_attr"]["attrs"]
     slots = sorted((a["idx"], a["name"]) for group in metadata.values() for a in group)
-    return [name.replace("_num", "").replace("_hot_", "_") for _, name in slots]
+    return [name.removesuffix("_num").replace("_hot_", "_", 1) for _, name in slots]
 
 
 def importances(model: PipelineModel, df: DataFrame, k: int = 10) -> DataFrame:

@@ -99,14 +99,16 @@ class Medallion:
 
 
 def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
-          as_of=AS_OF) -> list[str]:
+          as_of=AS_OF, location: str | None = None) -> list[str]:
     """Write all bronze, silver and gold tables in dependency order and return their names.
 
+    ``location`` is the database's folder; a new one in the shared work folder by default.
+
     Every layer reads the written tables of the layer before it. A judged frame is written once,
     clean and quarantined rows into folders of their own, so neither the dedup nor the
     foreign-key join runs for both.
     """
-    folder = new_folder(spark, database)
+    folder = location or new_folder(spark, database)
     create_database(spark, database, folder)
     names: list[str] = []
 

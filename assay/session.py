@@ -33,8 +33,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 # Input bytes per shuffle partition. Compressed Parquet grows when it is shuffled, so this keeps
 # a partition at a few hundred megabytes.
-BYTES_PER_PARTITION = 64 * 1024 * 1024
-MAX_PARTITIONS = 200_000
+BYTES_PER_PARTITION = 128 * 1024 * 1024
+# The driver keeps one bit per partition for every map task, 12 kB at this number, so more
+# partitions would cost it more than larger ones cost the executors, which can spill.
+MAX_PARTITIONS = 100_000
 
 
 def fit_shuffles(df: DataFrame) -> DataFrame:

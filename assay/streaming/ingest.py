@@ -65,9 +65,16 @@ def stream_dedupe(spark: SparkSession, path: str, schema: StructType, key: str,
     Time is the landing time of the file, so old events are never late; a key that comes again
     within ``within`` of its first arrival is dropped, and state older than that is released.
     The batch dedup keeps the first row by its own time instead.
+
+    Keys are made unique per file first: a key that fills a large part of the input is then
+    spread over as many state partitions as there are files, and sends one row per file on to
+    the step that compares files.
     """
     rows = landing_stream(spark, path, schema, fmt, max_files).select(
-        "*", F.col("_metadata.file_modification_time").alias("_landed_at"))
-    once = rows.withWatermark("_landed_at", within).dropDuplicatesWithinWatermark([key])
-    _run(once.drop("_landed_at"), out, checkpoint)
+        "*", F.col("_metadata.file_modification_time").alias("_landed_at"),
+        F.col("_metadata.file_path").alias("_source_file"))
+    once = (rows.withWatermark("_landed_at", within)
+                .dropDuplicatesWithinWatermark([key, "_source_file"])
+                .dropDuplicatesWithinWatermark([key]))
+    _run(once.drop("_landed_at", "_source_file"), out, checkpoint)
     return spark.read.schema(schema).parquet(out)

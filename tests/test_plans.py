@@ -83,8 +83,9 @@ def test_running_totals_compute_their_counts_once(spark, no_broadcast):
     assert text.count("FileScan parquet [l_orderkey") == 1
 
 
-def test_hot_account_is_split(spark, no_broadcast):
-    """One account holds a third of the transactions: the join reads it in several tasks."""
+@pytest.fixture
+def small_skew(spark):
+    """Thresholds at which test-sized partitions count as skewed."""
     settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
@@ -92,23 +93,45 @@ def test_hot_account_is_split(spark, no_broadcast):
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, value in settings.items():
         spark.conf.set(k, value)
-    try:
-        n = 30000
-        txns = spark.range(0, n, 1, 8).select(
-            F.concat(F.lit("T"), "id").alias("txn_id"), F.current_date().alias("txn_date"),
-            F.when(F.col("id") % 3 == 0, "A0")
-             .otherwise(F.concat(F.lit("A"), F.col("id") % 500)).alias("account_id"),
-            F.lit("debit").alias("card_type"), F.lit("swipe").alias("channel"),
-            F.lit("gas").alias("merchant_category"), F.lit(1.0).alias("amount"))
-        accounts = spark.range(500).select(F.concat(F.lit("A"), "id").alias("account_id"),
-                                           F.concat(F.lit("C"), "id").alias("customer_id"))
-        people = spark.range(500).select(
-            F.concat(F.lit("C"), "id").alias("customer_id"), F.lit(30).alias("age"),
-            *[F.lit("x").alias(c) for c in ("age_band", "segment", "home_state", "region")])
-        facts = gold.transaction_facts(txns, accounts, people)
-        facts.collect()
-        assert "skew=true" in plan(facts)
-        assert facts.count() == n
-    finally:
-        for k, value in old.items():
-            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+    yield
+    for k, value in old.items():
+        spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
+def test_hot_account_is_split(spark, no_broadcast, small_skew):
+    """One account holds a third of the transactions: the join reads it in several tasks."""
+    n = 30000
+    txns = spark.range(0, n, 1, 8).select(
+        F.concat(F.lit("T"), "id").alias("txn_id"), F.current_date().alias("txn_date"),
+        F.when(F.col("id") % 3 == 0, "A0")
+         .otherwise(F.concat(F.lit("A"), F.col("id") % 500)).alias("account_id"),
+        F.lit("debit").alias("card_type"), F.lit("swipe").alias("channel"),
+        F.lit("gas").alias("merchant_category"), F.lit(1.0).alias("amount"))
+    accounts = spark.range(500).select(F.concat(F.lit("A"), "id").alias("account_id"),
+                                       F.concat(F.lit("C"), "id").alias("customer_id"))
+    people = spark.range(500).select(
+        F.concat(F.lit("C"), "id").alias("customer_id"), F.lit(30).alias("age"),
+        *[F.lit("x").alias(c) for c in ("age_band", "segment", "home_state", "region")])
+    facts = gold.transaction_facts(txns, accounts, people)
+    facts.collect()
+    assert "skew=true" in plan(facts)
+    assert facts.count() == n
+
+
+def test_hot_customer_is_split_below_an_aggregate(spark, no_broadcast, small_skew):
+    """One customer holds a third of the accounts: the parent check is split although the
+    rollup that follows groups by the same key."""
+    n = 30000
+    accounts = spark.range(0, n, 1, 8).select(
+        F.concat(F.lit("A"), "id").alias("account_id"),
+        F.when(F.col("id") % 3 == 0, "C0").otherwise(F.concat(F.lit("C"), F.col("id") % 500))
+         .alias("customer_id"),
+        *[F.lit(x).alias(c) for c, x in (
+            ("account_type", "cd"), ("open_date", "2020-01-01"), ("account_status", "open"))],
+        F.round(F.rand(3) * 1e6, 2).cast("string").alias("balance"))
+    people = spark.range(400).select(F.concat(F.lit("C"), "id").alias("customer_id"))
+    rollup = gold.balance_by_customer(silver.silver_accounts(accounts, people))
+    got = {r.customer_id: r.num_accounts for r in rollup.collect()}
+    assert "skew=true" in plan(rollup)
+    assert len(got) == 400 and got["C0"] == n // 3 + sum(
+        i % 500 == 0 and i % 3 != 0 for i in range(n))

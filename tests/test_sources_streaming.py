@@ -67,6 +67,18 @@ def test_stream_dedupe_across_runs(spark, tmp_path):
     assert rows(run(), "txn_id") == [("1",), ("2",), ("3",)]
 
 
+def test_stream_dedupe_of_a_hot_key_over_many_files(spark, tmp_path):
+    land, out, progress = (str(tmp_path / n) for n in ("land", "out", "progress"))
+    rows_in = [dict(txn_id="hot" if i % 3 == 0 else f"T{i % 50}") for i in range(300)]
+    landing.export_source(bronze(spark, "card_transactions", *rows_in), land,
+                          "card_transactions", shards=6)
+    for max_files in (2, None):
+        once = ingest.stream_dedupe(
+            spark, f"{land}/card_transactions", landing.landing_schema("card_transactions"),
+            "txn_id", out, progress, max_files=max_files)
+        assert rows(once, "txn_id") == sorted({(r["txn_id"],) for r in rows_in})
+
+
 def sources(spark):
     return {
         "customers": bronze(spark, "customers", {}, dict(customer_id="C2", date_of_birth="")),
