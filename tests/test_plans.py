@@ -14,7 +14,8 @@ EAGER = {n for n in QUERIES if n.startswith(("bronze_", "stream_"))} | {
     "landing_manifest", "landing_rows", "table_counts", "promote_tables",
     "promote_scored", "churn_gbt_eval",
     "customers_scored", "risk_band_summary", "churn_watchlist", "churn_watchlist_groups",
-    "feature_importance", "logistic_baseline", "logistic_eval", "model_reload_scores"}
+    "feature_importance", "logistic_baseline", "logistic_eval", "model_reload_scores",
+    "scored_invariants"}
 
 
 def plan(df, final=False):
