@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,3 +74,23 @@ def planted_counts(df: DataFrame, key: str, defects: Sequence[Defect], seed: int
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("defect"), F.col(f"__{i}").alias("n"))
         for i, n in enumerate(conditions)])))
+
+
+def caught_counts(df: DataFrame, key: str, defects: Sequence[Defect], seed: int,
+                  quarantined: DataFrame) -> DataFrame:
+    """Per rule, the rows it hits and how many of their keys are in ``quarantined``.
+
+    ``df`` is the table before planting. One pass and one join serve all rules.
+    """
+    flags = [hits(d, key, seed).alias(f"__{i}") for i, d in enumerate(defects)]
+    hit = df.select(key, *flags).filter(
+        reduce(lambda a, b: a | b, [F.col(f"__{i}") for i in range(len(defects))]))
+    seen = quarantined.select(key).distinct().withColumn("__seen", F.lit(True))
+    counts = hit.join(seen, key, "left").agg(
+        *[F.count_if(F.col(f"__{i}")).alias(f"__n{i}") for i in range(len(defects))],
+        *[F.count_if(F.col(f"__{i}") & F.col("__seen")).alias(f"__c{i}")
+          for i in range(len(defects))])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(d.name).alias("defect"), F.col(f"__n{i}").alias("planted"),
+                 F.col(f"__c{i}").alias("caught"))
+        for i, d in enumerate(defects)])))

@@ -457,14 +457,7 @@ def planted_caught(spark, folder):
     raw = supplied.raw_sources(tune(spark), folder)
     damaged = planted(raw)
     bad = silver.silver_accounts_quarantine(damaged["accounts"], damaged["customers"])
-    parts = []
-    for defect in PLANTED_ACCOUNTS:
-        hit = raw["accounts"].filter(d.hits(defect, "account_id", SEED)).select("account_id")
-        seen = bad.select("account_id").withColumn("caught", F.lit(True))
-        parts.append(hit.join(seen, "account_id", "left").agg(
-            F.count("*").alias("planted"), F.count("caught").alias("caught"))
-            .select(F.lit(defect.name).alias("defect"), "planted", "caught"))
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return d.caught_counts(raw["accounts"], "account_id", PLANTED_ACCOUNTS, SEED, bad)
 
 
 # Landing, bronze, tables.

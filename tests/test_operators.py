@@ -221,3 +221,15 @@ def test_plant_counts_what_it_plants(spark):
     again = d.plant(df, "k", rules, seed=1)
     assert damaged.exceptAll(again).count() == 0
     assert damaged.exceptAll(d.plant(df, "k", rules, seed=2)).count() > 0
+
+
+def test_caught_counts(spark):
+    df = spark.range(2000).select(F.concat(F.lit("K"), "id").alias("k"), F.lit("5").alias("v"))
+    rules = [d.Defect("seen", "v", "'x'", 0.05), d.Defect("unseen", "v", "'9'", 0.02)]
+    damaged = d.plant(df, "k", rules, seed=4)
+    bad = damaged.filter("v = 'x'")
+    got = {r.defect: r for r in d.caught_counts(df, "k", rules, 4, bad.unionAll(bad)).collect()}
+    counts = dict(rows(d.planted_counts(df, "k", rules, 4)))
+    assert {n: r.planted for n, r in got.items()} == counts
+    both = df.filter(d.hits(rules[0], "k", 4) & d.hits(rules[1], "k", 4)).count()
+    assert (got["seen"].caught, got["unseen"].caught) == (counts["seen"] - both, 0)
