@@ -25,7 +25,7 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     spans = F.col("__spans")
-    counts = [F.size(F.filter(spans, lambda s, i=i: s["kind"] == i)).cast("bigint")
+    counts = [F.size(F.filter(spans["kind"], F.lit(i).__eq__)).cast("bigint")
               .alias(f"n_{r.kind}") for i, r in enumerate(RULES)]
     return scan_secrets(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", *counts, spans_text(spans).alias("spans")).withColumn(
