@@ -1 +1,10 @@
-"""Operators and queries for preparing training data."""
+"""Operators and queries for preparing training data.
+
+Functions that run in tasks travel with the job, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,9 +9,15 @@ from .common import table
 from .lines import dedup_lines
 from .mixing import mix
 from .secrets import RULES, scan_secrets, spans_text
+from .simhash import near_duplicates
 from .warc import archive_pages
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents").select("doc_id", "source")).select(
         "doc_id", "source", "__mix.*")
@@ -38,5 +44,5 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op5_mixing": op5_mixing, "op7_warc": op7_warc, "op9_secrets": op9_secrets,
+QUERIES = {"op3_simhash": op3_simhash, "op5_mixing": op5_mixing, "op7_warc": op7_warc, "op9_secrets": op9_secrets,
            "op10_lines": op10_lines}
