@@ -10,6 +10,7 @@ from .lines import dedup_lines
 from .mixing import mix
 from .secrets import RULES, scan_secrets, spans_text
 from .simhash import near_duplicates
+from .toxicity import THRESHOLD, held_out, score_docs
 from .warc import archive_pages
 
 
@@ -23,6 +24,12 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "source", "__mix.*")
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_docs(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     _, records = archive_pages(table(spark, folder, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type",
@@ -44,5 +51,5 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op5_mixing": op5_mixing, "op7_warc": op7_warc, "op9_secrets": op9_secrets,
+QUERIES = {"op3_simhash": op3_simhash, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity, "op7_warc": op7_warc, "op9_secrets": op9_secrets,
            "op10_lines": op10_lines}
