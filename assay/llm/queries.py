@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import round_trip
 from .common import table
 from .lines import dedup_lines
 from .mixing import mix
@@ -19,6 +21,18 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Per document the number and digests of its ids and of the bytes decoded from them."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return round_trip(docs, path, public_tokenizers.PATTERN).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents").select("doc_id", "source")).select(
         "doc_id", "source", "__mix.*")
@@ -51,5 +65,5 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity, "op7_warc": op7_warc, "op9_secrets": op9_secrets,
+QUERIES = {"op3_simhash": op3_simhash, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity, "op7_warc": op7_warc, "op9_secrets": op9_secrets,
            "op10_lines": op10_lines}
