@@ -66,6 +66,22 @@ SELECT page_id, bytes AS payload_bytes, d AS payload_digest,
        CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (d)""",
+    "op8_repeats": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+f AS (SELECT h, min(doc_id) AS first FROM g GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM g JOIN f USING (h)
+         WHERE doc_id > first),
+k AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+j AS (SELECT k.doc_id, count(*) AS n,
+             string_agg(word, ' ' ORDER BY k.i) FILTER (WHERE gone.i IS NULL) AS kept,
+             count(gone.i) AS removed
+      FROM k LEFT JOIN gone ON gone.doc_id = k.doc_id AND gone.i = k.i GROUP BY k.doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_words, coalesce(removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN j USING (doc_id)""",
     "op9_secrets": f"""
 WITH m AS ({_matches(0, _ASSIGN, 2, 6)} UNION ALL {_matches(1, "AKIA[A-Z0-9]+", 0, 20)}
            UNION ALL {_matches(2, "[0-9a-f]+", 0, 24)}),

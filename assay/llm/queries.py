@@ -10,6 +10,7 @@ from .bpe import round_trip
 from .common import table
 from .lines import dedup_lines
 from .mixing import mix
+from .repeats import drop_repeats
 from .secrets import RULES, scan_secrets, spans_text
 from .simhash import near_duplicates
 from .toxicity import THRESHOLD, held_out, score_docs
@@ -50,6 +51,11 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
                           "refers_to")
 
 
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     spans = F.col("__spans")
     counts = [F.size(F.filter(spans["kind"], F.lit(i).__eq__)).cast("bigint")
@@ -65,5 +71,5 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity, "op7_warc": op7_warc, "op9_secrets": op9_secrets,
+QUERIES = {"op3_simhash": op3_simhash, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity, "op7_warc": op7_warc, "op8_repeats": op8_repeats, "op9_secrets": op9_secrets,
            "op10_lines": op10_lines}
