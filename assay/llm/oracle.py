@@ -21,6 +21,15 @@ FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps,
 
 
 ORACLE = {
+    "op2_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+           FROM embeddings WHERE embedding IS NOT NULL AND
+           len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+             ::INTEGER AS rank, vec_id, score FROM p)
+SELECT * FROM r WHERE rank <= 20""",
     "op5_mixing": f"""
 WITH RECURSIVE named(source, pool, weight) AS (VALUES {_POOLS}),
 d AS (

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .bpe import round_trip
 from .common import table
 from .lines import dedup_lines
@@ -13,10 +14,20 @@ from .mixing import mix
 from .repeats import drop_repeats
 from .secrets import RULES, scan_secrets, spans_text
 from .simhash import near_duplicates
+from .topk import top_products
 from .toxicity import THRESHOLD, held_out, score_docs
 from .warc import archive_pages
 
 
+def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"))
+
+
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products(table(spark, folder, "embeddings")).withColumn(
+        "score", F.col("score").cast("bigint"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -71,5 +82,9 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity, "op7_warc": op7_warc, "op8_repeats": op8_repeats, "op9_secrets": op9_secrets,
-           "op10_lines": op10_lines}
+QUERIES = {
+    "op1_nearest": op1_nearest, "op2_topk": op2_topk, "op3_simhash": op3_simhash,
+    "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity,
+    "op7_warc": op7_warc, "op8_repeats": op8_repeats, "op9_secrets": op9_secrets,
+    "op10_lines": op10_lines,
+}
