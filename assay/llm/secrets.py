@@ -52,11 +52,15 @@ def trigram_query(pattern: str, limit: int = 64) -> list[frozenset[str]] | None:
     """Sets of lower-case trigrams, of which every match of ``pattern`` contains at least one in
     full; None if the pattern has no such sets.
 
-    The pattern's leading part is expanded into the strings it can match, up to ``limit``.
+    The pattern's leading part is expanded into the strings it can match, up to ``limit``. A set
+    that holds another one whole adds nothing and is left out.
     """
     strings, _ = _expand(list(re._parser.parse(pattern)), limit)
     sets = [frozenset(s[i:i + 3] for i in range(len(s) - 2)) for s in strings]
-    return None if not sets or not all(sets) else sets
+    if not all(sets):
+        return None
+    least = [s for s in dict.fromkeys(sets) if not any(o < s for o in sets)]
+    return least or None
 
 
 def _expand(nodes: list, limit: int) -> tuple[list[str], bool]:

@@ -4,7 +4,8 @@ The positives are documents confirmed toxic; the unlabelled set is drawn from al
 training, whatever their labels, so toxic ones are in it at the class prior. The prior is the share
 of toxic rows among all labelled rows open to training. Words and their beginnings are features; the
 corrected rate of a feature among clean documents is (unlabelled rate - prior * positive rate) /
-(1 - prior), at least zero, and only features that positives hold far more often take part. Linear
+(1 - prior), at least zero, and only features that positives hold far more often, and more often than
+chance can explain, take part; near copies of a positive count once. Linear
 numpy classifiers are then trained on the risk
 
     prior * E_pos[loss+] + max(0, E_unl[loss-] - prior * E_pos[loss-])
@@ -22,8 +23,10 @@ score is 0. Labels that contradict each other count as toxic. Repeated rows scor
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,11 @@ MAX_UNLABELLED = 8_000
 MAX_FEATURES = 4_096
 MIN_DOCS = 3       # positives that hold a feature
 PSEUDO = 3.0       # unlabelled documents added to those that hold a feature
-MIN_Z = 6.0        # by how many deviations they are more than unlabelled documents suggest
+CHANCE = 1.0       # features that may pass by chance, of all that are tried
 MIN_RATIO = 3.0    # of the positive rate to the corrected clean rate
+RARE = 0.02        # share of documents that a rare feature may be in
+ODD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
+       0xA0761D6478BD642F, 0xE7037ED1A0B428DB)  # multipliers of the hashes
 CLASSIFIERS = 3
 STEPS = 400
 RATE = 0.1
@@ -101,9 +107,29 @@ def score(text: Column, model: Model) -> Column:
     return of(text)
 
 
+def originals(docs: list[np.ndarray]) -> list[np.ndarray]:
+    """``docs`` without near copies of earlier ones, which would make a chance word look frequent:
+    those that have the smallest rare feature under two of the hashes in common with one."""
+    ids, counts = np.unique(np.concatenate([np.empty(0, np.int64), *docs]), return_counts=True)
+    rare = ids[counts <= max(2, RARE * len(docs))]
+    seen: dict[tuple[int, int], list[int]] = {}
+    kept = []
+    for i, doc in enumerate(docs):
+        own = doc[np.isin(doc, rare, assume_unique=True)].view(np.uint64)
+        marks = [(k, int((own * np.uint64(odd)).min())) for k, odd in enumerate(ODD)] \
+            if len(own) else []
+        shared = Counter(chain.from_iterable(seen.get(m, []) for m in marks))
+        if max(shared.values(), default=0) < 2:
+            kept.append(doc)
+            for mark in marks:
+                seen.setdefault(mark, []).append(i)
+    return kept
+
+
 def choose(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> np.ndarray:
     """The features to train on."""
     ids, n_pos = np.unique(np.concatenate(pos), return_counts=True)
+    tried = max(len(ids), 1)
     ids, n_pos = ids[n_pos >= MIN_DOCS], n_pos[n_pos >= MIN_DOCS]
     every = np.concatenate([np.empty(0, np.int64), *unl])
     found, counts = np.unique(every[np.isin(every, ids)], return_counts=True)
@@ -111,10 +137,12 @@ def choose(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> np.nda
     n_unl[np.searchsorted(ids, found)] = counts
     rate_pos, rate_unl = n_pos / len(pos), (n_unl + PSEUDO) / (len(unl) + PSEUDO)
     expected = rate_unl * len(pos)
-    z = (n_pos - expected) / np.sqrt(expected)
+    # Chernoff's bound on the chance that a feature as common as among unlabelled documents is in
+    # so many positives, as a negative logarithm.
+    surprise = np.where(n_pos > expected, n_pos * np.log(n_pos / expected) - n_pos + expected, 0)
     clean = np.maximum(rate_unl - prior * rate_pos, 0) / max(1 - prior, 1e-9)
-    good = (z >= MIN_Z) & (rate_pos >= MIN_RATIO * (clean + 1 / (len(unl) + 1)))
-    order = np.lexsort((ids, -z))
+    good = (surprise >= np.log(tried / CHANCE)) & (rate_pos >= MIN_RATIO * (clean + 1 / (len(unl) + 1)))
+    order = np.lexsort((ids, -surprise))
     return np.sort(ids[order[good[order]][:MAX_FEATURES]])
 
 
@@ -160,6 +188,7 @@ def train(pos: tuple, unl: tuple, width: int, prior: float, seed: int) -> tuple[
 
 
 def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> Model:
+    pos = originals(pos)
     features = choose(pos, unl, prior)
     parts = _rows(pos, features), _rows(unl, features)
     trained = [train(*parts, len(features), prior, seed) for seed in range(CLASSIFIERS)]
