@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ..session import new_folder
 
 MAX_VOCABULARY = 1 << 20
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 6 << 20
 PIECE_CHARS = 1 << 20
 BATCH_BYTES = 8 << 20
 CACHE_WORDS = 1 << 18
