@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
+    Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,8 @@ from ..functions.columns import clean_numeric, fill_defaults, threshold_band, wh
 from ..functions.features import churn_features
 from .ranks import rank_auc
 
-# An indexer keeps its categories on the driver, so their number is checked first.
+# An indexer keeps its categories on the driver. A column with more of them than this is hashed
+# into as many.
 MAX_CATEGORIES = 10_000
 
 
@@ -56,35 +57,40 @@ def stratified_split(df: DataFrame, label: str = v.CHURN_LABEL, key: str = "cust
             split.filter("split = 'test'").drop("split"))
 
 
-def _check_training(train: DataFrame, label: str, categorical: Sequence[str]) -> None:
-    """Two classes, and few enough categories to index; both from one aggregate."""
+def _wide_columns(train: DataFrame, label: str, categorical: Sequence[str]) -> list[str]:
+    """Columns with too many categories to index; refuses a label of one class. One aggregate."""
     seen = train.agg(F.min(label).alias("low"), F.max(label).alias("high"),
                      *[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
     if seen["low"] is None or seen["low"] == seen["high"]:
         raise ValueError("the label has fewer than two classes")
-    wide = [c for c in categorical if seen[c] > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"too many categories to index: {wide}")
+    return [c for c in categorical if seen[c] > MAX_CATEGORIES]
 
 
 def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CHURN_NUMERIC,
               categorical: Sequence[str] = v.CHURN_CATEGORICAL, label: str = v.CHURN_LABEL,
-              trees: int = 20, seed: int = 42) -> PipelineModel:
+              trees: int = 100, seed: int = 42) -> PipelineModel:
     """Median imputation, one-hot categories (unseen ones get no column) and a classifier.
 
+    Columns of very many categories are hashed first (MAX_CATEGORIES).
+
     Stage the training table first: every step of the fit reads it.
     """
     if algo not in ("gbt", "logistic"):
         raise ValueError(f"unknown algorithm: {algo}")
-    _check_training(train, label, categorical)
-    steps = [Imputer(strategy="median", inputCols=list(numeric),
+    wide = _wide_columns(train, label, categorical)
+    steps = [SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"string(pmod(xxhash64(`{c}`), {MAX_CATEGORIES})) AS `{c}_hashed`" for c in wide)
+        + " FROM __THIS__")] if wide else []
+    steps += [Imputer(strategy="median", inputCols=list(numeric),
                      outputCols=[f"{c}_num" for c in numeric])]
     assembled = [f"{c}_num" for c in numeric]
     if categorical:
         steps += [
-            StringIndexer(inputCols=list(categorical), handleInvalid="keep",
+            StringIndexer(inputCols=[f"{c}_hashed" if c in wide else c for c in categorical],
+                          handleInvalid="keep",
                           outputCols=[f"{c}_idx" for c in categorical]),
-            OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], handleInvalid="keep",
+            # The place for unseen categories is the last, which is dropped.
+            OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical],
                           outputCols=[f"{c}_hot" for c in categorical]),
         ]
         assembled += [f"{c}_hot" for c in categorical]
@@ -120,7 +126,7 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = v.CHURN_LABEL) -> DataFrame:
     """Exact AUC on the test rows, with a verdict on suspicious values."""
-    auc = rank_auc(score(model, test), "churn_score", label, decimals=9)
+    auc = rank_auc(score(model, test), "churn_score", label)
     return auc.withColumn(
         "verdict",
         F.when(F.isnan("auc"), "one class only")
@@ -141,16 +147,18 @@ def importances(model: PipelineModel, df: DataFrame, k: int = 10) -> DataFrame:
     return _ranked(df.sparkSession, _feature_names(model, df), weights, "importance", k)
 
 
-def coefficients(model: PipelineModel, df: DataFrame, k: int = 10) -> DataFrame:
-    """Named standardised coefficients of a logistic model, greatest size first."""
+def coefficients(model: PipelineModel, df: DataFrame, k: int | None = None) -> DataFrame:
+    """Named standardised coefficients of a logistic model, greatest size first; all of them
+    unless ``k`` asks for fewer."""
     weights = model.stages[-1].coefficients.toArray()
     return _ranked(df.sparkSession, _feature_names(model, df), weights, "coefficient", k)
 
 
-def _ranked(spark: SparkSession, names, weights, out: str, k: int) -> DataFrame:
+def _ranked(spark: SparkSession, names, weights, out: str, k: int | None) -> DataFrame:
     pairs = [(n, float(w)) for n, w in zip(names, weights, strict=True)]
-    return (spark.createDataFrame(pairs, f"feature string, {out} double")
-            .orderBy(F.abs(out).desc(), "feature").limit(k))
+    ranked = (spark.createDataFrame(pairs, f"feature string, {out} double")
+              .orderBy(F.abs(out).desc(), "feature"))
+    return ranked if k is None else ranked.limit(k)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -22,11 +22,14 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def tag_orphans(child: DataFrame, parent: DataFrame, key: str,
                 out: str = "is_orphan") -> DataFrame:
-    """Every child row with a flag that says whether its parent is missing."""
-    known = parent.select(F.col(key).alias("__parent_key")).distinct()
-    return (child.join(known, F.col(key) == F.col("__parent_key"), "left")
-                 .withColumn(out, F.col("__parent_key").isNull())
-                 .drop("__parent_key"))
+    """Every child row with a flag that says whether its parent is missing.
+
+    A semi and an anti join on the parents as they are: both sides are shuffles that AQE can
+    split, which an aggregate that makes the parents unique would prevent. Spark shuffles the
+    children once for the two.
+    """
+    return with_parent(child, parent, key).withColumn(out, F.lit(False)).unionAll(
+        orphans(child, parent, key).withColumn(out, F.lit(True)))
 
 
 def orphan_count(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

@@ -1,10 +1,9 @@
 """Exact order statistics without sorting a group, or the table, in one task.
 
 Values are first counted per distinct value (with a map-side combine, so a value that fills a
-third of the table costs one row). Values are then integers at a fixed number of decimals, and
-running totals are taken on two levels: over blocks of ``2**BLOCK_BITS`` neighbouring values,
-and inside each block. The window inside a block holds at most ``2**BLOCK_BITS`` rows; the
-window over blocks holds the range of the values divided by that.
+third of the table costs one row). The counts are dealt out by ranges of the values and staged with
+the number of their range. Running totals are then taken on two levels: over the totals of the
+ranges, of which there are as many as shuffle partitions, and inside each range.
 """
 
 from __future__ import annotations
@@ -14,13 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 16
-_ALL = "__all"
+from ..session import stage
 
-
-def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Without grouping columns, group by a constant so that both cases share one plan."""
-    return (df, list(by)) if by else (df.withColumn(_ALL, F.lit(1)), [_ALL])
+_RANGE = "__range"
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,99 +25,79 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(renamed, condition).drop(*[f"__r_{k}" for k in keys])
 
 
-def exact_percentile(df: DataFrame, by: Sequence[str], col: str, q: float = 0.5,
-                     decimals: int = 2, out: str = "percentile") -> DataFrame:
-    """Exact interpolated percentile of ``col`` per group; NULLs do not count.
+def totals_before(counts: DataFrame, by: Sequence[str], key: str, cols: Sequence[str]
+                  ) -> DataFrame:
+    """Add ``<col>_before``: the total of ``col`` over all smaller values of ``key`` in the group.
 
-    Values are compared at ``decimals`` decimals. Groups without any value are absent.
+    ``counts`` has one row per group and ``key``.
     """
-    if not 0 <= q <= 1:
-        raise ValueError("q must lie between 0 and 1")
-    unit = 10 ** decimals
-    source, keys = _grouped(df, by)
-    values = source.select(*keys, F.round(F.col(col) * unit).cast("bigint").alias("__v"))
-    counts = values.filter("__v IS NOT NULL").groupBy(*keys, "__v").agg(
-        F.count("*").alias("__n"))
-    counts = counts.withColumn("__block", F.shiftright("__v", BLOCK_BITS))
-
-    blocks = counts.groupBy(*keys, "__block").agg(F.sum("__n").alias("__bn"))
-    ahead = (Window.partitionBy(*keys).orderBy("__block")
+    width = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(counts.repartitionByRange(width, *by, key)
+                   .withColumn(_RANGE, F.spark_partition_id()), "ranges")
+    sums = ranged.groupBy(*by, _RANGE).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
+    ahead = (Window.partitionBy(*by).orderBy(_RANGE)
                    .rowsBetween(Window.unboundedPreceding, -1))
-    group = Window.partitionBy(*keys)
-    position = F.lit(float(q)) * (F.sum("__bn").over(group) - 1)
-    wanted = (blocks
-              .withColumns({"__start": F.coalesce(F.sum("__bn").over(ahead), F.lit(0)),
-                            "__position": position})
-              .withColumns({"__low": F.floor("__position"), "__high": F.ceil("__position")})
-              .filter("__start <= __high AND __start + __bn > __low")
-              .drop("__bn"))
-
-    inside = (Window.partitionBy(*keys, "__block").orderBy("__v")
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    ranked = _match(counts, wanted, [*keys, "__block"]).withColumn(
-        "__from", F.col("__start") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-
-    def at(index: str):
-        return F.max(F.when((F.col("__from") <= F.col(index))
-                            & (F.col("__from") + F.col("__n") > F.col(index)), F.col("__v")))
-
-    weight = F.col("__p") - F.floor("__p")
-    picked = ranked.groupBy(*keys).agg(
-        F.max("__position").alias("__p"), at("__low").alias("__a"), at("__high").alias("__b"))
-    value = (F.col("__a") * (F.lit(1.0) - weight) + F.col("__b") * weight) / F.lit(float(unit))
-    return picked.select(*by, value.alias(out))
-
-
-def totals_before(counts: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Add ``<col>_before``: the total of ``col`` over all smaller values of the integer ``key``.
-
-    ``counts`` has one row per distinct ``key``.
-    """
-    source = counts.withColumns({_ALL: F.lit(1), "__block": F.shiftright(key, BLOCK_BITS)})
-    blocks = source.groupBy(_ALL, "__block").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    ahead = (Window.partitionBy(_ALL).orderBy("__block")
-                   .rowsBetween(Window.unboundedPreceding, -1))
-    starts = blocks.select("__block", *[
+    starts = sums.select(*by, _RANGE, *[
         F.coalesce(F.sum(f"__t_{c}").over(ahead), F.lit(0)).alias(f"__s_{c}") for c in cols])
-    inside = (Window.partitionBy("__block").orderBy(key)
+    inside = (Window.partitionBy(*by, _RANGE).orderBy(key)
                     .rowsBetween(Window.unboundedPreceding, -1))
-    return (source.join(starts, "__block")
+    return (_match(ranged, starts, [*by, _RANGE])
             .withColumns({
                 f"{c}_before": F.col(f"__s_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))
                 for c in cols})
-            .drop("__block", _ALL, *[f"__s_{c}" for c in cols]))
+            .drop(_RANGE, *[f"__s_{c}" for c in cols]))
+
+
+def exact_percentile(df: DataFrame, by: Sequence[str], expr: str, q: float = 0.5,
+                     out: str = "percentile") -> DataFrame:
+    """Exact interpolated percentile, per group, of a SQL expression as a double; NULLs and NaNs do
+    not count. Groups without any value are absent."""
+    if not 0 <= q <= 1:
+        raise ValueError("q must lie between 0 and 1")
+    values = df.select(*by, F.expr(expr).cast("double").alias("__v"))
+    counts = values.filter("__v IS NOT NULL AND NOT isnan(__v)").groupBy(*by, "__v").agg(
+        F.count("*").alias("n"))
+    ranked = totals_before(counts, by, "__v", ["n"]).withColumn("__all", F.lit(1))
+    keys = [*by, "__all"]  # so that no groups and some share one plan
+    # The size of a group is where its last value ends.
+    sizes = ranked.groupBy(*keys).agg(F.max(F.col("n_before") + F.col("n")).alias("__size"))
+    placed = _match(ranked, sizes, keys).withColumn(
+        "__p", F.lit(float(q)) * (F.col("__size") - 1))
+
+    def at(index):
+        return F.max(F.when((F.col("n_before") <= index)
+                            & (F.col("n_before") + F.col("n") > index), F.col("__v")))
+
+    picked = placed.groupBy(*keys).agg(
+        F.max("__p").alias("__p"), at(F.floor("__p")).alias("__a"), at(F.ceil("__p")).alias("__b"))
+    weight = F.col("__p") - F.floor("__p")
+    value = F.when(weight == 0, F.col("__a")).otherwise(
+        F.col("__a") * (F.lit(1.0) - weight) + F.col("__b") * weight)
+    return picked.select(*by, value.alias(out))
 
 
-def average_rank(df: DataFrame, score: str, decimals: int = 6) -> DataFrame:
+def average_rank(df: DataFrame, score: str) -> DataFrame:
     """One row per distinct score: how many rows have it, and their average rank from 1."""
-    unit = 10 ** decimals
-    counts = (df.filter(F.col(score).isNotNull())
-                .groupBy(F.round(F.col(score) * unit).cast("bigint").alias("__key"))
-                .agg(F.count("*").alias("n")))
-    return totals_before(counts, "__key", ["n"]).select(
-        (F.col("__key") / F.lit(float(unit))).alias(score), "n",
-        (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"))
+    counts = df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n"))
+    return totals_before(counts, [], score, ["n"]).select(
+        score, "n", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"))
 
 
-def rank_auc(df: DataFrame, score: str, label: str, decimals: int = 6) -> DataFrame:
+def rank_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the ROC curve by the Mann-Whitney count, ties counted half.
 
     One row with positives, negatives and auc, which is NaN when a class is absent.
     """
-    unit = 10 ** decimals
     counts = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-                .groupBy(F.round(F.col(score) * unit).cast("bigint").alias("__key"))
+                .groupBy(F.col(score).alias("__key"))
                 .agg(F.count_if(F.col(label) == 1).alias("pos"),
                      F.count_if(F.col(label) != 1).alias("neg")))
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     # Twice the number of (positive, negative) pairs in the right order, ties once.
     doubled = F.sum((wide("pos") * (wide("neg_before") * 2 + wide("neg"))).cast("decimal(38,0)"))
-    # Class sizes come from the running totals as well: both sides of the join inside
-    # totals_before then need the same columns, and Spark computes the counts once for the two.
-    size = lambda c: F.coalesce(
-        F.max(F.col(f"{c}_before") + F.col(c)), F.lit(0).cast("bigint"))
-    totals = totals_before(counts, "__key", ["pos", "neg"]).agg(
-        size("pos").alias("positives"), size("neg").alias("negatives"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+    totals = totals_before(counts, [], "__key", ["pos", "neg"]).agg(
+        total("pos").alias("positives"), total("neg").alias("negatives"),
         doubled.alias("__doubled"))
     pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
     return totals.select(

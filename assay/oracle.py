@@ -155,15 +155,16 @@ FROM lineitem""",
     "raw_events": f"""
 SELECT 'EVT' || event_id AS event_id, 'CUST' || user_id AS customer_id,
   CASE event_type WHEN 'signup' THEN 'acquired' WHEN 'error' THEN 'attrited'
-       ELSE 'reactivated' END AS event_type,
+       WHEN 'purchase' THEN 'reactivated' WHEN 'view' THEN 'statement_viewed'
+       ELSE 'offer_opened' END AS event_type,
   strftime(ts, '%Y-%m-%d') AS event_date,
   CASE WHEN event_type = 'signup' AND event_id % 5 = 0 THEN ({_BANKS})[event_id % 8 + 1]
        ELSE '' END AS source_bank,
   CASE event_type WHEN 'signup' THEN 'switch'
        WHEN 'error' THEN (['fees', 'rate', 'service', 'relocation',
                            'competitor_offer'])[event_id % 5 + 1]
-       ELSE 'win_back_offer' END AS reason
-FROM events WHERE event_type IN ('signup', 'error', 'purchase')""",
+       WHEN 'purchase' THEN 'win_back_offer' ELSE '' END AS reason
+FROM events""",
     "raw_branches": f"""
 SELECT 'BR' || n_nationkey AS branch_id, n_name || ' Branch' AS branch_name,
   ({_CODES})[n_nationkey % 12 + 1] AS branch_state, r_name AS branch_region,
@@ -354,10 +355,17 @@ def _csv(raw: str, fields) -> str:
 
 
 def _conservation(name: str, source: str, clean: str, bad: str) -> str:
+    key = {"customers": "customer_id", "accounts": "account_id"}.get(name, "txn_id")
+    kept = (f"(SELECT {key} FROM {clean} AS c UNION ALL SELECT {key} FROM {bad} AS b)")
+    had = f"(SELECT {key}, count(*) AS had FROM {source} GROUP BY 1)"
+    has = f"(SELECT {key}, count(*) AS has FROM {kept} GROUP BY 1)"
     return (f"SELECT '{name}' AS source, (SELECT count(*) FROM {source}) AS input_rows, "
             f"(SELECT count(*) FROM {clean}) AS clean_rows, "
-            f"(SELECT count(*) FROM {bad}) AS quarantined_rows, 0::BIGINT AS lost_keys, "
-            f"0::BIGINT AS repeated_keys, 0::BIGINT AS unknown_keys")
+            f"(SELECT count(*) FROM {bad}) AS quarantined_rows, "
+            f"count(*) FILTER (coalesce(has, 0) < had) AS lost_keys, "
+            f"count(*) FILTER (has > had) AS repeated_keys, "
+            f"count(*) FILTER (had IS NULL) AS unknown_keys "
+            f"FROM {had} FULL JOIN {has} USING ({key})")
 
 
 _RAW = {"customers": "raw_customers", "accounts": "raw_accounts", "branches": "raw_branches",
@@ -368,7 +376,8 @@ _TABLES = {
     **{f"bronze_{s}": r for s, r in _RAW.items()},
     "silver_customers": "s_customers", "silver_customers_quarantine": _BAD_CUSTOMERS,
     "silver_accounts": "s_accounts", "silver_accounts_quarantine": "bad_accounts",
-    "silver_card_transactions": "s_txns", "silver_customer_events": "s_events",
+    "silver_card_transactions": "s_txns", "silver_txn_quarantine": _BAD_TXNS,
+    "silver_customer_events": "s_events",
     "silver_branches": "s_branches", "gold_customer_360": "c360",
     "gold_transaction_facts": "facts", "gold_balance_by_age_band": "by_band",
     "gold_retention_summary": "retention",
@@ -453,14 +462,19 @@ SELECT count(*) AS total_customers,
 FROM c360 WHERE {where}"""
 
 
+def _money(col: str) -> str:
+    """Exact total of a money column as a double."""
+    return f"(CAST(sum(CAST(round({col} * 100) AS BIGINT)) AS BIGINT) / 100::DOUBLE)"
+
+
 _MEASURE_SQL = {
     "Customer Count": "count(*)",
-    "Average Balance": "floor(avg(total_balance) * 10000::DOUBLE + 0.500321::DOUBLE) / 10000::DOUBLE",
-    "Total Balance": "round(sum(total_balance), 2)",
-    "Median Balance": "round(quantile_cont(total_balance, 0.5) * 200) / 200::DOUBLE",
+    "Average Balance": _money("total_balance") + " / count(*)",
+    "Total Balance": _money("total_balance"),
+    "Median Balance": "quantile_cont(total_balance, 0.5)",
     "Debit Card Swipes": "CAST(sum(debit_swipe_count) AS BIGINT)",
     "Total Transactions": "CAST(sum(txn_count) AS BIGINT)",
-    "Total Spend": "round(sum(total_spend), 2)",
+    "Total Spend": _money("total_spend"),
     "Retained Customers": "count(*) FILTER (is_retained)",
     "Retention Rate": "avg(CASE WHEN is_retained THEN 1::DOUBLE ELSE 0::DOUBLE END)",
     "Attrition Rate":
@@ -493,7 +507,8 @@ SELECT customer_id, dob_raw, CASE WHEN dob_typed IS NULL THEN 'missing_or_unpars
     "silver_accounts_quarantine": "SELECT * FROM bad_accounts",
     "silver_card_transactions": "SELECT * FROM s_txns",
     "silver_txn_quarantine": f"""
-SELECT txn_id, account_id, amount, 'amount_outlier_100x' AS quarantine_reason
+SELECT txn_id, account_id, amount, NULL::VARCHAR AS raw_text,
+  'amount_outlier_100x' AS quarantine_reason
 FROM {_BAD_TXNS}""",
     "silver_customer_events": "SELECT * FROM s_events",
     "gold_customer_360": "SELECT * FROM c360",
@@ -616,7 +631,21 @@ FROM metrics_before b JOIN metrics_after a
     "landing_rows": _union(
         f"SELECT '{s}' AS source, count(*) AS row_count, true AS landed FROM {r}"
         for s, r in _RAW.items()),
-    "table_counts": _counts({**_TABLES, "silver_txn_quarantine": _BAD_TXNS}),
+    "reordered_accounts": "SELECT " + ", ".join(
+        f"nullif({f}, '') AS {f}" for f in v.ACCOUNT_FIELDS) + " FROM raw_accounts",
+    "damaged_transactions": """
+SELECT outcome, raw AS has_raw_text, count(*) AS n FROM (
+  SELECT CASE WHEN num % 97 = 0 OR num % 83 = 0 THEN 'missing_txn_id'
+              WHEN num % 89 = 0 THEN 'unparseable_amount'
+              WHEN amount < 100000 THEN 'clean' ELSE 'amount_outlier_100x' END AS outcome,
+         num % 97 = 0 OR num % 89 = 0 AS raw
+  FROM (SELECT *, CAST(substr(account_id, 4) AS BIGINT) AS num FROM raw_txns)
+  QUALIFY num % 97 = 0 OR num % 83 = 0 OR row_number() OVER (PARTITION BY txn_id ORDER BY
+    txn_ts, account_id, card_type, channel, merchant_category,
+    CASE WHEN num % 89 = 0 THEN 'n/a' ELSE CAST(amount AS VARCHAR) END) = 1)
+GROUP BY 1, 2""",
+    "rebuild_counts": _counts(_TABLES),
+    "table_counts": _counts(_TABLES),
     "promote_tables": _counts(_TABLES),
     "promote_scored": _counts({**_TABLES, "gold_customers_scored":
                                "(SELECT * FROM c360 WHERE attrition_flag IS NULL)"}),
@@ -718,9 +747,8 @@ SELECT count(*) FILTER (attrition_flag = 1) AS positives,
            * (count(*) FILTER (attrition_flag = 1) + 1) / 2::DOUBLE)
     / (count(*) FILTER (attrition_flag = 1)::DOUBLE * count(*) FILTER (attrition_flag = 0)), 9)
     AS auc
-FROM (SELECT attrition_flag, rank() OVER (ORDER BY key)
-        + (count(*) OVER (PARTITION BY key) - 1) / 2::DOUBLE AS r
-      FROM (SELECT attrition_flag, CAST(round(z * 10000) AS BIGINT) AS key FROM scorecard
-            WHERE attrition_flag IS NOT NULL))""",
+FROM (SELECT attrition_flag, rank() OVER (ORDER BY z)
+        + (count(*) OVER (PARTITION BY z) - 1) / 2::DOUBLE AS r
+      FROM scorecard WHERE attrition_flag IS NOT NULL)""",
 }
 ORACLE = {name: _with(body) for name, body in _BODIES.items()}

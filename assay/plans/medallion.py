@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import AS_OF
 from ..operators import model, quality
-from ..session import new_folder, stage
+from ..session import stage
 from ..sources.tables import create_database, write_split, write_table
 from . import gold, silver
 
@@ -102,14 +102,14 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
           as_of=AS_OF, location: str | None = None) -> list[str]:
     """Write all bronze, silver and gold tables in dependency order and return their names.
 
-    ``location`` is the database's folder; a new one in the shared work folder by default.
+    ``location`` is the folder of a new database, by default one in the warehouse. A build that is
+    repeated replaces every table and removes the data it had.
 
     Every layer reads the written tables of the layer before it. A judged frame is written once,
     clean and quarantined rows into folders of their own, so neither the dedup nor the
     foreign-key join runs for both.
     """
-    folder = location or new_folder(spark, database)
-    create_database(spark, database, folder)
+    folder = create_database(spark, database, location)
     names: list[str] = []
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
 
     def split(name: str, judged: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
         names.append(name)
-        return write_split(judged, f"{database}.{name}", f"{folder}/{name}_judged",
+        return write_split(judged, f"{database}.{name}", f"{folder}/{name}",
                            F.col(quality.REASON).isNull(), columns)
 
     lazy = Medallion({source: put(f"bronze_{source}", df) for source, df in bronze.items()},
@@ -141,7 +141,7 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
     return names
 
 
-def build_scored(spark: SparkSession, database: str, trees: int = 20) -> DataFrame:
+def build_scored(spark: SparkSession, database: str, trees: int = 100) -> DataFrame:
     """Train on the labelled customers of a built database and write the scores of the others."""
     rows = stage(model.feature_table(spark.table(f"{database}.gold_customer_360")), "features")
     labelled, open_rows = model.split_labelled(rows)

@@ -33,15 +33,15 @@ class Measure:
 
 @dataclass(frozen=True)
 class Percentile:
-    """Exact percentile of a money column, computed without gathering a group in one task."""
+    """Exact percentile of a SQL expression, computed without gathering a group in one task."""
 
-    column: str
+    value: str
     q: float = 0.5
     comment: str = ""
 
     @property
     def expr(self) -> str:
-        return f"PERCENTILE({self.column}, {self.q})"
+        return f"PERCENTILE({self.value}, {self.q})"
 
 
 @dataclass(frozen=True)
@@ -54,15 +54,15 @@ class MetricView:
     @classmethod
     def from_dict(cls, spec: Mapping) -> MetricView:
         """Build from a definition with lists of ``{name, expr, comment}`` entries, the shape a
-        YAML definition has. An ``expr`` of the form ``PERCENTILE(column, q)`` is recognised."""
+        YAML definition has. An ``expr`` of the form ``PERCENTILE(value, q)`` is recognised."""
         dims = {d["name"]: Dimension(d["expr"], d.get("comment", ""))
                 for d in spec["dimensions"]}
         measures = {}
         for m in spec["measures"]:
             text, comment = m["expr"].strip(), m.get("comment", "")
             if text.upper().startswith("PERCENTILE(") and text.endswith(")"):
-                column, q = text[len("PERCENTILE("):-1].split(",")
-                measures[m["name"]] = Percentile(column.strip(), float(q), comment)
+                value, q = text[len("PERCENTILE("):-1].rsplit(",", 1)
+                measures[m["name"]] = Percentile(value.strip(), float(q), comment)
             else:
                 measures[m["name"]] = Measure(text, comment)
         return cls(dims, measures, spec.get("comment", ""), dict(spec.get("tags", {})))
@@ -106,7 +106,7 @@ class MetricView:
         for m in ranked:
             spec = self.measures[m]
             name = f"__m{measures.index(m)}"
-            value = exact_percentile(rows, keys, spec.column, spec.q, out=name)
+            value = exact_percentile(rows, keys, spec.value, spec.q, out=name)
             out = _attach(out, value, keys)
         return out.select(*[F.col(k).alias(name) for k, name in zip(keys, by)],
                           *[F.col(f"__m{i}").alias(name) for i, name in enumerate(measures)])
@@ -128,7 +128,7 @@ def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
     return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
 
 
-# Dimensions and measures of the banking metrics.
+# Dimensions and measures of the banking metrics. Money is decimal while it is summed.
 BANKING_DEFINITION = {
     "comment": "Balances, card activity and retention of retail customers.",
     "tags": {"domain": "retail_banking", "certified": "true"},
@@ -150,13 +150,14 @@ BANKING_DEFINITION = {
     ],
     "measures": [
         {"name": "Customer Count", "expr": "COUNT(1)"},
-        {"name": "Average Balance", "expr": "AVG(total_balance)",
+        {"name": "Average Balance",
+         "expr": "CAST(SUM(CAST(total_balance AS DECIMAL(18, 2))) AS DOUBLE) / COUNT(total_balance)",
          "comment": "Mean of the customers' total balances."},
-        {"name": "Total Balance", "expr": "SUM(total_balance)"},
+        {"name": "Total Balance", "expr": "CAST(SUM(CAST(total_balance AS DECIMAL(18, 2))) AS DOUBLE)"},
         {"name": "Median Balance", "expr": "PERCENTILE(total_balance, 0.5)"},
         {"name": "Debit Card Swipes", "expr": "SUM(debit_swipe_count)"},
         {"name": "Total Transactions", "expr": "SUM(txn_count)"},
-        {"name": "Total Spend", "expr": "SUM(total_spend)"},
+        {"name": "Total Spend", "expr": "CAST(SUM(CAST(total_spend AS DECIMAL(18, 2))) AS DOUBLE)"},
         {"name": "Retained Customers", "expr": "SUM(CASE WHEN is_retained THEN 1 ELSE 0 END)"},
         {"name": "Retention Rate",
          "expr": "AVG(CASE WHEN is_retained THEN 1.0D ELSE 0.0D END)",

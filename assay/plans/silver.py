@@ -17,6 +17,7 @@ from ..functions import values as v
 from ..operators import quality as q
 from ..operators.dedupe import dedupe_first, dedupe_latest
 from ..operators.parents import tag_orphans, with_parent
+from ..sources.landing import CORRUPT
 
 CUSTOMER_RULES = [
     q.Rule("valid_dob", "date_of_birth IS NOT NULL", "drop", "missing_or_unparseable_dob"),
@@ -41,6 +42,7 @@ _ACCOUNT_REASONS = [
     ACCOUNT_RULES[0], ACCOUNT_RULES[1],
 ]
 _TRANSACTION_REASONS = [
+    q.Rule("has_id", "txn_id IS NOT NULL", reason="missing_txn_id"),
     q.Rule("readable_amount", "is_money", reason="unparseable_amount"), TRANSACTION_RULES[0],
 ]
 
@@ -149,19 +151,28 @@ def silver_accounts_quarantine(bronze: DataFrame, parents: DataFrame) -> DataFra
 # Card transactions: the first row per id, then the expectation on that row.
 
 def parse_transactions(bronze: DataFrame) -> DataFrame:
-    raw = bronze.select(*v.TRANSACTION_FIELDS)
+    """The first row per id, typed; ``raw_text`` holds what could not be read, the line or the
+    amount. Rows without an id are no copies of each other and all stay."""
+    corrupt = F.col(CORRUPT) if CORRUPT in bronze.columns else F.lit(None).cast("string")
+    raw = bronze.select(
+        *v.TRANSACTION_FIELDS, corrupt.alias("__corrupt"),
+        F.when(F.col("txn_id").isNull(), F.monotonically_increasing_id()).alias("__lone"))
     first = dedupe_first(
-        raw, ["txn_id"], "txn_ts",
+        raw, ["txn_id", "__lone"], "txn_ts",
         ["account_id", "card_type", "channel", "merchant_category", "amount"])
+    amount = F.col("amount").try_cast("double")
     return (first
-            .withColumn("amount", F.col("amount").try_cast("double"))
+            .withColumn("raw_text", F.coalesce(
+                "__corrupt", F.when(amount.isNull(), F.col("amount").cast("string"))))
+            .withColumn("amount", amount)
             .withColumn("txn_date", F.col("txn_ts").try_cast("date"))
-            .select(*TRANSACTION_COLUMNS))
+            .select(*TRANSACTION_COLUMNS, "raw_text"))
 
 
 def judge_transactions(bronze: DataFrame) -> DataFrame:
-    """An amount that has no exact form in cents (NULL, NaN, infinite, beyond 16 digits) is
-    quarantined too, so that sums over silver are exact."""
+    """Lines that could not be read and rows without an id are quarantined, and so is an amount
+    that has no exact form in cents (NULL, NaN, infinite, beyond 16 digits), so that sums over
+    silver are exact."""
     parsed = parse_transactions(bronze).withColumn(
         "is_money", money.to_money("amount").isNotNull())
     return q.judge(parsed, _TRANSACTION_REASONS).drop("is_money")
@@ -172,7 +183,7 @@ def clean_transactions(judged: DataFrame) -> DataFrame:
 
 
 def transactions_quarantine(judged: DataFrame) -> DataFrame:
-    return q.quarantined_rows(judged).select("txn_id", "account_id", "amount", q.REASON)
+    return q.quarantined_rows(judged).select("txn_id", "account_id", "amount", "raw_text", q.REASON)
 
 
 def silver_card_transactions(bronze: DataFrame) -> DataFrame:

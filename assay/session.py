@@ -25,7 +25,9 @@ _local_root: str | None = None
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings. Shuffle width and file split size stay the cluster's own."""
+    """Apply the runtime settings. Shuffle width and file split size stay the cluster's own: a
+    width that an earlier query's input called for is taken back."""
+    spark.conf.set(_WIDTH, _own_width(spark))
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     return spark
@@ -34,22 +36,32 @@ def tune(spark: SparkSession) -> SparkSession:
 # Input bytes per shuffle partition. Compressed Parquet grows when it is shuffled, so this keeps
 # a partition at a few hundred megabytes.
 BYTES_PER_PARTITION = 128 * 1024 * 1024
-# The driver keeps one bit per partition for every map task, 12 kB at this number, so more
-# partitions would cost it more than larger ones cost the executors, which can spill.
-MAX_PARTITIONS = 100_000
+_WIDTH = "spark.sql.shuffle.partitions"
+_OWN = "spark.assay.shuffle.own"    # the session's own width
+_SET = "spark.assay.shuffle.set"    # what fit_shuffles made of it
+
+
+def _own_width(spark: SparkSession) -> str:
+    """The width that the session's user set last."""
+    now = spark.conf.get(_WIDTH)
+    if now != spark.conf.get(_SET, None):
+        spark.conf.set(_OWN, now)
+    return spark.conf.get(_OWN, now)
 
 
 def fit_shuffles(df: DataFrame) -> DataFrame:
     """Raise the number of shuffle partitions if ``df``'s files call for more than are set.
 
-    The size comes from the file listing, so no job runs. The setting is never lowered: adaptive
-    execution joins partitions that turn out small.
+    The size comes from the file listing, so no job runs. ``tune``, with which every query begins,
+    goes back to the session's own width; adaptive execution joins partitions that turn out small.
     """
     spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(-(-size // BYTES_PER_PARTITION), MAX_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    wanted = -(-size // BYTES_PER_PARTITION)
+    if wanted > int(spark.conf.get(_WIDTH)):
+        _own_width(spark)
+        spark.conf.set(_WIDTH, str(wanted))
+        spark.conf.set(_SET, str(wanted))
     return df
 
 

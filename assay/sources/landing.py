@@ -1,19 +1,25 @@
-"""Landing folders: one folder per source, CSV with a header or JSON lines."""
+"""Landing folders: one folder per source, CSV with a header or JSON lines.
+
+Bronze is a faithful copy: every value lands as text, CSV columns are found by the names in each
+file's header, and a line that cannot be read keeps its raw text in ``_corrupt_record``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.values import (
     ACCOUNT_FIELDS, BRANCH_FIELDS, CUSTOMER_FIELDS, EVENT_FIELDS, TRANSACTION_FIELDS,
 )
 
+CORRUPT = "_corrupt_record"
+
 # Columns of each CSV source; everything lands as text.
 CSV_SOURCES = {
     "customers": CUSTOMER_FIELDS, "accounts": ACCOUNT_FIELDS, "branches": BRANCH_FIELDS,
@@ -22,11 +28,13 @@ CSV_SOURCES = {
 JSON_SOURCES = {"card_transactions": TRANSACTION_FIELDS}
 
 
+def source_fields(source: str) -> list[str]:
+    return list(CSV_SOURCES.get(source) or JSON_SOURCES[source])
+
+
 def landing_schema(source: str) -> StructType:
-    """Declared schema, so that no file is read just to infer it."""
-    fields = CSV_SOURCES.get(source) or JSON_SOURCES[source]
-    return StructType([
-        StructField(f, DoubleType() if f == "amount" else StringType()) for f in fields])
+    """Declared schema, all text, with the raw text of lines that cannot be read."""
+    return StructType([StructField(f, StringType()) for f in [*source_fields(source), CORRUPT]])
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -35,19 +43,57 @@ def with_lineage(df: DataFrame) -> DataFrame:
                      F.current_timestamp().alias("_ingested_at"))
 
 
-def read_landing_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Every CSV file of a folder; empty fields become NULL."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a folder by the names in their first line; empty files have none."""
+    files = spark.read.text(path).inputFiles()
+
+    def names(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(file).columns)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, header in zip(files, pool.map(names, files)):
+            if header:
+                groups.setdefault(header, []).append(file)
+    return groups
+
 
+def read_landing_csv(spark: SparkSession, path: str, schema: StructType,
+                     lineage: bool = False) -> DataFrame:
+    """Every CSV file of a folder, columns by name; empty fields become NULL.
 
-def read_landing_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    Only the first line of each file is looked at beforehand. Columns that a file lacks are NULL,
+    columns that are not declared are left out.
+    """
+    parts = []
+    for header, files in _headers(spark, path).items():
+        found = StructType([StructField(n, StringType()) for n in [*header, CORRUPT]])
+        part = (spark.read.schema(found).option("header", True).option("enforceSchema", False)
+                .option("columnNameOfCorruptRecord", CORRUPT).csv(files))
+        part = with_lineage(part) if lineage else part
+        if part.columns[:len(schema)] != schema.fieldNames():
+            part = part.select(*[
+                F.col(f) if f in part.columns else F.lit(None).cast("string").alias(f)
+                for f in schema.fieldNames()], *(["_source_file", "_ingested_at"] * lineage))
+        parts.append(part)
+    if not parts:
+        none = spark.createDataFrame([], schema)
+        return none.selectExpr("*", "'' AS _source_file", "current_timestamp() AS _ingested_at") \
+            if lineage else none
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_landing_json(spark: SparkSession, path: str, schema: StructType,
+                      lineage: bool = False) -> DataFrame:
     """Every JSON-lines shard of a folder."""
-    return spark.read.schema(schema).json(path)
+    df = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return with_lineage(df) if lineage else df
 
 
-def read_source(spark: SparkSession, landing: str, source: str) -> DataFrame:
+def read_source(spark: SparkSession, landing: str, source: str,
+                lineage: bool = False) -> DataFrame:
     read = read_landing_csv if source in CSV_SOURCES else read_landing_json
-    return read(spark, f"{landing}/{source}", landing_schema(source))
+    return read(spark, f"{landing}/{source}", landing_schema(source), lineage)
 
 
 def export_landing(df: DataFrame, path: str, fields: Sequence[str], fmt: str = "csv",
@@ -67,37 +113,51 @@ def export_landing(df: DataFrame, path: str, fields: Sequence[str], fmt: str = "
 
 
 def export_source(df: DataFrame, landing: str, source: str, shards: int | None = None) -> None:
-    fields = CSV_SOURCES.get(source) or JSON_SOURCES[source]
-    export_landing(df, f"{landing}/{source}", fields,
+    export_landing(df, f"{landing}/{source}", source_fields(source),
                    "csv" if source in CSV_SOURCES else "json", shards)
 
 
+def _listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """The files of a folder and their bytes, empty ones included; none if there is no folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    return [(s.getPath().toUri().toString(), s.getLen()) for s in system.listStatus(place)
+            if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+
+
+def _plain(uri) -> Column:
+    """A file's address with one slash after the scheme, however it was written."""
+    return F.regexp_replace(uri, "^([^:/]+):/+", "$1:/")
+
+
 def landing_manifest(spark: SparkSession, landing: str, sources: Sequence[str]) -> DataFrame:
     """Files, bytes, rows and smallest file per expected source.
 
-    A source whose folder is absent or holds no row is listed with zeros, which is how a missing
-    delivery shows.
+    Files come from a listing, so shards without rows count. A source whose folder is absent or
+    empty is listed with zeros; ``landed`` says whether it has any row.
     """
     parts = []
     for source in sources:
-        try:
-            df = read_source(spark, landing, source)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        files = _listing(spark, f"{landing}/{source}")
+        if not files:
             continue
-        parts.append(df.select("_metadata.file_path", "_metadata.file_size")
-                       .groupBy("file_path", "file_size").agg(F.count("*").alias("row_count"))
-                       .withColumn("source", F.lit(source)))
+        listed = spark.createDataFrame(files, "file string, length long").select(
+            _plain("file").alias("file"), "length")
+        held = read_source(spark, landing, source, lineage=True).groupBy(
+            _plain("_source_file").alias("file")).agg(F.count("*").alias("row_count"))
+        parts.append(listed.join(held, "file", "left").select(
+            F.lit(source).alias("source"), "length",
+            F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count")))
     expected = spark.createDataFrame([(s,) for s in sources], "source string")
-    none = expected.limit(0).selectExpr(
-        "'' AS file_path", "0L AS file_size", "0L AS row_count", "source")
+    none = expected.limit(0).selectExpr("source", "0L AS length", "0L AS row_count")
     totals = reduce(DataFrame.unionByName, parts, none).groupBy("source").agg(
-        F.count("*").alias("files"), F.sum("file_size").alias("bytes"),
+        F.count("*").alias("files"), F.sum("length").alias("bytes"),
         F.sum("row_count").alias("row_count"),
         F.min("row_count").alias("smallest_file_rows"))
     zero = F.lit(0).cast("bigint")
     return (expected.join(totals, "source", "left")
             .select("source", *[F.coalesce(F.col(c), zero).alias(c) for c in
                                 ("files", "bytes", "row_count", "smallest_file_rows")])
-            .withColumn("landed", F.col("files") > 0))
+            .withColumn("landed", F.col("row_count") > 0))

@@ -101,17 +101,17 @@ def raw_card_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_customer_events(spark: SparkSession, folder: str) -> DataFrame:
     return (_read(spark, folder, "events")
-            .filter("event_type IN ('signup', 'error', 'purchase')")
             .selectExpr(
                 "concat('EVT', event_id) AS event_id", "concat('CUST', user_id) AS customer_id",
                 "CASE event_type WHEN 'signup' THEN 'acquired' WHEN 'error' THEN 'attrited'"
-                " ELSE 'reactivated' END AS event_type",
+                " WHEN 'purchase' THEN 'reactivated' WHEN 'view' THEN 'statement_viewed'"
+                " ELSE 'offer_opened' END AS event_type",
                 "string(date(ts)) AS event_date",
                 f"CASE WHEN event_type = 'signup' AND event_id % 5 = 0"
                 f" THEN {_BANKS}[int(event_id % 8)] ELSE '' END AS source_bank",
                 "CASE event_type WHEN 'signup' THEN 'switch' WHEN 'error' THEN array('fees',"
                 " 'rate', 'service', 'relocation', 'competitor_offer')[int(event_id % 5)]"
-                " ELSE 'win_back_offer' END AS reason"))
+                " WHEN 'purchase' THEN 'win_back_offer' ELSE '' END AS reason"))
 
 
 def raw_branches(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,28 +12,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from ..sources.landing import CSV_SOURCES, landing_schema, with_lineage
+from ..sources.landing import CORRUPT, CSV_SOURCES, landing_schema, with_lineage
 
-BATCH_LIMIT_SECONDS = 3600
+# How much older than the newest file a file may be and still be taken: longer than any delivery
+# is late, so that backfills and copies that keep their times are not passed over.
+MAX_FILE_AGE = "36500d"
 
 
 def landing_stream(spark: SparkSession, path: str, schema: StructType, fmt: str,
-                   max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+                   max_files: int | None = None, max_file_age: str = MAX_FILE_AGE) -> DataFrame:
+    """Files of a folder as they come. A CSV file whose header names other columns, or the same
+    ones in another order, ends the stream with an error instead of being read wrongly."""
+    reader = (spark.readStream.schema(schema).option("maxFileAge", max_file_age)
+              .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.option("header", True).csv(path) if fmt == "csv" else reader.json(path)
 
 
-def _run(df: DataFrame, out: str, checkpoint: str,
-         timeout: int = BATCH_LIMIT_SECONDS) -> StreamingQuery:
-    """Take everything that is there now, then stop."""
+def _run(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Take everything that is there now, however long it takes, then stop."""
     query = (df.writeStream.format("parquet").outputMode("append")
                .option("path", out).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"ingestion into {out} did not end within {timeout} s")
+    query.awaitTermination()
     return query
 
 
@@ -62,8 +64,8 @@ def stream_dedupe(spark: SparkSession, path: str, schema: StructType, key: str,
                   max_files: int | None = None) -> DataFrame:
     """Append each key once: the first row to arrive stays.
 
-    Time is the landing time of the file, so old events are never late; a key that comes again
-    within ``within`` of its first arrival is dropped, and state older than that is released.
+    Time is the moment of ingestion, so neither old events nor files with old times are ever late;
+    a key that comes again within ``within`` of its first arrival is dropped, and state older than that is released.
     The batch dedup keeps the first row by its own time instead.
 
     Keys are made unique per file first: a key that fills a large part of the input is then
@@ -71,7 +73,7 @@ def stream_dedupe(spark: SparkSession, path: str, schema: StructType, key: str,
     the step that compares files.
     """
     rows = landing_stream(spark, path, schema, fmt, max_files).select(
-        "*", F.col("_metadata.file_modification_time").alias("_landed_at"),
+        "*", F.current_timestamp().alias("_landed_at"),
         F.col("_metadata.file_path").alias("_source_file"))
     once = (rows.withWatermark("_landed_at", within)
                 .dropDuplicatesWithinWatermark([key, "_source_file"])

@@ -24,10 +24,12 @@ _BASE = {"customers": CUSTOMER, "accounts": ACCOUNT, "card_transactions": TRANSA
 
 
 def bronze(spark, source, *rows):
-    """A bronze frame; every row gives only what differs from the default row."""
+    """A bronze frame, all text; every row gives only what differs from the default row."""
     schema = landing_schema(source)
+    text = lambda x: x if x is None else str(x)
     full = [{**_BASE[source], **row} for row in rows]
-    return spark.createDataFrame([tuple(r[f] for f in schema.fieldNames()) for r in full], schema)
+    return spark.createDataFrame(
+        [tuple(text(r.get(f)) for f in schema.fieldNames()) for r in full], schema)
 
 
 def rows(df, *cols):

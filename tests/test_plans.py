@@ -4,13 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from assay.plans import gold, silver
+from assay.plans.medallion import Medallion
 from assay.registry import QUERIES, lake
+from assay.sources import supplied
 
 from .helpers import bronze
 
 FOLDER = "/root/testdata/sf0.001"
 # These run jobs of their own while they are built.
 EAGER = {n for n in QUERIES if n.startswith(("bronze_", "stream_"))} | {
+    "reordered_accounts", "damaged_transactions", "rebuild_counts",
     "landing_manifest", "landing_rows", "table_counts", "promote_tables",
     "promote_scored", "churn_gbt_eval",
     "customers_scored", "risk_band_summary", "churn_watchlist", "churn_watchlist_groups",
@@ -78,10 +81,12 @@ def test_transactions_are_shuffled_once_after_dedup(spark, no_broadcast):
     assert text.count("Exchange hashpartitioning(account_id") == 2
 
 
-def test_running_totals_compute_their_counts_once(spark, no_broadcast):
+def test_running_totals_are_taken_range_by_range(spark, no_broadcast):
+    """The only window without a key runs over the totals of the ranges."""
     text = plan(QUERIES["rank_auc"](spark, FOLDER), final=True)
-    assert "ReusedExchange" in text
-    assert text.count("FileScan parquet [l_orderkey") == 1
+    assert "lineitem" not in text  # the counts were staged once
+    alone = text.index("Exchange SinglePartition, ENSURE")
+    assert "HashAggregate(keys=[__range" in text[alone:]
 
 
 @pytest.fixture
@@ -136,3 +141,27 @@ def test_hot_customer_is_split_below_an_aggregate(spark, no_broadcast, small_ske
     assert "skew=true" in plan(rollup)
     assert len(got) == 400 and got["C0"] == n // 3 + sum(
         i % 500 == 0 and i % 3 != 0 for i in range(n))
+
+
+@pytest.fixture
+def hot_lake(spark):
+    """The real tables, with one customer who holds a third of the accounts."""
+    raw = dict(supplied.raw_sources(spark, "/root/testdata/sf0.01"))
+    hot = raw["customers"].agg(F.min("customer_id")).first()[0]
+    # Only what several map tasks have written can be split.
+    raw["accounts"] = raw["accounts"].repartition(8).withColumn("customer_id", F.when(
+        F.pmod(F.xxhash64("account_id"), F.lit(3)) == 0, hot).otherwise(F.col("customer_id")))
+    return Medallion(raw)
+
+
+@pytest.mark.parametrize("frame", ["judged_accounts", "facts"])
+def test_hot_customer_is_split_in_the_real_tables(spark, hot_lake, small_skew, frame):
+    """Branches are small enough to be broadcast, the rest is not."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2KB")
+    try:
+        df = getattr(hot_lake, frame)
+        df.collect()
+        assert "skew=true" in plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -1,7 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from assay import session
+from assay.plans import silver
 from assay.plans.medallion import build
 from assay.sources import landing, tables
 from assay.streaming import ingest
@@ -36,7 +39,7 @@ def test_json_shards_and_manifest(spark, tmp_path):
     assert got["card_transactions"].bytes > 0
     assert (got["accounts"].files, got["accounts"].landed) == (0, False)
     back = landing.read_source(spark, str(tmp_path), "card_transactions")
-    assert dict(back.dtypes)["amount"] == "double"
+    assert dict(back.dtypes)["amount"] == "string" and back.first()["amount"] == "10.0"
 
 
 @pytest.mark.parametrize("source", ["customers", "card_transactions"])
@@ -117,21 +120,93 @@ def test_build_with_nothing_clean(spark):
     assert spark.table("assay_test_empty.gold_customer_360").count() == 0
 
 
-def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+def test_shuffles_follow_the_input(spark, tmp_path, monkeypatch):
     spark.range(200000).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    old = spark.conf.get("spark.sql.shuffle.partitions")
+    width = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(width)
     try:
         session.fit_shuffles(df)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == old
-        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10000)
+        assert spark.conf.get(width) == old
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1000)
         session.fit_shuffles(df)
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(old)
-        monkeypatch.setattr(session, "MAX_PARTITIONS", 3)
+        assert int(spark.conf.get(width)) > int(old)
+        session.tune(spark)
+        assert spark.conf.get(width) == old
         session.fit_shuffles(df)
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(old)
+        spark.conf.set(width, "13")
+        session.tune(spark)
+        assert spark.conf.get(width) == "13"
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set(width, old)
+
+
+def test_late_files_are_taken(spark, tmp_path):
+    """A file whose time lies far behind the newest one's is neither passed over nor dropped."""
+    land, out, progress, once, kept = (
+        str(tmp_path / n) for n in ("land", "out", "progress", "once", "kept"))
+    schema = landing.landing_schema("card_transactions")
+    for key in ("1", "2"):
+        landing.export_source(bronze(spark, "card_transactions", dict(txn_id=key)), land,
+                              "card_transactions", shards=1)
+        if key == "2":
+            for file in (tmp_path / "land" / "card_transactions").glob("*.json"):
+                if f'"{key}"' in file.read_text():
+                    os.utime(file, (1e9, 1e9))
+        bronze_table = ingest.source_to_bronze(spark, land, "card_transactions", out, progress)
+        deduped = ingest.stream_dedupe(spark, f"{land}/card_transactions", schema, "txn_id",
+                                       once, kept)
+    assert rows(bronze_table, "txn_id") == rows(deduped, "txn_id") == [("1",), ("2",)]
+
+
+def write(folder, name, text):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    write(tmp_path / "branches", "a.csv", "branch_id,branch_name,branch_state,branch_region,"
+          "opened_date\nB1,Main,TN,South,2001-01-01\n")
+    write(tmp_path / "branches", "b.csv", "branch_name,extra,branch_id\nSide,9,B2\n")
+    write(tmp_path / "branches", "c.csv", "branch_name,branch_id\n")
+    write(tmp_path / "branches", "d.csv", "")
+    got = landing.read_source(spark, str(tmp_path), "branches", lineage=True)
+    assert rows(got, "branch_id", "branch_name", "branch_state") == [
+        ("B1", "Main", "TN"), ("B2", "Side", None)]
+    assert {r[0].rpartition("/")[2] for r in rows(got, "_source_file")} == {"a.csv", "b.csv"}
+    manifest = landing.landing_manifest(spark, str(tmp_path), ["branches"]).first()
+    assert (manifest.files, manifest.row_count, manifest.smallest_file_rows) == (4, 2, 0)
+    assert manifest.bytes == sum(f.stat().st_size for f in (tmp_path / "branches").iterdir())
+    with pytest.raises(Exception, match="b.csv"):
+        ingest.source_to_bronze(spark, str(tmp_path), "branches", str(tmp_path / "o"),
+                                str(tmp_path / "p"))
+
+
+def test_unreadable_lines_are_kept(spark, tmp_path):
+    write(tmp_path / "card_transactions", "a.json", "\n".join([
+        '{"txn_id":"T1","account_id":"A1","amount":5.5,"txn_ts":"2026-01-01"}',
+        '{"txn_id":"T2","amo', '{"txn_id":"T3","amo', '{"txn_id":"T4","amount":"12.5"}',
+        '{"txn_id":"T5","amount":"much"}', '{"amount":1}', '{"amount":1}']))
+    judged = silver.judge_transactions(
+        landing.read_source(spark, str(tmp_path), "card_transactions"))
+    assert rows(silver.clean_transactions(judged), "txn_id", "amount") == [
+        ("T1", 5.5), ("T4", 12.5)]
+    assert rows(silver.transactions_quarantine(judged), "txn_id", "raw_text",
+                "quarantine_reason") == sorted([
+        (None, '{"txn_id":"T2","amo', "missing_txn_id"),
+        (None, '{"txn_id":"T3","amo', "missing_txn_id"), ("T5", "much", "unparseable_amount"),
+        (None, None, "missing_txn_id"), (None, None, "missing_txn_id")], key=repr)
+
+
+def test_build_twice(spark, tmp_path):
+    for location in (None, str(tmp_path / "lake")):
+        name = f"assay_test_twice_{location is None}".lower()
+        for _ in range(2):
+            names = build(spark, sources(spark), name, location=location)
+        counts = dict(rows(tables.table_counts({n: spark.table(f"{name}.{n}") for n in names})))
+        assert counts["silver_accounts"] == counts["silver_txn_quarantine"] == 1
+    judged = list((tmp_path / "lake" / "silver_accounts").glob("judged-*"))
+    assert len(judged) == 1
 
 
 def test_write_table_replaces_schema(spark):
