@@ -718,6 +718,26 @@ GROUP BY 1""",
 SELECT bucket, event_id, customer_id, event_date, reason
 FROM (SELECT *, {_BUCKET} AS bucket FROM s_events WHERE event_type = 'attrited')
 QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY event_date DESC, event_id) <= 5""",
+    "average_balance_by_band_affluent": """
+SELECT age_band, ((2 * cents + n) // (2 * n)) / 100::DOUBLE AS avg_balance
+FROM (SELECT age_band, count(*) AS n,
+        CAST(sum(CAST(round(total_balance * 100) AS BIGINT)) AS BIGINT) AS cents
+      FROM c360 WHERE segment = 'affluent' GROUP BY age_band)""",
+    "retention_table_affluent": f"""
+SELECT coalesce(source_bank, 'unknown') AS source_bank, count(*) AS moved_in,
+  count(*) FILTER (is_retained) AS stayed, count(*) FILTER (NOT is_retained) AS left_us,
+  {_half(10000, 'count(*) FILTER (is_retained)')} AS retention_rate
+FROM c360 WHERE moved_from_bank AND segment = 'affluent' GROUP BY 1""",
+    "anchor_swipes_affluent": """
+SELECT count(*) AS debit_swipes, 'facts' AS path FROM facts
+WHERE age BETWEEN 21 AND 25 AND card_type = 'debit' AND channel = 'swipe'
+  AND segment = 'affluent'
+UNION ALL SELECT CAST(coalesce(sum(debit_swipe_count), 0) AS BIGINT), 'customer_360' FROM c360
+WHERE age BETWEEN 21 AND 25 AND segment = 'affluent'""",
+    "churn_reason_buckets_affluent": f"""
+SELECT {_BUCKET} AS bucket, count(*) AS n FROM s_events WHERE event_type = 'attrited'
+  AND customer_id IN (SELECT customer_id FROM s_customers WHERE segment = 'affluent')
+GROUP BY 1""",
     "churn_feature_table": "SELECT * FROM features",
     "churn_signal_features": "SELECT customer_id, " + ", ".join(
         f"round({x}, 6) AS {n}" for n, x in _SIGNALS.items()) + " FROM signals",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import AS_OF
 from ..operators import model, quality
+from ..operators.parents import with_parent
 from ..session import stage
 from ..sources.tables import create_database, write_split, write_table
 from . import gold, silver
@@ -98,6 +99,30 @@ class Medallion:
         return gold.retention_summary(self.customer_360)
 
 
+class SegmentView(Medallion):
+    """The gold tables and events of one customer segment, so that every report can be narrowed to
+    it: rollups are taken anew over the segment's customers."""
+
+    def __init__(self, lake: Medallion, segment: str):
+        super().__init__(lake.bronze, lake.as_of)
+        self.lake = lake
+        self.segment = segment
+
+    @cached_property
+    def customer_360(self) -> DataFrame:
+        return self.lake.customer_360.filter(F.col("segment") == self.segment)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return self.lake.facts.filter(F.col("segment") == self.segment)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Events of the segment's customers."""
+        known = self.lake.customers.filter(F.col("segment") == self.segment)
+        return with_parent(self.lake.events, known, "customer_id")
+
+
 def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
           as_of=AS_OF, location: str | None = None) -> list[str]:
     """Write all bronze, silver and gold tables in dependency order and return their names.

@@ -6,6 +6,7 @@ whatever grain a query asks for; nothing is ever averaged from a rollup.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -67,6 +68,19 @@ class MetricView:
                 measures[m["name"]] = Measure(text, comment)
         return cls(dims, measures, spec.get("comment", ""), dict(spec.get("tags", {})))
 
+    @classmethod
+    def from_file(cls, path: str) -> MetricView:
+        """Read a definition from a JSON file, or from YAML where a YAML library is installed."""
+        with open(path, encoding="utf-8") as file:
+            text = file.read()
+        if path.endswith(".json"):
+            return cls.from_dict(json.loads(text))
+        try:
+            import yaml
+        except ImportError as error:
+            raise ValueError("no YAML library is installed; use a JSON file") from error
+        return cls.from_dict(yaml.safe_load(text))
+
     def _check(self, measures: Sequence[str], by: Sequence[str]) -> None:
         if not measures:
             raise ValueError("a metric query names at least one measure")

@@ -1,4 +1,8 @@
-"""Report datasets over the gold tables. Every report takes an optional segment filter."""
+"""Report datasets over the gold tables.
+
+Reports on customers take a segment; ``medallion.SegmentView`` narrows any report, those on rollups
+and events too. A production report reads the tables that ``build`` has written.
+"""
 
 from __future__ import annotations
 

@@ -15,7 +15,7 @@ from .operators import model as m
 from .operators import parents, profile, quality, ranks
 from .operators.dedupe import dedupe_first, dedupe_latest, top_k
 from .plans import gold, metrics, reports, silver
-from .plans.medallion import Medallion, build, build_scored
+from .plans.medallion import Medallion, SegmentView, build, build_scored
 from .session import new_folder, stage, tune
 from .sources import landing, supplied, tables
 from .streaming import ingest
@@ -739,6 +739,33 @@ def churn_reason_examples(spark, folder):
     return reports.churn_reason_examples(lake(spark, folder).events)
 
 
+# Reports of one segment, whatever table they come from.
+
+def affluent(spark, folder) -> SegmentView:
+    return SegmentView(lake(spark, folder), "affluent")
+
+
+@register
+def average_balance_by_band_affluent(spark, folder):
+    return reports.average_balance_by_band(affluent(spark, folder).balance_by_age_band)
+
+
+@register
+def retention_table_affluent(spark, folder):
+    return reports.retention_table(affluent(spark, folder).retention_summary)
+
+
+@register
+def anchor_swipes_affluent(spark, folder):
+    t = affluent(spark, folder)
+    return reports.swipes_two_paths(t.customer_360, t.facts)
+
+
+@register
+def churn_reason_buckets_affluent(spark, folder):
+    return reports.churn_reason_buckets(affluent(spark, folder).events)
+
+
 # Churn.
 
 def features(spark, folder) -> DataFrame:

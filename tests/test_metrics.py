@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +97,12 @@ def test_catalogue_and_yaml_shape(spark):
     found = again.catalogue(spark).filter("lower(comment) LIKE '%switch%'")
     assert rows(found, "name") == [("Moved From Bank",), ("Source Bank",)]
     assert again.catalogue(spark).count() == 21
+
+
+def test_definition_from_a_file(spark, tmp_path):
+    spec = {"dimensions": [{"name": "G", "expr": "g"}], "measures": [
+        {"name": "M", "expr": "PERCENTILE(x * 2, 0.5)"}, {"name": "N", "expr": "COUNT(1)"}]}
+    (tmp_path / "m.json").write_text(json.dumps(spec))
+    view = MetricView.from_file(str(tmp_path / "m.json"))
+    df = spark.createDataFrame([("a", 0.001), ("a", 0.002), ("a", 0.0035)], "g string, x double")
+    assert [tuple(r) for r in view.query(df, ["M", "N"], by=["G"]).collect()] == [("a", 0.004, 3)]
