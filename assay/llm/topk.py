@@ -166,21 +166,24 @@ def top_products(df: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE
     rotation = np.linalg.eigh(vectors.T @ vectors)[1][:, ::-1].copy()
 
     squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    tasks = rows_per_partition(of, n, BLOCK_ROWS)
-    blocks = stage(of.withColumn("norm", F.sqrt(squares)).repartitionByRange(tasks, F.desc("norm"))
-                   .sortWithinPartitions(F.desc("norm"))
+    width = rows_per_partition(of, n, BLOCK_ROWS)
+    tasks = -(-n // BLOCK_ROWS)  # so that blocks are full however many partitions there are
+    blocks = stage(of.withColumn("norm", F.sqrt(squares)).repartitionByRange(width, F.desc("norm"))
+                   .coalesce(tasks).sortWithinPartitions(F.desc("norm"))
                    .select("id", "ids", "vec", F.lit(0.0).alias("least"))
                    .mapInArrow(_pack(BLOCK_ROWS), BLOCK), "topk-blocks")
     items = blocks.select("part", "seq", "high", "ids", F.col("vecs").alias("items"))
     unique = of.join(asked.select(F.col("query").alias("id")).distinct(), "id") \
                .withColumn("norm", F.sqrt(squares))
 
+    n_asked = unique.count()
+
     def packed(some: DataFrame) -> DataFrame:
         """Blocks of queries (id, vec, norm, least), those in one of about the same need."""
         need = F.when((F.col("norm") > 0) & (F.col("least") > 0), F.col("least") / F.col("norm"))
         return stage(some.withColumn("need", F.coalesce(need, F.lit(0.0)))
-                     .repartitionByRange(rows_per_partition(of, 0, 1), "need", "id")
-                     .sortWithinPartitions("need")
+                     .repartitionByRange(rows_per_partition(of, n_asked, QUERY_ROWS), "need", "id")
+                     .coalesce(max(1, -(-n_asked // QUERY_ROWS))).sortWithinPartitions("need")
                      .select("id", F.array().cast("array<bigint>").alias("ids"), "vec", "least")
                      .mapInArrow(_pack(QUERY_ROWS), BLOCK), "topk-queries") \
             .select(F.struct("part", "seq").alias("name"), "need", "id", "least", "vecs")
