@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_folder
+from .common import small_batches
 
 MAX_VOCABULARY = 1 << 20
-BLOCK_CHARS = 6 << 20
+BLOCK_CHARS = 4 << 20
 PIECE_CHARS = 1 << 20
 BATCH_BYTES = 8 << 20
 CACHE_WORDS = 1 << 18
@@ -184,6 +185,7 @@ def blocks(docs: DataFrame, pattern: str) -> DataFrame:
     (``sizes``), all ``codes`` by position, the task to which each distinct word goes (``deal``),
     and for each such task its ``words`` in the order of their codes."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType
     id_type = rows.limit(0).toArrow().schema.field("doc_id").type

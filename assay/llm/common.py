@@ -7,10 +7,20 @@ from pyspark.sql import functions as F
 
 from ..session import new_folder
 
+BATCH_BYTES = "8m"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\f\r"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at a few megabytes, so that what a Python worker holds at once does
+    not depend on how long texts are. A smaller limit of the session's own stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+            spark.conf.get(name)) > 8 << 20:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -36,14 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_folder
-from .common import stage
+from .common import small_batches, stage
 
 WIDTH = 50
 GRAM = 8
 GROUP = 32_768           # occurrences of a prefix that one task may hold
-TREE_WORDS = 1 << 20     # words of the groups that go into one tree, if they are several
+TREE_WORDS = 1 << 19     # words of the groups that go into one tree, if they are several
 BLOCK_BYTES = 4 << 20
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17
 CHUNK = 1 << 22          # windows whose anchors are found at once
 SEPARATOR = b"\xff"      # in no UTF-8 text
 
@@ -124,6 +124,7 @@ def _stored(docs: DataFrame, width: int) -> DataFrame:
     """The table of blocks: per document its id, number of words, digest of its words, and its
     prefixes with their counts; and the words of all."""
     spark = docs.sparkSession
+    small_batches(spark)
     made = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         lambda batches: _blocks(batches, width),
         "block long, doc_ids array<long>, sizes array<long>, digests array<binary>, "

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import rows_per_partition, stage
+from .common import rows_per_partition, small_batches, stage
 from .components import components
 
 SEED = 42
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             fps = pa.array([simhash(t.as_py(), words) for t in batch.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     return rows.mapInArrow(of, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 

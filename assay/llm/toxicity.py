@@ -34,6 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 MAX_POSITIVES = 4_000
 MAX_UNLABELLED = 8_000
 MAX_FEATURES = 4_096
@@ -131,10 +133,7 @@ def choose(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> np.nda
     ids, n_pos = np.unique(np.concatenate(pos), return_counts=True)
     tried = max(len(ids), 1)
     ids, n_pos = ids[n_pos >= MIN_DOCS], n_pos[n_pos >= MIN_DOCS]
-    every = np.concatenate([np.empty(0, np.int64), *unl])
-    found, counts = np.unique(every[np.isin(every, ids)], return_counts=True)
-    n_unl = np.zeros(len(ids))
-    n_unl[np.searchsorted(ids, found)] = counts
+    n_unl = np.bincount(_rows(unl, ids)[1], minlength=len(ids))
     rate_pos, rate_unl = n_pos / len(pos), (n_unl + PSEUDO) / (len(unl) + PSEUDO)
     expected = rate_unl * len(pos)
     # Chernoff's bound on the chance that a feature as common as among unlabelled documents is in
@@ -147,11 +146,14 @@ def choose(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> np.nda
 
 
 def _rows(docs: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Row and column of each feature that a document holds, and the number of documents."""
-    row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    every = np.concatenate([np.empty(0, np.int64), *docs])
-    held = np.isin(every, features)
-    return row[held], np.searchsorted(features, every[held]), len(docs)
+    """Row and column of each of the sorted ``features`` that a document holds, and the number of
+    documents."""
+    columns = [np.empty(0, np.int64)]
+    for doc in docs:
+        at = np.minimum(np.searchsorted(features, doc), max(len(features) - 1, 0))
+        columns.append(at[features[at] == doc] if len(features) else columns[0])
+    row = np.repeat(np.arange(len(docs)), [len(c) for c in columns[1:]])
+    return row, np.concatenate(columns), len(docs)
 
 
 def train(pos: tuple, unl: tuple, width: int, prior: float, seed: int) -> tuple[np.ndarray, float]:
@@ -209,7 +211,7 @@ def _sampled(df: DataFrame, n: int, most: int) -> DataFrame:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the rows of ``labels`` (doc_id, toxic) that are open to training."""
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     empty = Model(np.empty(0, np.int64), np.empty((0, 0)), np.empty(0))
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_folder
-from .common import stage
+from .common import small_batches, stage
 
 MIN_SHARED_BYTES = 100
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of their own
@@ -128,6 +128,7 @@ def parse_archive(spark: SparkSession, folder: str, payloads: bool) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
+    small_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
     return files.select("content").mapInArrow(
         parse, RECORD + (", payload binary" if payloads else ""))
