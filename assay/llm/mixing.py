@@ -10,8 +10,13 @@ depends on the block counts alone: at most two rounds per source differ from the
 each different round is scheduled once, whatever the number of documents.
 
 When a source runs out, the others go on in proportion to their weights, so every document has a
-place. Sources that ``weights`` does not name, null among them, share one weight, ``rest``. The
-schedule is bounded by the parameters (MAX_SLOTS), which is why it may be broadcast.
+place. Sources that ``weights`` does not name, null among them, share one weight, ``rest``, and are
+scheduled as one. With ``rest`` None, as in the pipeline, each of them is scheduled as a source of
+its own, of weight 1, null as one source. Its one block in a round may take any slot of it, so these
+sources, numbered by falling block counts, take the slots that the named blocks leave free, however
+many sources there are. The schedule has the named sources' blocks only (MAX_SLOTS), once for each
+different round, which is why it may be broadcast: other sources add a different round per distinct
+block count, which are fewer than the square root of twice the number of blocks.
 
 Ranks inside a source come from counts per (source, hash prefix), so no source is ranked in one
 task; prefixes are as long as the number of documents asks for and do not change the result. Rows
@@ -20,7 +25,7 @@ with a null or repeated ``doc_id`` each get a place; equal ids lie side by side
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,68 +38,117 @@ REST = 5
 BLOCK_DOCS = 8
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _round_order(counts: Column, slots: Column) -> Column:
-    """For an array of block counts whose sum is ``slots``: the source of each slot, by earliest
-    deadline among released blocks; ties go to the first source."""
-    def step(state: Column, t: Column) -> Column:
-        due = F.transform(counts, lambda c, i: F.when(
-            (F.get(state["done"], i) < c)
-            & (F.floor(F.get(state["done"], i) * slots / c) <= t),
-            F.struct(F.ceil((F.get(state["done"], i) + 1) * slots / c).alias("due"),
-                     i.alias("source"))))
-        pick = F.array_min(due)["source"]
-        return F.struct(
-            F.transform(state["done"], lambda d, i: d + (i == pick).cast("int")).alias("done"),
-            F.concat(state["order"], F.array(pick)).alias("order"))
-
-    start = F.struct(F.transform(counts, lambda c: F.lit(0)).alias("done"),
-                     F.array().cast("array<int>").alias("order"))
-    return F.aggregate(F.sequence(F.lit(0), slots - 1), start, step, lambda s: s["order"])
-
-
-def round_plan(blocks: DataFrame) -> DataFrame:
+    """For an array of block counts, in a round of ``slots``: the slot and source of each block, by
+    earliest deadline among released blocks; ties go to the first source. Slots in which no block
+    is released stay free, for the sources of one block."""
+    def step(state: Column, _: Column) -> Column:
+        due = F.transform(counts, lambda c, i: F.when(F.get(state["done"], i) < c, F.struct(
+            F.floor(F.get(state["done"], i) * slots / c).alias("release"),
+            F.ceil((F.get(state["done"], i) + 1) * slots / c).alias("due"), i.alias("source"))))
+        return _let(due, lambda d: _let(
+            F.greatest(state["t"], F.array_min(F.transform(d, lambda x: x["release"]))),
+            lambda t: _let(
+                F.array_min(F.transform(d, lambda x: F.when(
+                    x["release"] <= t, F.struct(x["due"], x["source"]))))["source"],
+                lambda pick: F.struct(
+                    F.transform(state["done"], lambda n, i: n + (i == pick).cast("bigint"))
+                    .alias("done"),
+                    (t + 1).alias("t"),
+                    F.concat(state["order"], F.array(F.struct(
+                        t.alias("slot"), pick.alias("source")))).alias("order")))))
+
+    start = F.struct(F.transform(counts, lambda c: F.lit(0).cast("bigint")).alias("done"),
+                     F.lit(0).cast("bigint").alias("t"),
+                     F.array().cast("array<struct<slot: bigint, source: int>>").alias("order"))
+    total = F.aggregate(counts, F.lit(0), lambda a, c: a + c)
+    return F.aggregate(F.array_repeat(F.lit(0), total), start, step, lambda s: s["order"])
+
+
+def round_plan(blocks: DataFrame, others: DataFrame | None = None) -> DataFrame:
     """For each source of ``blocks`` (pool, weight, n_blocks) its rounds: ``pool``, ``weight`` and
     an array of (first round, next round, slots before it, slots per round, blocks per round,
-    slot of each block). One row per source, all in one task: their size is the parameters'."""
+    slot of each block). ``others`` (n_blocks, n) counts the sources of weight 1 by their blocks;
+    they share a row, of pool 0, with the number of free slots before each taken one as last field.
+    One row per source of ``blocks``, all in one task."""
+    none = F.array().cast("array<struct<n_blocks: bigint, n: bigint>>")
     one = blocks.where("n_blocks > 0").agg(F.array_sort(F.collect_list(
         F.struct("pool", "weight", "n_blocks"))).alias("s"))
+    one = one.withColumn("o", none) if others is None else one.crossJoin(
+        others.agg(F.collect_list(F.struct("n_blocks", "n")).alias("o")))
     full = F.transform("s", lambda x: F.floor(x["n_blocks"] / x["weight"]))
     cuts = F.array_sort(F.array_distinct(F.concat(
-        F.array(F.lit(0).cast("bigint")), full, F.transform(full, lambda f: f + 1))))
-    spans = one.select("s", F.posexplode(F.arrays_zip(
-        cuts.alias("first"), F.slice(cuts, 2, 1 << 30).alias("next")))).select(
-        "s", F.col("pos").alias("span"), F.col("col.first").alias("first"),
-        F.col("col.next").alias("next")).where("next IS NOT NULL")
+        F.array(F.lit(0).cast("bigint")), full, F.transform(full, lambda f: f + 1),
+        F.transform("o", lambda x: x["n_blocks"]))))
+    spans = one.withColumn("cuts", cuts).select("s", F.posexplode(F.transform(
+        "cuts", lambda c, i: F.struct(c.alias("first"), F.get("cuts", i + 1).alias("next"),
+                                      F.aggregate("o", F.lit(0).cast("bigint"), lambda a, x: a
+                                                  + F.when(x["n_blocks"] > c, x["n"])
+                                                  .otherwise(0)).alias("ones"))))) \
+        .select("s", F.col("pos").alias("span"), "col.*").where("next IS NOT NULL")
     counted = spans.withColumn("counts", F.transform("s", lambda x: F.greatest(
         F.lit(0), F.least(x["weight"].cast("bigint"),
                           x["n_blocks"] - F.col("first") * x["weight"])).cast("int"))) \
-        .withColumn("slots", F.aggregate("counts", F.lit(0), lambda a, c: a + c)) \
+        .withColumn("slots", F.aggregate("counts", F.col("ones"), lambda a, c: a + c)) \
         .where("slots > 0")
     ordered = counted.withColumn("order", _round_order(F.col("counts"), F.col("slots"))) \
         .withColumn("before", F.coalesce(F.sum(
             (F.col("next") - F.col("first")) * F.col("slots")).over(
             Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    each = ordered.select("*", F.posexplode("s").alias("i", "x")).where(
-        F.get("counts", F.col("i")) > 0)
-    place = F.filter(F.transform("order", lambda p, t: F.when(p == F.col("i"), t)),
-                     lambda t: t.isNotNull())
+    shared = F.struct(F.lit(0).cast("bigint").alias("pool"), F.lit(1).alias("weight"),
+                      F.lit(0).cast("bigint").alias("n_blocks"))
+    count = F.get(F.concat("counts", F.array(F.least("ones", F.lit(1)).cast("int"))), F.col("i"))
+    each = ordered.select("*", F.posexplode(F.concat("s", F.array(shared))).alias("i", "x")) \
+                  .where(count > 0)
+    place = F.when(F.col("i") == F.size("s"), F.transform(
+        "order", lambda p, t: p["slot"] - t)).otherwise(F.transform(
+            F.filter("order", lambda p: p["source"] == F.col("i")), lambda p: p["slot"]))
     return each.select(
         F.col("x.pool").alias("pool"), F.col("x.weight").alias("weight"),
         F.struct("first", "next", "before", "slots",
-                 F.get("counts", F.col("i")).alias("count"), place.alias("place")).alias("r")) \
+                 count.alias("count"), place.alias("place")).alias("r")) \
         .groupBy("pool", "weight").agg(F.array_sort(F.collect_list("r")).alias("rounds"))
 
 
-def mix(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, rest: int = REST,
+def _bases(sizes: DataFrame, keys: list[str]) -> DataFrame:
+    """For ``sizes`` (keys, __prefix, n) the number of rows of the same keys before each prefix."""
+    before = F.sum("n").over(Window.partitionBy(*keys).orderBy("__prefix")
+                             .rowsBetween(Window.unboundedPreceding, -1))
+    return sizes.select(*keys, "__prefix", F.coalesce(before, F.lit(0)).alias("__base"))
+
+
+def _source_numbers(blocks: DataFrame, levels: DataFrame, digits: int) -> DataFrame:
+    """A number from 0 for each source of ``blocks`` (__pool, __own, n_blocks), those of more blocks
+    first, so that the sources that still have blocks in a round are those of the lowest numbers."""
+    above = levels.select("n_blocks", F.coalesce(F.sum("n").over(
+        Window.orderBy(F.desc("n_blocks")).rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("above"))
+    keyed = blocks.withColumn("__order", F.md5("__own")) \
+                  .withColumn("__prefix", F.substring("__order", 1, digits))
+    bases = _bases(keyed.groupBy("n_blocks", "__prefix").agg(F.count("*").alias("n")), ["n_blocks"])
+    return keyed.join(bases, ["n_blocks", "__prefix"]).join(above, "n_blocks").select(
+        "__pool", "__own", (F.col("above") + F.col("__base") - 1 + F.row_number().over(
+            Window.partitionBy("n_blocks", "__prefix").orderBy("__order"))).alias("__number"))
+
+
+def mix(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, rest: int | None = REST,
         block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Every row of ``docs`` with ``__mix``: its ``block`` in its source, the block's ``release``,
-    ``deadline`` and ``slot`` in the whole order, and its ``position``, by which to sort."""
-    if min([*weights.values(), rest]) < 1 or sum(weights.values()) + rest > MAX_SLOTS:
+    ``deadline`` and ``slot`` in the whole order, and its ``position``, by which to sort. With
+    ``rest`` None every source that ``weights`` does not name has a weight of 1 of its own."""
+    each = rest is None
+    if min([1 if each else rest, *weights.values()]) < 1 \
+            or sum(weights.values()) + (rest or 0) > MAX_SLOTS:
         raise ValueError(f"weights are positive integers with a sum of at most {MAX_SLOTS}")
     names = sorted(weights)
     pool = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col("source")), F.lit(0)) \
         if names else F.lit(0).cast("bigint")
-    weight = F.get(F.array(F.lit(rest), *[F.lit(weights[n]) for n in names]),
+    weight = F.get(F.array(F.lit(1 if each else rest), *[F.lit(weights[n]) for n in names]),
                    F.col("__pool").cast("int"))
     n, digits = docs.count(), 1
     while n > ROWS_PER_PREFIX * 16 ** digits:
@@ -102,19 +156,28 @@ def mix(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, rest: int = REST,
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     keyed = docs.withColumns({"__pool": pool, "__order": order}) \
                 .withColumn("__prefix", F.substring("__order", 1, digits))
-    sizes = keyed.groupBy("__pool", "__prefix").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("__pool").orderBy("__prefix")
-                             .rowsBetween(Window.unboundedPreceding, -1))
-    bases = sizes.select("__pool", "__prefix", F.coalesce(before, F.lit(0)).alias("__base"))
-    blocks = sizes.groupBy("__pool").agg(F.sum("n").alias("n")).select(
-        F.col("__pool").alias("pool"), weight.alias("weight"),
-        F.ceil(F.col("n") / block_docs).alias("n_blocks"))
-    plan = round_plan(blocks).select(F.col("pool").alias("__pool"),
-                                     F.col("weight").alias("__weight"),
-                                     F.col("rounds").alias("__rounds"))
-    ranked = keyed.join(bases, ["__pool", "__prefix"]).withColumn(
+    keys = ["__pool"]
+    if each:
+        keys.append("__own")
+        keyed = keyed.withColumn("__own", F.when(F.col("__pool") == 0, F.concat(
+            F.lit("="), F.col("source"))))
+        keyed = keyed.withColumn("__own", F.coalesce("__own", F.lit("")))
+    sizes = keyed.groupBy(*keys, "__prefix").agg(F.count("*").alias("n"))
+    bases = _bases(sizes, keys)
+    blocks = sizes.groupBy(*keys).agg(F.sum("n").alias("n")).select(
+        *keys, weight.alias("weight"), F.ceil(F.col("n") / block_docs).alias("n_blocks"))
+    levels = None
+    if each:
+        others = blocks.where("__pool = 0")
+        levels = others.groupBy("n_blocks").agg(F.count("*").alias("n"))
+        bases = bases.join(_source_numbers(others, levels, digits), keys, "left")
+        blocks = blocks.where("__pool > 0")
+    plan = round_plan(blocks.select(F.col("__pool").alias("pool"), "weight", "n_blocks"), levels) \
+        .select(F.col("pool").alias("__pool"), F.col("weight").alias("__weight"),
+                F.col("rounds").alias("__rounds"))
+    ranked = keyed.join(bases, [*keys, "__prefix"]).withColumn(
         "__rank", F.col("__base") - 1 + F.row_number().over(
-            Window.partitionBy("__pool", "__prefix").orderBy("__order", "doc_id")))
+            Window.partitionBy(*keys, "__prefix").orderBy("__order", "doc_id")))
     placed = ranked.join(F.broadcast(plan), "__pool") \
         .withColumn("__block", F.floor(F.col("__rank") / block_docs)) \
         .withColumns({"__round": F.floor(F.col("__block") / F.col("__weight")),
@@ -123,7 +186,11 @@ def mix(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, rest: int = REST,
             F.col("__round") >= r["first"]) & (F.col("__round") < r["next"])), F.lit(0)))
     r, k = F.col("__r"), F.col("__k")
     start = r["before"] + (F.col("__round") - r["first"]) * r["slots"]
-    slot = start + F.get(r["place"], k)
+    place = F.get(r["place"], k)
+    if each:
+        place = F.when(F.col("__pool") == 0, F.col("__number") + F.size(F.filter(
+            r["place"], lambda free: free <= F.col("__number")))).otherwise(place)
+    slot = start + place
     return placed.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
         F.col("__block").alias("block"),
         (start + F.floor(k * r["slots"] / r["count"])).alias("release"),

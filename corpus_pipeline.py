@@ -39,8 +39,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the mixture's order from the first row of the first file on."""
-    return in_mixed_order(docs)
+    """All documents, in the mixture's order from the first row of the first file on. Every source
+    of the input is scheduled on its own."""
+    return in_mixed_order(docs, rest=None)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
