@@ -6,8 +6,9 @@ text writer makes, one per task, so a lost task is written again as a whole. Rea
 files by their Content-Length, checks every payload against its digest, and keeps exact record
 headers apart from payloads; joins on the digest give the original records back.
 
-Payloads never move by digest, where a hot one would gather: pages are shuffled by ``page_id``,
-and only (id, digest) pairs meet per digest.
+In writing, payloads never move by digest, where a hot one would gather: pages are shuffled by
+``page_id``, and only (id, digest) pairs meet per digest. In reading, a payload moves once per part
+of its revisits.
 
 Null html is an empty payload, a null url leaves its header out, and line ends in a url are
 percent-encoded. Rows with a null ``page_id`` are responses that nobody refers to. Repeated rows of
@@ -31,6 +32,8 @@ MIN_SHARED_BYTES = 100
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of their own
 END = "\r\n"
 BATCH_BYTES = 8 << 20
+MAX_HOT = 4096  # digests that are dealt to parts
+LEAST_HOT = 256  # revisits in a part, at least
 
 RECORD = ("page_id long, record_type string, refers_to long, payload_digest string, "
           "payload_bytes long, header string")
@@ -140,26 +143,35 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
     return stage(parse_archive(spark, folder, payloads=False), "warc-headers")
 
 
-def resolve(headers: DataFrame, payloads: DataFrame) -> DataFrame:
-    """``headers`` with the columns of ``payloads`` (payload_digest, ...), one row per digest;
-    revisits get them from the response that they refer to, responses by their own digest."""
-    return headers.drop(*[c for c in payloads.columns if c != "payload_digest"]) \
-                  .join(payloads, "payload_digest")
-
-
 def rebuild(spark: SparkSession, folder: str, headers: DataFrame) -> DataFrame:
-    """The original records: ``headers`` and each record's full payload."""
-    payloads = parse_archive(spark, folder, payloads=True).where("record_type = 'response'") \
-        .select("payload_digest", "payload").dropDuplicates(["payload_digest"])
-    return resolve(headers, payloads)
+    """The original records of the archive: the columns of RECORD and each record's full payload,
+    by which a revisit's digest and length are computed anew. Responses hold their own; revisits,
+    whose headers come from ``headers``, get that of the response of their digest. Revisits of a
+    hot digest are dealt to parts of bounded size, each with a copy of the payload."""
+    responses = parse_archive(spark, folder, payloads=True).where("record_type = 'response'")
+    revisits = headers.where("record_type = 'revisit'")
+    per = LEAST_HOT + revisits.count() // MAX_HOT
+    shared = revisits.groupBy("payload_digest").agg(
+        F.ceil(F.count("*") / per).alias("parts"))
+    hot = shared.where("parts > 1")
+    dealt = revisits.join(F.broadcast(hot), "payload_digest", "left").withColumn(
+        "part", F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1))))
+    payloads = responses.select("payload_digest", "payload") \
+        .dropDuplicates(["payload_digest"]).join(shared, "payload_digest") \
+        .select("payload_digest", "payload",
+                F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    full = dealt.join(payloads, ["payload_digest", "part"], "left").withColumn(
+        "payload", F.coalesce("payload", F.raise_error(F.concat(
+            F.lit("no response holds the payload "), F.col("payload_digest"))).cast("binary")))
+    rebuilt = full.withColumns({
+        "payload_digest": F.sha2("payload", 256),
+        "payload_bytes": F.octet_length("payload").cast("bigint")})
+    return responses.unionAll(rebuilt.select(*responses.columns))
 
 
 def archive_pages(pages: DataFrame) -> tuple[str, DataFrame]:
-    """Write ``pages`` to a new archive in the shared folder; its path and resolved headers."""
+    """Write ``pages`` to a new archive in the shared folder; its path and rebuilt records."""
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     write_archive(pages, folder)
-    headers = read_headers(spark, folder)
-    lengths = headers.where("record_type = 'response'").groupBy("payload_digest").agg(
-        F.min("payload_bytes").alias("payload_bytes"))
-    return folder, resolve(headers, lengths)
+    return folder, rebuild(spark, folder, read_headers(spark, folder))

@@ -5,6 +5,7 @@ import hashlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from assay.llm import warc
 
@@ -56,3 +57,24 @@ def test_empty_and_damaged(spark):
         list(warc._records((head + "x\r\n\r\n").encode()))
     with pytest.raises(ValueError, match="Content-Length"):
         list(warc._records((head + "xy\r\n\r\n").encode()))
+
+
+@pytest.mark.parametrize("least_hot", [1, 7, 256])
+def test_revisits_are_put_together_from_their_payloads(spark, monkeypatch, least_hot):
+    monkeypatch.setattr(warc, "LEAST_HOT", least_hot)
+    rows = ROWS + [(100 + i, "hot", LONG, 1) for i in range(60)] + [(200, "hot", LONGER, 1)] * 9
+    _, records = warc.archive_pages(spark.createDataFrame(rows, SCHEMA))
+    got = records.collect()
+    assert sorted((str(r.page_id), bytes(r.payload).decode()) for r in got) == sorted(
+        (str(p), h or "") for p, _, h, _ in rows)
+    assert all((r.payload_bytes, r.payload_digest) == (
+        len(r.payload), hashlib.sha256(r.payload).hexdigest()) for r in got)
+    assert sum(r.record_type == "revisit" for r in got) == 60 + 9 + 4
+
+
+def test_a_missing_payload_is_an_error(spark):
+    folder, _ = warc.archive_pages(spark.createDataFrame(ROWS, SCHEMA))
+    headers = warc.read_headers(spark, folder)
+    with pytest.raises(Exception, match="no response holds the payload"):
+        warc.rebuild(spark, folder, headers.withColumn(
+            "payload_digest", F.lit("0" * 64))).collect()
