@@ -17,6 +17,7 @@ from .simhash import near_duplicates
 from .topk import top_products
 from .toxicity import THRESHOLD, held_out, score_docs
 from .warc import archive_pages
+from .whitening import whiten
 
 
 def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,9 +83,13 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest, "op2_topk": op2_topk, "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc, "op8_repeats": op8_repeats, "op9_secrets": op9_secrets,
-    "op10_lines": op10_lines,
+    "op10_lines": op10_lines, "op11_whitening": op11_whitening,
 }
