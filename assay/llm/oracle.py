@@ -19,6 +19,9 @@ FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps,
              regexp_extract_all(t, '{pattern}', {group}) AS judged
       FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))"""
 
+_TERMS = (f"regexp_extract_all(translate(text, {_LOWER}), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
 
 ORACLE = {
     "op2_topk": """
@@ -121,4 +124,19 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
          AS kept_sha256
 FROM j GROUP BY doc_id""",
+    "op12_lexical": f"""
+WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM p GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+      FROM p, g GROUP BY term, docs),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) //
+             (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN p USING (term) JOIN n USING (doc_id), g
+      GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)
+             ::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10""",
 }

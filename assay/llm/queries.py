@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .ann import nearest
 from .bpe import round_trip
 from .common import table
+from .lexical import build_index, search
 from .lines import dedup_lines
 from .mixing import mix
 from .repeats import drop_repeats
@@ -87,9 +88,15 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(table(spark, folder, "embeddings"))
 
 
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return search(build_index(table(spark, folder, "documents")),
+                  table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest, "op2_topk": op2_topk, "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc, "op8_repeats": op8_repeats, "op9_secrets": op9_secrets,
     "op10_lines": op10_lines, "op11_whitening": op11_whitening,
+    "op12_lexical": op12_lexical,
 }
