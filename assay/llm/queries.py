@@ -15,6 +15,7 @@ from .mixing import mix
 from .repeats import drop_repeats
 from .secrets import RULES, scan_secrets, spans_text
 from .simhash import near_duplicates
+from .tokens import token_counts
 from .topk import top_products
 from .toxicity import THRESHOLD, held_out, score_docs
 from .warc import archive_pages
@@ -93,10 +94,15 @@ def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
                   table(spark, folder, "benchmark"))
 
 
+def op13_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"),
+                        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_nearest": op1_nearest, "op2_topk": op2_topk, "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc, "op8_repeats": op8_repeats, "op9_secrets": op9_secrets,
     "op10_lines": op10_lines, "op11_whitening": op11_whitening,
-    "op12_lexical": op12_lexical,
+    "op12_lexical": op12_lexical, "op13_tokens": op13_tokens,
 }
