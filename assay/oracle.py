@@ -539,6 +539,7 @@ SELECT customer_id, max(updated_at) AS updated_at,
 FROM (SELECT *, updated_at = max(updated_at) OVER (PARTITION BY customer_id) AS newest
       FROM raw_customers) GROUP BY customer_id""",
     "first_transactions": "SELECT * FROM first_txns",
+    "stream_first_transactions": "SELECT * FROM first_txns",
     "orphan_accounts":
         f"SELECT account_id, customer_id, balance FROM raw_accounts WHERE {_ORPHAN}",
     "largest_accounts": """
@@ -631,8 +632,8 @@ FROM metrics_before b JOIN metrics_after a
     "landing_rows": _union(
         f"SELECT '{s}' AS source, count(*) AS row_count, true AS landed FROM {r}"
         for s, r in _RAW.items()),
-    "reordered_accounts": "SELECT " + ", ".join(
-        f"nullif({f}, '') AS {f}" for f in v.ACCOUNT_FIELDS) + " FROM raw_accounts",
+    **{name: "SELECT " + ", ".join(f"nullif({f}, '') AS {f}" for f in v.ACCOUNT_FIELDS)
+       + " FROM raw_accounts" for name in ("reordered_accounts", "stream_reordered_accounts")},
     "damaged_transactions": """
 SELECT outcome, raw AS has_raw_text, count(*) AS n FROM (
   SELECT CASE WHEN num % 97 = 0 OR num % 83 = 0 THEN 'missing_txn_id'

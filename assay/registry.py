@@ -527,6 +527,37 @@ def reordered_accounts(spark, folder):
     return landing.read_source(spark, path, "accounts").select(*v.ACCOUNT_FIELDS)
 
 
+@register
+def stream_reordered_accounts(spark, folder):
+    """The same by the stream, in two deliveries; a file of other data is set aside meanwhile."""
+    raw = supplied.raw_accounts(tune(spark), folder)
+    path, out, progress = (new_folder(spark, n) for n in ("landing", "bronze", "progress"))
+    half = F.pmod(F.xxhash64("account_id"), F.lit(2)) == 0
+    for part, fields in ((half, v.ACCOUNT_FIELDS), (~half, v.ACCOUNT_FIELDS[::-1])):
+        landing.export_landing(raw.where(part), f"{path}/accounts", fields)
+        landing.export_landing(raw.select(F.col("balance").alias("x")).limit(3),
+                               f"{path}/accounts", ["x"], shards=1)
+        bronze = ingest.source_to_bronze(spark, path, "accounts", out, progress)
+    return bronze.select(*v.ACCOUNT_FIELDS)
+
+
+@register
+def stream_first_transactions(spark, folder):
+    """The first row per transaction, by its own time, though the rows of later days are delivered
+    first; all columns."""
+    raw = supplied.raw_card_transactions(tune(spark), folder)
+    path, out, progress = (new_folder(spark, n) for n in ("landing", "firsts", "progress"))
+    table = out.rsplit("/", 1)[1].replace("-", "_")
+    schema = landing.landing_schema("card_transactions")
+    early = F.pmod(F.xxhash64("txn_id", "txn_ts"), F.lit(2)) == 0
+    for part in (~early, early):
+        landing.export_source(raw.where(part), path, "card_transactions")
+        firsts = ingest.stream_first(spark, f"{path}/card_transactions", schema, "txn_id",
+                                     "txn_ts", table, out, progress, buckets=8)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, and the frame knows them
+    return firsts.drop(landing.CORRUPT).withColumn("amount", F.col("amount").cast("double"))
+
+
 def damaged_lines(raw: DataFrame) -> DataFrame:
     """Transactions as JSON lines, some of them cut short, without an id, or with a word as
     amount; which ones follows from the account's number."""

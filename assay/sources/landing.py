@@ -6,9 +6,11 @@ file's header, and a line that cannot be read keeps its raw text in ``_corrupt_r
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import islice
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,39 +45,78 @@ def with_lineage(df: DataFrame) -> DataFrame:
                      F.current_timestamp().alias("_ingested_at"))
 
 
-def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files of a folder by the names in their first line; empty files have none."""
-    files = spark.read.text(path).inputFiles()
+# Far above any file's size: with it each file is one piece, and each piece a task of its own.
+_WHOLE_FILE = str(1 << 50)
 
-    def names(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(file).columns)
 
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for file, header in zip(files, pool.map(names, files)):
-            if header:
-                groups.setdefault(header, []).append(file)
-    return groups
+def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, line): the first line of every file that has one, by one job.
 
-
-def read_landing_csv(spark: SparkSession, path: str, schema: StructType,
+    Each task opens one file and stops after its first line, so the work grows with the number of
+    files and not with their bytes. The settings that deal files out belong to a session of its
+    own; the caller's stay.
+    """
+    own = spark.newSession()
+    for name, value in {"spark.sql.files.maxPartitionBytes": _WHOLE_FILE,
+                        "spark.sql.files.openCostInBytes": _WHOLE_FILE,
+                        "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}.items():
+        own.conf.set(name, value)
+
+    def first(batches):
+        yield from islice((b for b in batches if b.num_rows), 1)
+
+    lines = own.read.text(paths if isinstance(paths, str) else list(paths))
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")) \
+                .mapInArrow(first, "file string, line string")
+
+
+def header_groups(spark: SparkSession, paths: str | Sequence[str]
+                  ) -> list[tuple[list[str], list[str]]]:
+    """(names, files) for each different first line of some files; empty files are in none."""
+    groups = first_lines(spark, paths).groupBy("line").agg(
+        F.array_sort(F.collect_list("file")).alias("files")).orderBy("line").collect()
+    return [(next(csv.reader([g["line"].removeprefix("\ufeff")]), []),
+             [unquote(f) for f in g["files"]]) for g in groups]
+
+
+def header_fault(names: Sequence[str], schema: StructType) -> str | None:
+    """Why a header cannot be read by name, if so."""
+    known = [n for n in names if n in schema.names]
+    if not known:
+        return "no_declared_column"
+    return "repeated_column" if len(known) > len(set(known)) else None
+
+
+def read_by_name(spark: SparkSession, names: Sequence[str], files: Sequence[str],
+                 schema: StructType, lineage: bool = False) -> DataFrame:
+    """CSV files with the header ``names``, as the columns of ``schema``: those that the files lack
+    are NULL, others are left out."""
+    places = {n: i for i, n in reversed(list(enumerate(names)))}
+    # Columns are told apart by place, so odd, empty or repeated names do no harm.
+    found = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))]
+                       + [StructField(CORRUPT, StringType())])
+    part = (spark.read.schema(found).option("header", True)
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(list(files)))
+    part = with_lineage(part) if lineage else part
+    return part.select(*[
+        F.col(CORRUPT) if f == CORRUPT else
+        (F.col(f"_c{places[f]}") if f in places else F.lit(None).cast("string")).alias(f)
+        for f in schema.names], *(["_source_file", "_ingested_at"] * lineage))
+
+
+def read_landing_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
                      lineage: bool = False) -> DataFrame:
-    """Every CSV file of a folder, columns by name; empty fields become NULL.
+    """Every CSV file of a folder (or of a list), columns by name; empty fields become NULL.
 
-    Only the first line of each file is looked at beforehand. Columns that a file lacks are NULL,
-    columns that are not declared are left out.
+    One job looks at the first line of each file beforehand, and files with equal headers are
+    read together. Columns that a file lacks are NULL, columns that are not declared are left out.
+    A file whose header names no declared column, or one of them twice, ends the read with an error.
     """
     parts = []
-    for header, files in _headers(spark, path).items():
-        found = StructType([StructField(n, StringType()) for n in [*header, CORRUPT]])
-        part = (spark.read.schema(found).option("header", True).option("enforceSchema", False)
-                .option("columnNameOfCorruptRecord", CORRUPT).csv(files))
-        part = with_lineage(part) if lineage else part
-        if part.columns[:len(schema)] != schema.fieldNames():
-            part = part.select(*[
-                F.col(f) if f in part.columns else F.lit(None).cast("string").alias(f)
-                for f in schema.fieldNames()], *(["_source_file", "_ingested_at"] * lineage))
-        parts.append(part)
+    for names, files in header_groups(spark, path):
+        if fault := header_fault(names, schema):
+            raise ValueError(f"{fault}: {files[0]} has the header {names}")
+        parts.append(read_by_name(spark, names, files, schema, lineage))
     if not parts:
         none = spark.createDataFrame([], schema)
         return none.selectExpr("*", "'' AS _source_file", "current_timestamp() AS _ingested_at") \

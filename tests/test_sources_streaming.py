@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assay import session
+from assay.operators.dedupe import dedupe_first
 from assay.plans import silver
 from assay.plans.medallion import build
 from assay.sources import landing, tables
@@ -164,22 +165,133 @@ def write(folder, name, text):
     (folder / name).write_text(text)
 
 
+BRANCH_HEADER = "branch_id,branch_name,branch_state,branch_region,opened_date"
+
+
 def test_csv_columns_by_name(spark, tmp_path):
-    write(tmp_path / "branches", "a.csv", "branch_id,branch_name,branch_state,branch_region,"
-          "opened_date\nB1,Main,TN,South,2001-01-01\n")
-    write(tmp_path / "branches", "b.csv", "branch_name,extra,branch_id\nSide,9,B2\n")
-    write(tmp_path / "branches", "c.csv", "branch_name,branch_id\n")
-    write(tmp_path / "branches", "d.csv", "")
+    land = tmp_path / "branches"
+    write(land, "a.csv", f"{BRANCH_HEADER}\nB1,Main,TN,South,2001-01-01\n")
+    write(land, "b 1%.csv", "branch_name,extra,branch_id,\nSide,9,B2,\n")
+    write(land, "c.csv", "branch_name,branch_id\n")
+    write(land, "d.csv", "")
+    write(land, "e.csv", "\ufeff\"branch_id\",branch_name\r\nB3,\"One, two\"\r\n")
     got = landing.read_source(spark, str(tmp_path), "branches", lineage=True)
     assert rows(got, "branch_id", "branch_name", "branch_state") == [
-        ("B1", "Main", "TN"), ("B2", "Side", None)]
-    assert {r[0].rpartition("/")[2] for r in rows(got, "_source_file")} == {"a.csv", "b.csv"}
+        ("B1", "Main", "TN"), ("B2", "Side", None), ("B3", "One, two", None)]
+    assert len(rows(got.select("_source_file").distinct())) == 3
     manifest = landing.landing_manifest(spark, str(tmp_path), ["branches"]).first()
-    assert (manifest.files, manifest.row_count, manifest.smallest_file_rows) == (4, 2, 0)
-    assert manifest.bytes == sum(f.stat().st_size for f in (tmp_path / "branches").iterdir())
-    with pytest.raises(Exception, match="b.csv"):
-        ingest.source_to_bronze(spark, str(tmp_path), "branches", str(tmp_path / "o"),
-                                str(tmp_path / "p"))
+    assert (manifest.files, manifest.row_count, manifest.smallest_file_rows) == (5, 3, 0)
+    assert manifest.bytes == sum(f.stat().st_size for f in land.iterdir())
+    streamed = ingest.source_to_bronze(spark, str(tmp_path), "branches", str(tmp_path / "o"),
+                                       str(tmp_path / "p"))
+    assert rows(streamed.drop("_ingested_at")) == rows(got.drop("_ingested_at"))
+    write(land, "f.csv", "branch_id,branch_id\nB4,B4\n")
+    with pytest.raises(ValueError, match="repeated_column.*f.csv"):
+        landing.read_source(spark, str(tmp_path), "branches")
+
+
+def test_headers_are_read_by_one_job(spark, tmp_path):
+    land = tmp_path / "branches"
+    names = BRANCH_HEADER.split(",")
+    for i in range(200):
+        own = names[::-1] if i % 2 else names
+        line = dict(zip(names, (f"B{i}", "Main", "TN", "South", "2001-01-01")))
+        write(land, f"{i}.csv", ",".join(own) + "\n" + ",".join(line[n] for n in own) + "\n" * 3)
+    context = spark.sparkContext
+    context.setJobGroup("headers", "headers")
+    try:
+        got = landing.read_source(spark, str(tmp_path), "branches")
+        jobs = context.statusTracker().getJobIdsForGroup("headers")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 8  # listings of many files, and the stages of one aggregate
+    assert rows(got, "branch_id", "opened_date") == sorted(
+        (f"B{i}", "2001-01-01") for i in range(200))
+
+
+def test_first_lines_stop_early(spark, tmp_path):
+    write(tmp_path, "long.csv", "a,b\n" + "1,2\n" * 200_000)
+    write(tmp_path, "blank.csv", "\nx\n")
+    assert [r[1] for r in rows(landing.first_lines(spark, str(tmp_path)))] == ["", "a,b"]
+
+
+def test_faulty_files_are_set_aside_and_the_stream_goes_on(spark, tmp_path):
+    land, out, progress = tmp_path / "branches", str(tmp_path / "o"), str(tmp_path / "p")
+    run = lambda: ingest.source_to_bronze(
+        spark, str(tmp_path), "branches", out, progress, max_files=1)
+    land.mkdir()
+    assert run().count() == 0
+    assert ingest.rejected_lines(spark, out).count() == 0
+    write(land, "a.csv", f"{BRANCH_HEADER}\nB1,Main,TN,South,2001-01-01\n")
+    write(land, "b.csv", "when,what\n1,2\n3,4\n")
+    write(land, "c.csv", "branch_id,branch_id\nB9,B8\n")
+    assert rows(run(), "branch_id") == [("B1",)]
+    write(land, "d.csv", "branch_name,branch_id\nSide,B2\n")
+    assert rows(run(), "branch_id", "branch_name") == [("B1", "Main"), ("B2", "Side")]
+    bad = ingest.rejected_lines(spark, out)
+    assert rows(bad, "reason", "line") == [
+        ("no_declared_column", "1,2"), ("no_declared_column", "3,4"),
+        ("no_declared_column", "when,what"), ("repeated_column", "B9,B8"),
+        ("repeated_column", "branch_id,branch_id")]
+
+
+def test_a_batch_that_is_run_again_leaves_each_row_once(spark, tmp_path, monkeypatch):
+    land, out, progress = tmp_path / "branches", str(tmp_path / "o"), str(tmp_path / "p")
+    run = lambda: ingest.source_to_bronze(spark, str(tmp_path), "branches", out, progress)
+    write(land, "a.csv", f"{BRANCH_HEADER}\nB1,Main,TN,South,2001-01-01\n")
+    run()
+    write(land, "b.csv", "branch_id\nB2\n")
+    write(land, "c.csv", "other\n1\n")
+    plain, calls = ingest.batch_folder, []
+
+    def fail(spark, folder, *rest):
+        calls.append(folder)
+        if folder.endswith("_rejected"):
+            raise RuntimeError("lost")
+        return plain(spark, folder, *rest)
+
+    monkeypatch.setattr(ingest, "batch_folder", fail)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert len(calls) == 2  # the rows were written before the run ended
+    monkeypatch.setattr(ingest, "batch_folder", plain)
+    assert rows(run(), "branch_id") == [("B1",), ("B2",)]
+    assert ingest.rejected_lines(spark, out).count() == 2
+    # Another checkpoint takes all files anew, beside and not over what is there.
+    ingest.source_to_bronze(spark, str(tmp_path), "branches", out, str(tmp_path / "p2"))
+    assert rows(run(), "branch_id") == [("B1",), ("B1",), ("B2",), ("B2",)]
+
+
+def test_first_by_time_whenever_it_comes(spark, tmp_path):
+    land, progress = str(tmp_path / "land"), str(tmp_path / "p")
+    schema = landing.landing_schema("card_transactions")
+    spark.sql("DROP TABLE IF EXISTS assay_test_firsts")
+    run = lambda **more: ingest.stream_first(
+        spark, f"{land}/card_transactions", schema, "txn_id", "txn_ts", "assay_test_firsts",
+        str(tmp_path / "t"), progress, buckets=4, **more)
+    deliveries = [
+        [dict(txn_id="T1", txn_ts="2026-03-01"), dict(txn_id="T2", txn_ts="2026-03-01"),
+         *[dict(txn_id="hot", txn_ts=f"2026-02-{d:02d}") for d in range(10, 28)]],
+        [dict(txn_id="T1", txn_ts="2026-01-01", amount="7"), dict(txn_id="T3", txn_ts=None),
+         dict(txn_id="hot", txn_ts="2026-01-05")],
+        [dict(txn_id="T1", txn_ts="2026-01-01", amount="5"),
+         dict(txn_id="T2", txn_ts="2027-01-01"), dict(txn_id=None, txn_ts="2026-01-01")]]
+    taken = []
+    for delivery in deliveries:
+        taken += delivery
+        landing.export_source(bronze(spark, "card_transactions", *delivery), land,
+                              "card_transactions", shards=2)
+        got = run(max_files=1)
+        whole = bronze(spark, "card_transactions", *taken)
+        others = [c for c in schema.names if c not in ("txn_id", "txn_ts")]
+        assert rows(got) == rows(dedupe_first(whole, ["txn_id"], "txn_ts", others))
+    # The table is compared bucket by bucket: no row of it moves.
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    before = rows(got)
+    table = ingest.compact_first(spark, schema, "txn_id", "txn_ts", "assay_test_firsts",
+                                 str(tmp_path / "t2"), buckets=4)
+    assert rows(table) == before and rows(run()) == before
+    spark.sql("DROP TABLE assay_test_firsts")
 
 
 def test_unreadable_lines_are_kept(spark, tmp_path):
