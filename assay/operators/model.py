@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import values as v
 from ..functions.columns import clean_numeric, fill_defaults, threshold_band, whole_share
 from ..functions.features import churn_features
-from .ranks import rank_auc
-
-# An indexer keeps its categories on the driver. A column with more of them than this is hashed
-# into as many.
-MAX_CATEGORIES = 10_000
+from .preparation import CategoryIndexer, CategoryIndexerModel, MedianImputer
+from .ranks import _match, rank_auc, totals_before
 
 
 def feature_table(df: DataFrame, numeric: Sequence[str] = v.CHURN_NUMERIC,
@@ -57,43 +52,49 @@ def stratified_split(df: DataFrame, label: str = v.CHURN_LABEL, key: str = "cust
             split.filter("split = 'test'").drop("split"))
 
 
-def _wide_columns(train: DataFrame, label: str, categorical: Sequence[str]) -> list[str]:
-    """Columns with too many categories to index; refuses a label of one class. One aggregate."""
-    seen = train.agg(F.min(label).alias("low"), F.max(label).alias("high"),
-                     *[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+def exact_split(df: DataFrame, label: str = v.CHURN_LABEL, key: str = "customer_id",
+                test: float = 0.25, seed: int = 42) -> DataFrame:
+    """Add ``split``: of each class, the first ``test`` of the rows in the order of a hash of label
+    and key are test rows, so its share is missed by less than one row. Rows without a label are a
+    class too. No class is sorted in one task (``ranks.totals_before``)."""
+    place = F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws(
+        ":", F.col(label).cast("string"), F.col(key)))), F.lit(":"), F.col(key))
+    ranked = totals_before(df.withColumns({"__place": place, "__one": F.lit(1)}), [label],
+                           "__place", ["__one"])
+    sizes = ranked.groupBy(label).agg(F.count("*").alias("__size"))
+    first = F.col("__one_before") < F.col("__size") * F.lit(float(test))
+    return _match(ranked, sizes, [label]).select(
+        *df.columns, F.when(first, "test").otherwise("train").alias("split"))
+
+
+def _check_classes(train: DataFrame, label: str) -> None:
+    seen = train.agg(F.min(label).alias("low"), F.max(label).alias("high")).first()
     if seen["low"] is None or seen["low"] == seen["high"]:
         raise ValueError("the label has fewer than two classes")
-    return [c for c in categorical if seen[c] > MAX_CATEGORIES]
 
 
 def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CHURN_NUMERIC,
               categorical: Sequence[str] = v.CHURN_CATEGORICAL, label: str = v.CHURN_LABEL,
               trees: int = 100, seed: int = 42) -> PipelineModel:
-    """Median imputation, one-hot categories (unseen ones get no column) and a classifier.
-
-    Columns of very many categories are hashed first (MAX_CATEGORIES).
+    """Exact medians for missing numbers, one-hot categories of any number (unseen ones get no
+    column) and a classifier.
 
     Stage the training table first: every step of the fit reads it.
     """
     if algo not in ("gbt", "logistic"):
         raise ValueError(f"unknown algorithm: {algo}")
-    wide = _wide_columns(train, label, categorical)
-    steps = [SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"string(pmod(xxhash64(`{c}`), {MAX_CATEGORIES})) AS `{c}_hashed`" for c in wide)
-        + " FROM __THIS__")] if wide else []
-    steps += [Imputer(strategy="median", inputCols=list(numeric),
-                     outputCols=[f"{c}_num" for c in numeric])]
+    _check_classes(train, label)
     assembled = [f"{c}_num" for c in numeric]
+    steps = [MedianImputer(inputCols=list(numeric), outputCols=assembled)]
     if categorical:
         steps += [
-            StringIndexer(inputCols=[f"{c}_hashed" if c in wide else c for c in categorical],
-                          handleInvalid="keep",
-                          outputCols=[f"{c}_idx" for c in categorical]),
+            CategoryIndexer(inputCols=list(categorical),
+                            outputCols=[f"{c}_idx" for c in categorical]),
             # The place for unseen categories is the last, which is dropped.
-            OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical],
+            OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], handleInvalid="keep",
                           outputCols=[f"{c}_hot" for c in categorical]),
         ]
-        assembled += [f"{c}_hot" for c in categorical]
+        assembled = assembled + [f"{c}_hot" for c in categorical]
     steps.append(VectorAssembler(inputCols=assembled, outputCol="raw_features"))
     if algo == "gbt":
         steps.append(GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=trees,
@@ -102,7 +103,7 @@ def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CH
         steps += [
             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True,
                            withStd=True),
-            LogisticRegression(featuresCol="features", labelCol=label, maxIter=400,
+            LogisticRegression(featuresCol="features", labelCol=label, maxIter=400, tol=1e-11,
                                regParam=1e-4, elasticNetParam=0.0, standardization=False),
         ]
     return Pipeline(stages=steps).fit(train)
@@ -135,10 +136,18 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = v.CHURN_LABEL)
 
 
 def _feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
-    """Names of the assembled vector's slots, one-hot columns expanded."""
+    """Names of the assembled vector's slots, one-hot columns by their categories; as many as the
+    model has weights."""
+    names = {}
+    for step in model.stages:
+        if isinstance(step, CategoryIndexerModel):
+            columns = step.getInputCols()
+            names = {f"{columns[r['column']]}_hot_{int(r['index'])}":
+                     f"{columns[r['column']]}_{r['category']}"
+                     for r in step.categories(df.sparkSession).collect()}
     metadata = model.transform(df.limit(0)).schema["raw_features"].metadata["ml_attr"]["attrs"]
     slots = sorted((a["idx"], a["name"]) for group in metadata.values() for a in group)
-    return [name.removesuffix("_num").replace("_hot_", "_", 1) for _, name in slots]
+    return [names.get(name) or name.removesuffix("_num") for _, name in slots]
 
 
 def importances(model: PipelineModel, df: DataFrame, k: int = 10) -> DataFrame:
@@ -161,6 +170,37 @@ def _ranked(spark: SparkSession, names, weights, out: str, k: int | None) -> Dat
     return ranked if k is None else ranked.limit(k)
 
 
+def permutation_importance(df: DataFrame, features: Sequence[str],
+                           score: Callable[[DataFrame], DataFrame], out: str,
+                           label: str = v.CHURN_LABEL, key: str = "customer_id", seed: int = 42
+                           ) -> DataFrame:
+    """(feature, auc, permuted_auc, drop): how much the exact AUC of ``score(df)[out]`` loses when
+    one feature's values are dealt out anew.
+
+    The row that comes n-th by its key gets the value of the row that comes n-th by a hash of feature
+    and key. Both orders are distributed ranks, and a join on n brings them together; all features
+    are scored in one pass over the rows.
+    """
+    df = df.withColumns({f: F.col(f).cast("double") for f in features})
+    rows = totals_before(df.withColumn("__one", F.lit(1)), [], key, ["__one"])
+    values = df.select(F.col(key).alias("__key"), F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).alias("__value")) for f in features],
+        F.struct(F.lit("").alias("feature"), F.lit(0.0).alias("__value")))))  # rows as they are
+    place = F.concat(F.md5(F.concat(F.lit(f"{seed}:"), "feature", F.lit(":"), "__key")),
+                     F.lit(":"), F.col("__key"))
+    donors = totals_before(values.withColumns({"__place": place, "__n": F.lit(1)}), ["feature"],
+                           "__place", ["__n"]).select("feature", "__n_before", "__value")
+    dealt = rows.join(donors, F.col("__one_before") == F.col("__n_before")).withColumns({
+        f: F.when(F.col("feature") == f, F.col("__value")).otherwise(F.col(f)) for f in features})
+    scored = rank_auc(score(dealt), out, label, by=["feature"]).groupBy().agg(
+        F.collect_list(F.struct("feature", "auc")).alias("all"))  # a row per feature
+    whole = F.filter("all", lambda x: x["feature"] == "")[0]["auc"]
+    return scored.select(whole.alias("auc"), F.explode(
+        F.filter("all", lambda x: x["feature"] != "")).alias("one")).select(
+        "one.feature", "auc", F.col("one.auc").alias("permuted_auc"),
+        (F.col("auc") - F.col("one.auc")).alias("drop"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

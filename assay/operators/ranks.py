@@ -83,24 +83,24 @@ def average_rank(df: DataFrame, score: str) -> DataFrame:
         score, "n", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"))
 
 
-def rank_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve by the Mann-Whitney count, ties counted half.
+def rank_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve by the Mann-Whitney count, ties counted half, per group if asked.
 
-    One row with positives, negatives and auc, which is NaN when a class is absent.
+    Positives, negatives and auc, which is NaN when a class is absent; one row if there are no groups.
     """
     counts = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-                .groupBy(F.col(score).alias("__key"))
+                .groupBy(*by, F.col(score).alias("__key"))
                 .agg(F.count_if(F.col(label) == 1).alias("pos"),
                      F.count_if(F.col(label) != 1).alias("neg")))
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     # Twice the number of (positive, negative) pairs in the right order, ties once.
     doubled = F.sum((wide("pos") * (wide("neg_before") * 2 + wide("neg"))).cast("decimal(38,0)"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
-    totals = totals_before(counts, [], "__key", ["pos", "neg"]).agg(
+    totals = totals_before(counts, by, "__key", ["pos", "neg"]).groupBy(*by).agg(
         total("pos").alias("positives"), total("neg").alias("negatives"),
         doubled.alias("__doubled"))
     pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
     return totals.select(
-        "positives", "negatives",
+        *by, "positives", "negatives",
         F.when(pairs > 0, F.col("__doubled").cast("double") / (pairs * 2))
          .otherwise(F.lit(float("nan"))).alias("auc"))

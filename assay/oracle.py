@@ -772,4 +772,90 @@ FROM (SELECT attrition_flag, rank() OVER (ORDER BY z)
         + (count(*) OVER (PARTITION BY z) - 1) / 2::DOUBLE AS r
       FROM scorecard WHERE attrition_flag IS NOT NULL)""",
 }
+
+# The training split, and the logistic baseline by its unique optimum: accelerated descent on the
+# full batch of standardised rows, whose curvature lies between the penalty and 1 / _RATE.
+_F = list(_SIGNALS.values())
+_X = [f"x{i}" for i in range(1, len(_F) + 1)]
+_STEPS, _RATE, _L2 = 3000, 0.5, 1e-4
+_MOMENTUM = (1 - (_RATE * _L2) ** 0.5) / (1 + (_RATE * _L2) ** 0.5)
+CTE["parted"] = """
+SELECT *, CASE WHEN row_number() OVER (PARTITION BY attrition_flag ORDER BY
+      md5('42:' || concat_ws(':', attrition_flag, customer_id)), customer_id) - 1
+    < 0.25::DOUBLE * count(*) OVER (PARTITION BY attrition_flag)
+  THEN 'test' ELSE 'train' END AS split FROM features"""
+CTE["trained"] = "SELECT * FROM parted WHERE split = 'train' AND attrition_flag IS NOT NULL"
+CTE["scaled"] = f"""
+SELECT parted.customer_id, split, parted.attrition_flag::DOUBLE AS y, {", ".join(
+    f"coalesce(({f} - m_{f}) / nullif(s_{f}, 0), 0) AS {x}" for f, x in zip(_F, _X))}
+FROM parted JOIN signals USING (customer_id), (
+  SELECT {", ".join(f"avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}" for f in _F)}
+  FROM trained JOIN signals USING (customer_id))
+WHERE parted.attrition_flag IS NOT NULL"""
+_LINE = " + ".join(["a[1]", *[f"a[{i + 2}] * {x}" for i, x in enumerate(_X)]])
+_ZERO = "[" + ", ".join(["0::DOUBLE"] * (len(_X) + 1)) + "]"
+CTE["optimum"] = f"""
+WITH RECURSIVE batch AS MATERIALIZED (SELECT * FROM scaled WHERE split = 'train'),
+descent AS (
+  SELECT 0 AS k, {_ZERO} AS w, {_ZERO} AS p
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, {len(_X) + 2}), lambda j:
+           a[j] - {_RATE} * (g[j] + CASE WHEN j > 1 THEN {_L2} * a[j] ELSE 0 END)), w
+  FROM (SELECT k, w, a, [avg(e), {", ".join(f"avg(e * {x})" for x in _X)}] AS g
+        FROM (SELECT *, 1::DOUBLE / (1::DOUBLE + exp(-({_LINE}))) - y AS e
+              FROM (SELECT k, w, list_transform(range(1, {len(_X) + 2}), lambda j:
+                             w[j] + {_MOMENTUM} * (w[j] - p[j])) AS a
+                    FROM descent WHERE k < {_STEPS}), batch)
+        GROUP BY k, w, a))
+SELECT w AS a FROM descent WHERE k = {_STEPS}"""
+
+
+def _auc(rows: str, score: str, label: str) -> str:
+    """Positives, negatives and the area under the curve of ``rows``."""
+    pos, neg = (f"count(*) FILTER ({label} = {x})" for x in (1, 0))
+    return f"""
+SELECT {pos} AS positives, {neg} AS negatives,
+  (sum(r) FILTER ({label} = 1) - {pos} * ({pos} + 1) / 2::DOUBLE)
+    / ({pos}::DOUBLE * {neg}) AS auc
+FROM (SELECT {label}, rank() OVER (ORDER BY {score})
+        + (count(*) OVER (PARTITION BY {score}) - 1) / 2::DOUBLE AS r FROM {rows})"""
+
+
+_CARD = re.sub(r"(f_\w+)", r"{\1}", CTE["scorecard"].split("SELECT *, ")[2].split(" AS z")[0])
+CTE["known"] = """
+SELECT *, row_number() OVER (ORDER BY customer_id) AS place
+FROM signals WHERE attrition_flag IS NOT NULL"""
+
+
+def _permuted(name: str, signal: str) -> str:
+    z = _CARD.format(**{f: "dealt" if f == signal else f for f in _F})
+    return f"""
+SELECT '{name}' AS feature, round(whole.auc, 9) AS auc, round(less.auc, 9) AS permuted_auc,
+  round(whole.auc - less.auc, 6) AS "drop"
+FROM ({_auc("(SELECT * FROM scorecard WHERE attrition_flag IS NOT NULL)", "z",
+            "attrition_flag")}) AS whole,
+  ({_auc(f"(SELECT *, {z} AS z FROM known JOIN (SELECT {signal} AS dealt, row_number() OVER "
+         f"(ORDER BY md5('42:{name}:' || customer_id), customer_id) AS place FROM known) "
+         "USING (place))", "z", "attrition_flag")}) AS less"""
+
+
+_BODIES |= {
+    "churn_split_exact": """
+SELECT customer_id, attrition_flag, split FROM parted WHERE attrition_flag IS NOT NULL""",
+    "imputed_features": "SELECT customer_id, " + ", ".join(
+        f"round(coalesce({n}, (SELECT quantile_cont({n}, 0.5) FROM trained)), 6) AS {n}_num"
+        for n in v.CHURN_NUMERIC) + " FROM features",
+    "category_index": _union(f"""
+SELECT '{n}' AS column_name, {n} AS category, count(*) AS n,
+  row_number() OVER (ORDER BY count(*) DESC, {n}) - 1 AS "index" FROM trained GROUP BY {n}"""
+                             for n in v.CHURN_CATEGORICAL),
+    "permutation_importance": _union(_permuted(n, f) for n, f in _SIGNALS.items()),
+    "logistic_baseline": "SELECT unnest([" + ", ".join(f"'{n}'" for n in _SIGNALS) + f"""])
+  AS feature, round(unnest(a[2:{len(_X) + 1}]), 4) AS coefficient FROM optimum""",
+    "logistic_eval": f"""
+SELECT positives, negatives, round(auc, 4) AS auc,
+  CASE WHEN auc > 0.95 THEN 'probable leakage' WHEN auc < 0.7 THEN 'weak features' ELSE 'ok' END
+    AS verdict
+FROM ({_auc(f"(SELECT y, {_LINE} AS z FROM scaled, optimum WHERE split = 'test')", "z", "y")})""",
+}
 ORACLE = {name: _with(body) for name, body in _BODIES.items()}

@@ -168,8 +168,9 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
 
 def build_scored(spark: SparkSession, database: str, trees: int = 100) -> DataFrame:
     """Train on the labelled customers of a built database and write the scores of the others."""
-    rows = stage(model.feature_table(spark.table(f"{database}.gold_customer_360")), "features")
+    rows = stage(model.exact_split(
+        model.feature_table(spark.table(f"{database}.gold_customer_360"))), "features")
     labelled, open_rows = model.split_labelled(rows)
-    train, _ = model.stratified_split(labelled)
-    fitted = model.fit_churn(train, trees=trees)
-    return write_table(model.score(fitted, open_rows), f"{database}.gold_customers_scored")
+    fitted = model.fit_churn(labelled.filter("split = 'train'"), trees=trees)
+    return write_table(model.score(fitted, open_rows.drop("split")),
+                       f"{database}.gold_customers_scored")

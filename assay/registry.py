@@ -14,6 +14,7 @@ from .operators import defects as d
 from .operators import model as m
 from .operators import parents, profile, quality, ranks
 from .operators.dedupe import dedupe_first, dedupe_latest, top_k
+from .operators.preparation import CategoryIndexer, MedianImputer
 from .plans import gold, metrics, reports, silver
 from .plans.medallion import Medallion, SegmentView, build, build_scored
 from .session import new_folder, stage, tune
@@ -805,7 +806,7 @@ def features(spark, folder) -> DataFrame:
 
 def staged_features(spark, folder) -> DataFrame:
     """Features written once; a model fit reads them many times."""
-    return stage(m.with_split(features(spark, folder)), "features")
+    return stage(m.exact_split(features(spark, folder)), "features")
 
 
 def fitted(spark, folder, algo="gbt"):
@@ -837,6 +838,48 @@ def churn_split(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register
+def churn_split_exact(spark, folder):
+    """Part of each labelled customer; a quarter of each class is for the test, to the row."""
+    rows = m.exact_split(features(spark, folder))
+    return m.split_labelled(rows)[0].select("customer_id", "attrition_flag", "split")
+
+
+def training_rows(spark, folder) -> DataFrame:
+    return m.split_labelled(staged_features(spark, folder))[0].filter("split = 'train'")
+
+
+@register
+def imputed_features(spark, folder):
+    """All customers' numbers, missing ones replaced by the exact medians of the training rows."""
+    outs = [f"{n}_num" for n in v.CHURN_NUMERIC]
+    imputer = MedianImputer(inputCols=list(v.CHURN_NUMERIC), outputCols=outs)
+    filled = imputer.fit(training_rows(spark, folder)).transform(features(spark, folder))
+    return filled.select("customer_id", *[F.round(o, 6).alias(o) for o in outs])
+
+
+@register
+def category_index(spark, folder):
+    """Number and frequency of each category of the training rows."""
+    columns = list(v.CHURN_CATEGORICAL)
+    model = CategoryIndexer(inputCols=columns, outputCols=[f"{n}_idx" for n in columns]).fit(
+        training_rows(spark, folder))
+    name = F.element_at(F.array(*map(F.lit, columns)), F.col("column") + 1)
+    return model.categories(spark).select(
+        name.alias("column_name"), "category", "n", F.col("index").cast("bigint").alias("index"))
+
+
+@register
+def permutation_importance(spark, folder):
+    """What the scorecard's AUC loses when one of its features is dealt out anew."""
+    rows = stage(churn_features(m.split_labelled(features(spark, folder))[0]), "signals")
+    out = m.permutation_importance(
+        rows, list(v.SCORECARD),
+        lambda df: scorecard(df, v.SCORECARD_INTERCEPT, v.SCORECARD), "z")
+    return out.select("feature", *[F.round(x, 9).alias(x) for x in ("auc", "permuted_auc")],
+                      F.round("drop", 6).alias("drop"))
+
+
 @register
 def label_summary(spark, folder):
     out = profile.label_summary(features(spark, folder), v.CHURN_LABEL)
@@ -911,14 +954,16 @@ def feature_importance(spark, folder):
 def logistic_baseline(spark, folder):
     """Standardised coefficients of the logistic baseline, greatest size first."""
     model, rows = fitted(spark, folder, "logistic")
-    return m.coefficients(model, churn_features(rows))
+    return m.coefficients(model, churn_features(rows)).withColumn(
+        "coefficient", F.round("coefficient", 4))
 
 
 @register
 def logistic_eval(spark, folder):
     model, rows = fitted(spark, folder, "logistic")
-    return m.evaluate(model, churn_features(
+    out = m.evaluate(model, churn_features(
         m.split_labelled(rows)[0].filter("split = 'test'")))
+    return out.withColumn("auc", F.round("auc", 4))
 
 
 @register

@@ -1,10 +1,14 @@
 import pytest
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import functions as F
 
 from assay.functions import values as v
 from assay.operators import model as m
+from assay.operators import preparation as prep
 from assay.session import new_folder, stage
 
+from .helpers import rows
+
 
 @pytest.fixture(scope="module")
 def rows_(spark):
@@ -105,3 +109,71 @@ def test_baseline_and_guards(rows_):
         m.fit_churn(labelled.filter("attrition_flag = 1"))
     with pytest.raises(ValueError, match="algorithm"):
         m.fit_churn(labelled, "forest")
+
+
+def test_exact_split_takes_a_quarter_of_each_class(spark, rows_):
+    whole = rows_.drop("split")
+    got = m.exact_split(whole)
+    assert got.columns == [*whole.columns, "split"]
+    counts = got.groupBy("attrition_flag").agg(
+        F.count("*").alias("n"), F.count_if(F.col("split") == "test").alias("test")).collect()
+    assert {r.attrition_flag for r in counts} == {0, 1, None}
+    assert all(0 <= r.test - r.n / 4 < 1 for r in counts)
+    again = m.exact_split(whole.repartition(5))
+    assert got.exceptAll(again).count() == 0 and got.drop("split").exceptAll(whole).count() == 0
+    twice = m.exact_split(whole.union(whole).union(whole))  # keys that repeat
+    n, test = twice.agg(F.count("*"), F.count_if(F.col("split") == "test")).first()
+    assert n == 3600 and 900 <= test < 903
+    other = m.exact_split(whole, seed=7)
+    assert other.exceptAll(got).count() > 0
+    assert m.exact_split(whole.limit(0)).count() == 0
+
+
+def test_medians_are_exact_and_saved(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1.0, None, None), (2.0, 5.0, None), (10.0, float("nan"), None), (4.0, 7.0, None)],
+        "a double, b double, c double")
+    fitted = prep.MedianImputer(inputCols=["a", "b", "c"], outputCols=["x", "y", "z"]).fit(df)
+    want = [(1.0, 6.0, 0.0), (2.0, 5.0, 0.0), (4.0, 7.0, 0.0), (10.0, 6.0, 0.0)]
+    assert sorted(rows(fitted.transform(df), "x", "y", "z")) == want
+    assert fitted.getOrDefault(fitted.medians) == [3.0, 6.0, 0.0]
+    fitted.save(str(tmp_path / "imputer"))
+    again = prep.MedianImputerModel.load(str(tmp_path / "imputer"))
+    assert sorted(rows(again.transform(df), "x", "y", "z")) == want
+    same = prep.MedianImputer(inputCols=["a"], outputCols=["a"]).fit(df).transform(df)
+    assert same.columns == df.columns
+
+
+def test_fifty_thousand_categories(spark, tmp_path):
+    n = 50_000
+    df = spark.range(n + 3 * n // 2).select(
+        F.concat(F.lit("c"), F.col("id") % n).alias("many"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("few"))
+    fitted = prep.CategoryIndexer(inputCols=["many", "few"], outputCols=["i", "j"]).fit(df)
+    assert fitted.getOrDefault(fitted.sizes) == [n, 2]
+    table = fitted.categories(spark).where("column = 0")
+    bounds = table.agg(F.min("index"), F.max("index"), F.count_distinct("index")).first()
+    assert tuple(bounds) == (0, n - 1, n)
+    first = table.orderBy("index").first()
+    assert (first.category, first.n) == ("c0", 3)
+    odd = spark.createDataFrame([("c1", "hot"), ("new", None)], "many string, few string")
+    assert rows(fitted.transform(odd), "i", "j") == [(1.0, 1.0), (float(n), 2.0)]
+    fitted.save(str(tmp_path / "index"))
+    again = prep.CategoryIndexerModel.load(str(tmp_path / "index"))
+    assert rows(again.transform(odd), "i", "j") == [(1.0, 1.0), (float(n), 2.0)]
+    assert str(tmp_path) in again.getOrDefault(again.table)
+    hot = OneHotEncoder(inputCols=["i"], outputCols=["v"], handleInvalid="keep").fit(
+        fitted.transform(odd)).transform(fitted.transform(odd))
+    assert [r.v.size for r in hot.collect()] == [n, n]
+    assert sorted(r.v.numNonzeros() for r in hot.collect()) == [0, 1]
+
+
+def test_permuting_a_feature_that_counts_costs_auc(spark):
+    df = spark.range(800).select(
+        F.concat(F.lit("k"), "id").alias("customer_id"), (F.col("id") % 10).alias("good"),
+        (F.col("id") % 7).alias("noise"), (F.col("id") % 10 > 4).cast("int").alias("attrition_flag"))
+    got = {r.feature: r for r in m.permutation_importance(
+        df, ["good", "noise"], lambda x: x.withColumn("s", F.col("good") + 0 * F.col("noise")),
+        "s").collect()}
+    assert got["good"].auc == got["noise"].auc == 1.0
+    assert got["noise"].drop == 0.0 and 0.35 < got["good"].drop < 0.65
