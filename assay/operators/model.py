@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import values as v
 from ..functions.columns import clean_numeric, fill_defaults, threshold_band, whole_share
 from ..functions.features import churn_features
+from ..session import stage
 from .preparation import CategoryIndexer, CategoryIndexerModel, MedianImputer
 from .ranks import _match, rank_auc, totals_before
 
@@ -79,7 +80,7 @@ def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CH
     """Exact medians for missing numbers, one-hot categories of any number (unseen ones get no
     column) and a classifier.
 
-    Stage the training table first: every step of the fit reads it.
+    Stage the training table first: several steps of the preparation read it.
     """
     if algo not in ("gbt", "logistic"):
         raise ValueError(f"unknown algorithm: {algo}")
@@ -96,17 +97,22 @@ def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CH
         ]
         assembled = assembled + [f"{c}_hot" for c in categorical]
     steps.append(VectorAssembler(inputCols=assembled, outputCol="raw_features"))
+    prepared = Pipeline(stages=steps).fit(train)
+    # The joins of the preparation run once, and every pass of the fit reads what they left, in
+    # pieces of the advised size: a fit has hundreds of passes, and small pieces slow each down.
+    ready = stage(prepared.transform(train).select(label, "raw_features").hint("rebalance"),
+                  "prepared")
     if algo == "gbt":
-        steps.append(GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=trees,
-                                   maxDepth=3, stepSize=0.1, seed=seed))
+        last = [GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=trees,
+                              maxDepth=3, stepSize=0.1, seed=seed)]
     else:
-        steps += [
+        last = [
             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True,
                            withStd=True),
             LogisticRegression(featuresCol="features", labelCol=label, maxIter=400, tol=1e-11,
                                regParam=1e-4, elasticNetParam=0.0, standardization=False),
         ]
-    return Pipeline(stages=steps).fit(train)
+    return PipelineModel([*prepared.stages, *Pipeline(stages=last).fit(ready).stages])
 
 
 def fit_baseline(train: DataFrame, label: str = v.CHURN_LABEL) -> PipelineModel:
