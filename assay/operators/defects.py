@@ -38,30 +38,38 @@ def hits(defect: Defect, key: str, seed: int) -> Column:
         F.expr(defect.where), F.lit(False))
 
 
-def plant(df: DataFrame, key: str, defects: Sequence[Defect], seed: int) -> DataFrame:
-    """Apply the defects in order. Hits are decided on the untouched row."""
+def planted_flag(name: str) -> str:
+    return f"planted_{name}"
+
+
+def plant(df: DataFrame, key: str, defects: Sequence[Defect], seed: int,
+          flagged: bool = False) -> DataFrame:
+    """Apply the defects in order. Hits are decided on the untouched row; ``flagged`` adds a column
+    for each defect that tells them (``planted_flag``)."""
     flags = {f"__hit_{i}": hits(d, key, seed) for i, d in enumerate(defects)}
     out = df.withColumns(flags)
     for i, d in enumerate(defects):
         out = out.withColumn(
             d.column, F.when(F.col(f"__hit_{i}"), F.expr(d.value)).otherwise(F.col(d.column)))
-    return out.select(*df.columns)
+    return out.select(*df.columns, *[
+        F.col(f"__hit_{i}").alias(planted_flag(d.name)) for i, d in enumerate(defects) if flagged])
 
 
 def plant_copies(df: DataFrame, key: str, name: str, rate: float, seed: int,
-                 changes: Mapping[str, str] | None = None) -> DataFrame:
+                 changes: Mapping[str, str] | None = None, flagged: bool = False) -> DataFrame:
     """Add a second row for about ``rate`` of the rows: exact, or with some columns replaced.
+    ``flagged`` adds a column that tells both rows of such a pair.
 
     Each input row is read once and emitted once or twice; no self-union.
     """
     copies = F.when(_hit(key, name, rate, seed), F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0)))
-    out = df.withColumn("__copy", F.explode(copies))
+    out = df.withColumn("__pair", F.size(copies) > 1).withColumn("__copy", F.explode(copies))
     if changes:
         out = out.select(*[
             F.when(F.col("__copy") == 1, F.expr(changes[c])).otherwise(F.col(c)).alias(c)
-            if c in changes else F.col(c) for c in df.columns])
-    return out.select(*df.columns)
+            if c in changes else F.col(c) for c in [*df.columns, "__pair"]])
+    return out.select(*df.columns, *[F.col("__pair").alias(planted_flag(name))] * flagged)
 
 
 def planted_counts(df: DataFrame, key: str, defects: Sequence[Defect], seed: int,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ColumnLike, as_column, parse_date
@@ -157,3 +158,35 @@ def metric_spread(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("metric").agg(
         F.count("value").alias("datasets"), F.min("value").alias("min_value"),
         F.max("value").alias("max_value"))
+
+
+# Metrics of many runs.
+
+LEDGER = "metric string, value double"
+
+
+def _done(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def record_run(metrics: DataFrame, ledger: str, run: str) -> bool:
+    """Enter a run's ``metrics`` (metric, value) into a ledger; TRUE if they were not there yet.
+
+    A run is entered once: a second call with its name changes nothing and computes nothing. What
+    an interrupted call left behind is replaced.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"a run is named by letters, digits, '_', '.' and '-', not {run!r}")
+    path = f"{ledger}/run={run}"
+    if _done(metrics.sparkSession, path):
+        return False
+    metrics.select("metric", F.col("value").cast("double").alias("value")).write.mode(
+        "overwrite").parquet(path)
+    return True
+
+
+def recorded_runs(spark: SparkSession, ledger: str) -> DataFrame:
+    """(run, metric, value) of all runs that were entered."""
+    return spark.read.schema(f"{LEDGER}, run string").parquet(ledger).select(
+        "run", "metric", "value")

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import text
@@ -139,3 +139,73 @@ def unexplained(source: DataFrame, quarantined: DataFrame, planted: Column,
     """Planted bad rows that reached no quarantine: the expectation that is missing."""
     return source.filter(planted).join(
         quarantined.select(*keys).distinct(), list(keys), "left_anti")
+
+
+# Metrics that come with a write.
+
+@dataclass(frozen=True)
+class Watch:
+    """Expectations of a table, counted while its rows are written."""
+
+    table: str
+    rules: tuple[Rule, ...]
+    observation: Observation
+
+    def rows(self) -> list[tuple]:
+        """(table_name, expectation, action, passed, failed); waits for the write to end."""
+        seen = self.observation.get
+        return [(self.table, r.name, r.action, seen["rows"] - seen[f"r{i}"], seen[f"r{i}"])
+                for i, r in enumerate(self.rules)]
+
+
+METRICS = "table_name string, expectation string, action string, passed long, failed long"
+
+
+def watch(df: DataFrame, rules: Sequence[Rule], table: str, seen: str = "true"
+          ) -> tuple[DataFrame, Watch]:
+    """``df`` to be written, and what will tell the passed and failed rows per rule once it is.
+
+    Counts travel with the tasks of the write, so there is no further scan. They are exact if no
+    shuffle stands between here and the write: then each row is counted by the one task whose
+    output is kept. ``seen`` tells which rows the expectations look at.
+    """
+    looked = F.coalesce(F.expr(seen), F.lit(False))
+    observation = Observation()
+    counted = df.observe(observation, F.count_if(looked).alias("rows"), *[
+        F.count_if(looked & ~r.passes).alias(f"r{i}") for i, r in enumerate(rules)])
+    return counted, Watch(table, tuple(rules), observation)
+
+
+def watched_metrics(spark: SparkSession, watches: Sequence[Watch]) -> DataFrame:
+    """What ``expectation_metrics`` tells, of frames that have been written."""
+    return spark.createDataFrame([row for w in watches for row in w.rows()], METRICS)
+
+
+# Which rule catches which defect.
+
+def _mask(conditions: Mapping[str, Column]) -> Column:
+    """One bit per condition that holds."""
+    return reduce(lambda a, b: a.bitwiseOR(b), [
+        F.when(cond, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+        for i, cond in enumerate(conditions.values())], F.lit(0).cast("bigint"))
+
+
+def _names(mask: str, conditions: Mapping[str, Column]) -> Column:
+    held = F.filter(F.array(*[F.when(F.col(mask).bitwiseAND(F.lit(1 << i)) != 0, F.lit(n))
+                              for i, n in enumerate(conditions)]), lambda x: x.isNotNull())
+    return F.when(F.size(held) == 0, F.array(F.lit("none"))).otherwise(held)
+
+
+def coverage(df: DataFrame, planted: Mapping[str, Column], fired: Mapping[str, Column]
+             ) -> DataFrame:
+    """(planted, fired, n): the rows that carry a planted defect and break a rule, for each pair.
+
+    Rows with a defect that no rule fires on are counted under fired 'none', rules that fire on rows
+    without a defect under planted 'none'. Each row becomes two bit masks, so one pass with a
+    map-side count of few groups does it; the pairs are made of the counts.
+    """
+    masks = df.groupBy(_mask(planted).alias("__p"), _mask(fired).alias("__f")).agg(
+        F.count("*").alias("n"))
+    return (masks.select(F.explode(_names("__p", planted)).alias("planted"), "__f", "n")
+                 .select("planted", F.explode(_names("__f", fired)).alias("fired"), "n")
+                 .groupBy("planted", "fired").agg(F.sum("n").alias("n")))

@@ -12,7 +12,7 @@ from .operators.defects import Defect
 from .plans.metrics import BANKING
 from .registry import (
     CUSTOMER_COPY_RATE, EXPECTED_RANGES, PLANTED_ACCOUNTS, PLANTED_CUSTOMERS,
-    PLANTED_TRANSACTIONS, SEED, TRANSACTION_COPY_RATE,
+    PLANTED_TRANSACTIONS, SEED, SEEDS, TRANSACTION_COPY_RATE,
 )
 
 AS_OF = f"DATE '{v.AS_OF}'"
@@ -79,10 +79,10 @@ def _share(key: str, salt: str) -> str:
             f" / 4294967296::DOUBLE")
 
 
-def _hit(defect: Defect | str, key: str, rate: float | None = None) -> str:
+def _hit(defect: Defect | str, key: str, rate: float | None = None, seed: int = SEED) -> str:
     name = defect if isinstance(defect, str) else defect.name
     rate = rate if rate is not None else defect.rate
-    return f"({_share(key, f'{SEED}:{name}:')} < {rate}::DOUBLE)"
+    return f"({_share(key, f'{seed}:{name}:')} < {rate}::DOUBLE)"
 
 
 CTE = {
@@ -368,6 +368,24 @@ def _conservation(name: str, source: str, clean: str, bad: str) -> str:
             f"FROM {had} FULL JOIN {has} USING ({key})")
 
 
+def _planting(seed: int) -> str:
+    """Rows that each planting rule hits."""
+    return _union([
+        *[f"SELECT '{x.name}' AS defect, count(*) AS n FROM raw_customers "
+          f"WHERE {_hit(x, 'customer_id', seed=seed)} AND {w}"
+          for x, w in zip(PLANTED_CUSTOMERS, _PLANTABLE, strict=True)],
+        "SELECT 'duplicate_customer_rows', count(*) FROM raw_customers WHERE "
+        + _hit("duplicate_customer_rows", "customer_id", CUSTOMER_COPY_RATE, seed),
+        *[f"SELECT '{x.name}', count(*) FROM raw_accounts "
+          f"WHERE {_hit(x, 'account_id', seed=seed)}" for x in PLANTED_ACCOUNTS],
+        f"SELECT '{PLANTED_TRANSACTIONS[0].name}', count(*) FROM raw_txns "
+        f"WHERE {_hit(PLANTED_TRANSACTIONS[0], 'txn_id', seed=seed)}",
+        "SELECT 'duplicate_txn_rows', count(*) FROM raw_txns WHERE "
+        + _hit("duplicate_txn_rows", "txn_id", TRANSACTION_COPY_RATE, seed)])
+
+
+_PLANTABLE = ["length(home_state) = 2", "TRY_CAST(nullif(date_of_birth, '') AS DATE) IS NOT NULL",
+              "true"]
 _RAW = {"customers": "raw_customers", "accounts": "raw_accounts", "branches": "raw_branches",
         "customer_events": "raw_events", "card_transactions": "raw_txns"}
 _BAD_CUSTOMERS = "(SELECT * FROM parsed_customers WHERE coalesce(age NOT BETWEEN 18 AND 110, true))"
@@ -601,19 +619,10 @@ FROM s_events GROUP BY 1, 2""",
         _conservation("customers", "parsed_customers", "s_customers", _BAD_CUSTOMERS),
         _conservation("accounts", "raw_accounts", "s_accounts", "bad_accounts"),
         _conservation("card_transactions", "first_txns", "s_txns", _BAD_TXNS)]),
-    "planted_defects": _union([
-        *[f"SELECT '{x.name}' AS defect, count(*) AS n FROM raw_customers "
-          f"WHERE {_hit(x, 'customer_id')} AND {w}" for x, w in zip(PLANTED_CUSTOMERS, [
-              "length(home_state) = 2", "TRY_CAST(nullif(date_of_birth, '') AS DATE) IS NOT NULL",
-              "true"], strict=True)],
-        "SELECT 'duplicate_customer_rows', count(*) FROM raw_customers WHERE "
-        + _hit("duplicate_customer_rows", "customer_id", CUSTOMER_COPY_RATE),
-        *[f"SELECT '{x.name}', count(*) FROM raw_accounts WHERE {_hit(x, 'account_id')}"
-          for x in PLANTED_ACCOUNTS],
-        f"SELECT '{PLANTED_TRANSACTIONS[0].name}', count(*) FROM raw_txns "
-        f"WHERE {_hit(PLANTED_TRANSACTIONS[0], 'txn_id')}",
-        "SELECT 'duplicate_txn_rows', count(*) FROM raw_txns WHERE "
-        + _hit("duplicate_txn_rows", "txn_id", TRANSACTION_COPY_RATE)]),
+    "planted_defects": _planting(SEED),
+    "metric_spread_runs": "SELECT defect AS metric, count(*) AS runs, "
+        "CAST(min(n) AS DOUBLE) AS min_value, CAST(max(n) AS DOUBLE) AS max_value FROM ("
+        + _union(_planting(seed) for seed in SEEDS) + ") GROUP BY defect",
     "dq_before_after": """
 SELECT b.table_name, b.expectation, b.failed AS failed_before, a.failed AS failed_after,
   a.failed - b.failed AS delta
@@ -839,7 +848,51 @@ FROM ({_auc("(SELECT * FROM scorecard WHERE attrition_flag IS NOT NULL)", "z",
          "USING (place))", "z", "attrition_flag")}) AS less"""
 
 
+def _tagged(table: str, key: str, hits: dict[str, str]) -> str:
+    """The damaged table with the names of the rules that hit each row before."""
+    names = ", ".join(f"CASE WHEN {w} THEN '{n}' END" for n, w in hits.items())
+    return CTE[table].strip().replace(
+        f"SELECT {key},", f"SELECT list_filter([{names}], lambda x: x IS NOT NULL) AS planted, "
+        f"{key},", 1)
+
+
+def _coverage(source: str, table: str, fired: dict[str, str]) -> str:
+    names = ", ".join(f"CASE WHEN {w} THEN '{n}' END" for n, w in fired.items())
+    some = "CASE WHEN len({0}) = 0 THEN ['none'] ELSE {0} END"
+    return f"""
+SELECT '{source}' AS source, planted, fired, count(*) AS n FROM (
+  SELECT planted, unnest(fired) AS fired FROM (
+    SELECT unnest({some.format("planted")}) AS planted, {some.format("fired")} AS fired
+    FROM (SELECT planted, list_filter([{names}], lambda x: x IS NOT NULL) AS fired
+          FROM {table} AS t)))
+GROUP BY planted, fired"""
+
+
+CTE["t_customers"] = _tagged("p_customers", "customer_id", {
+    **{x.name: f"{_hit(x, 'customer_id')} AND {w}"
+       for x, w in zip(PLANTED_CUSTOMERS, _PLANTABLE, strict=True)},
+    "duplicate_customer_rows":
+        _hit("duplicate_customer_rows", "customer_id", CUSTOMER_COPY_RATE)})
+CTE["t_accounts"] = _tagged("p_accounts", "account_id", {
+    x.name: _hit(x, "account_id") for x in PLANTED_ACCOUNTS})
+CTE["t_txns"] = _tagged("p_txns", "txn_id", {
+    PLANTED_TRANSACTIONS[0].name: _hit(PLANTED_TRANSACTIONS[0], "txn_id"),
+    "duplicate_txn_rows": _hit("duplicate_txn_rows", "txn_id", TRANSACTION_COPY_RATE)})
+
 _BODIES |= {
+    "observed_expectations": "SELECT * FROM metrics_before",
+    "rule_coverage": _union([
+        _coverage("customers", "(SELECT *, count(*) OVER (PARTITION BY customer_id) AS copies "
+                  "FROM t_customers)", {
+            "long_form_state": _NO_CODE, "alt_date_format_dob": _ISO_MISS,
+            "missing_dob": "date_of_birth = ''", "duplicate_customer_rows": "copies > 1"}),
+        _coverage("accounts", "t_accounts", {
+            "negative_balance": "balance < 0", "balance_outlier_100x": "balance >= 10000000",
+            "orphan_account_customer":
+                "customer_id NOT IN (SELECT customer_id FROM raw_customers)"}),
+        _coverage("card_transactions", "(SELECT *, count(*) OVER (PARTITION BY txn_id) AS copies "
+                  "FROM t_txns)", {
+            "txn_amount_outlier_100x": "amount >= 100000", "duplicate_txn_rows": "copies > 1"})]),
     "churn_split_exact": """
 SELECT customer_id, attrition_flag, split FROM parted WHERE attrition_flag IS NOT NULL""",
     "imputed_features": "SELECT customer_id, " + ", ".join(

@@ -132,28 +132,35 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
 
     Every layer reads the written tables of the layer before it. A judged frame is written once,
     clean and quarantined rows into folders of their own, so neither the dedup nor the
-    foreign-key join runs for both.
+    foreign-key join runs for both. The same write counts the rows that pass and fail each
+    expectation, which make the table ``expectation_metrics`` beside the others.
     """
     folder = create_database(spark, database, location)
     names: list[str] = []
+    watches: list[quality.Watch] = []
 
     def put(name: str, df: DataFrame) -> DataFrame:
         names.append(name)
         return write_table(df, f"{database}.{name}")
 
-    def split(name: str, judged: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
+    def split(name: str, judged: DataFrame, columns, rules, seen: str = "true"
+              ) -> tuple[DataFrame, DataFrame]:
         names.append(name)
+        judged, watch = quality.watch(judged, rules, name, seen)
+        watches.append(watch)
         return write_split(judged, f"{database}.{name}", f"{folder}/{name}",
                            F.col(quality.REASON).isNull(), columns)
 
     lazy = Medallion({source: put(f"bronze_{source}", df) for source, df in bronze.items()},
                      as_of)
-    customers, bad = split("silver_customers", lazy.judged_customers, silver.CUSTOMER_COLUMNS)
+    customers, bad = split("silver_customers", lazy.judged_customers, silver.CUSTOMER_COLUMNS,
+                           silver.CUSTOMER_RULES)
     put("silver_customers_quarantine", silver.customers_quarantine(bad))
-    accounts, bad = split("silver_accounts", lazy.judged_accounts, silver.ACCOUNT_COLUMNS)
+    accounts, bad = split("silver_accounts", lazy.judged_accounts, silver.ACCOUNT_COLUMNS,
+                          silver.ACCOUNT_RULES, silver.HAS_PARENT)
     put("silver_accounts_quarantine", silver.accounts_quarantine(bad))
     transactions, bad = split("silver_card_transactions", lazy.judged_transactions,
-                              silver.TRANSACTION_COLUMNS)
+                              silver.TRANSACTION_COLUMNS, silver.TRANSACTION_RULES)
     put("silver_txn_quarantine", silver.transactions_quarantine(bad))
     put("silver_customer_events", lazy.events)
     branches = put("silver_branches", lazy.branches)
@@ -163,6 +170,7 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], database: str,
     put("gold_transaction_facts", gold.transaction_facts(transactions, accounts, c360))
     put("gold_balance_by_age_band", gold.balance_by_band(c360))
     put("gold_retention_summary", gold.retention_summary(c360))
+    write_table(quality.watched_metrics(spark, watches), f"{database}.expectation_metrics")
     return names
 
 

@@ -41,6 +41,8 @@ _ACCOUNT_REASONS = [
     q.Rule("readable_balance", "balance IS NOT NULL", reason="unparseable_balance"),
     ACCOUNT_RULES[0], ACCOUNT_RULES[1],
 ]
+# The accounts that the expectations look at.
+HAS_PARENT = f"coalesce({q.REASON}, '') <> '{_ACCOUNT_REASONS[0].reason}'"
 _TRANSACTION_REASONS = [
     q.Rule("has_id", "txn_id IS NOT NULL", reason="missing_txn_id"),
     q.Rule("readable_amount", "is_money", reason="unparseable_amount"), TRANSACTION_RULES[0],

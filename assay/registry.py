@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SEED = 7
+SEEDS = (7, 8, 9)
 PLANTED_CUSTOMERS = [
     d.Defect("long_form_state", "home_state",
              "CASE home_state " + " ".join(
@@ -413,28 +414,90 @@ def conservation_check(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def planted(raw) -> dict[str, DataFrame]:
-    customers = d.plant(raw["customers"], "customer_id", PLANTED_CUSTOMERS, SEED)
-    transactions = d.plant(raw["card_transactions"], "txn_id", PLANTED_TRANSACTIONS, SEED)
+def planted(raw, flagged: bool = False) -> dict[str, DataFrame]:
+    customers = d.plant(raw["customers"], "customer_id", PLANTED_CUSTOMERS, SEED, flagged)
+    transactions = d.plant(raw["card_transactions"], "txn_id", PLANTED_TRANSACTIONS, SEED,
+                           flagged)
     return {
         "customers": d.plant_copies(customers, "customer_id", "duplicate_customer_rows",
-                                    CUSTOMER_COPY_RATE, SEED, STALE),
-        "accounts": d.plant(raw["accounts"], "account_id", PLANTED_ACCOUNTS, SEED),
+                                    CUSTOMER_COPY_RATE, SEED, STALE, flagged),
+        "accounts": d.plant(raw["accounts"], "account_id", PLANTED_ACCOUNTS, SEED, flagged),
         "card_transactions": d.plant_copies(transactions, "txn_id", "duplicate_txn_rows",
-                                            TRANSACTION_COPY_RATE, SEED),
+                                            TRANSACTION_COPY_RATE, SEED, flagged=flagged),
     }
 
 
+def planting(raw, seed: int) -> DataFrame:
+    """(defect, n): how many rows each of the nine planting rules hits under a seed."""
+    return (d.planted_counts(raw["customers"], "customer_id", PLANTED_CUSTOMERS, seed,
+                             {"duplicate_customer_rows": CUSTOMER_COPY_RATE})
+            .unionAll(d.planted_counts(raw["accounts"], "account_id", PLANTED_ACCOUNTS, seed))
+            .unionAll(d.planted_counts(raw["card_transactions"], "txn_id",
+                                       PLANTED_TRANSACTIONS, seed,
+                                       {"duplicate_txn_rows": TRANSACTION_COPY_RATE})))
+
+
 @register
 def planted_defects(spark, folder):
     """How many rows each of the nine planting rules hits."""
+    return planting(supplied.raw_sources(tune(spark), folder), SEED)
+
+
+@register
+def metric_spread_runs(spark, folder):
+    """Smallest and greatest number of rows that each planting rule hits over the runs of a ledger,
+    one run per seed; a run that is entered twice counts once."""
     raw = supplied.raw_sources(tune(spark), folder)
-    return (d.planted_counts(raw["customers"], "customer_id", PLANTED_CUSTOMERS, SEED,
-                             {"duplicate_customer_rows": CUSTOMER_COPY_RATE})
-            .unionAll(d.planted_counts(raw["accounts"], "account_id", PLANTED_ACCOUNTS, SEED))
-            .unionAll(d.planted_counts(raw["card_transactions"], "txn_id",
-                                       PLANTED_TRANSACTIONS, SEED,
-                                       {"duplicate_txn_rows": TRANSACTION_COPY_RATE})))
+    ledger = new_folder(spark, "ledger")
+    for seed in (*SEEDS, SEEDS[0]):
+        profile.record_run(planting(raw, seed).select(
+            F.col("defect").alias("metric"), F.col("n").alias("value")), ledger, f"seed-{seed}")
+    return profile.metric_spread(profile.recorded_runs(spark, ledger)).withColumnRenamed(
+        "datasets", "runs")
+
+
+def repeated(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with a flag on the rows whose key occurs more than once. The repeated keys are staged:
+    a join with a written table is one that adaptive execution may broadcast, or split where a key
+    is hot."""
+    keys = stage(profile.duplicate_keys(df.select(key), [key]).select(
+        F.col(key).alias("__key")), "repeated")
+    return df.join(keys, F.col(key) == F.col("__key"), "left").withColumn(
+        "is_repeated", F.col("__key").isNotNull()).drop("__key")
+
+
+@register
+def rule_coverage(spark, folder):
+    """Of the rows that each planting rule hits, how many each of the nine checks fires on; what no
+    check fires on, and what fires on untouched rows, included."""
+    t = planted(supplied.raw_sources(tune(spark), folder), flagged=True)
+    flags = lambda rules, *more: {
+        n: F.col(d.planted_flag(n)) for n in (*[r.name for r in rules], *more)}
+    accounts = parents.tag_orphans(t["accounts"], t["customers"], "customer_id")
+    parts = {
+        "customers": quality.coverage(
+            repeated(t["customers"], "customer_id"),
+            flags(PLANTED_CUSTOMERS, "duplicate_customer_rows"),
+            {"long_form_state": profile.nonmatching("home_state", "^[A-Z]{2}$"),
+             "alt_date_format_dob": profile.not_iso_date("date_of_birth"),
+             "missing_dob": profile.missing("date_of_birth"),
+             "duplicate_customer_rows": F.col("is_repeated")}),
+        "accounts": quality.coverage(
+            accounts, flags(PLANTED_ACCOUNTS),
+            {"negative_balance": profile.out_of_range("balance", low=0),
+             "balance_outlier_100x": profile.out_of_range("balance", high=v.BALANCE_LIMIT),
+             "orphan_account_customer": F.col("is_orphan")}),
+        "card_transactions": quality.coverage(
+            repeated(t["card_transactions"], "txn_id"),
+            flags(PLANTED_TRANSACTIONS, "duplicate_txn_rows"),
+            {"txn_amount_outlier_100x": profile.out_of_range("amount", high=v.AMOUNT_LIMIT),
+             "duplicate_txn_rows": F.col("is_repeated")}),
+    }
+    out = None
+    for source, part in parts.items():
+        part = part.select(F.lit(source).alias("source"), "planted", "fired", "n")
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 @register
@@ -609,6 +672,13 @@ def table_counts(spark, folder):
     return tables.table_counts({n: spark.table(f"{database}.{n}") for n in names})
 
 
+@register
+def observed_expectations(spark, folder):
+    """The expectation metrics that a build counted while it wrote its tables."""
+    database, _ = built(spark, folder, "assay_observed")
+    return spark.table(f"{database}.expectation_metrics")
+
+
 @register
 def promote_tables(spark, folder):
     source, _ = built(spark, folder, "assay_source")

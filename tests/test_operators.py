@@ -233,3 +233,56 @@ def test_caught_counts(spark):
     assert {n: r.planted for n, r in got.items()} == counts
     both = df.filter(d.hits(rules[0], "k", 4) & d.hits(rules[1], "k", 4)).count()
     assert (got["seen"].caught, got["unseen"].caught) == (counts["seen"] - both, 0)
+
+
+def test_watched_writes_count_what_a_scan_counts(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else float(i - 20)) for i in range(200)],
+                               "id long, x double").repartition(5)
+    rules = [quality.Rule("not_negative", "x >= 0"), quality.Rule("small", "x < 100", "warn")]
+    counted, watch = quality.watch(df, rules, "t")
+    counted.write.parquet(str(tmp_path / "t"))
+    assert rows(quality.watched_metrics(spark, [watch])) == rows(
+        quality.expectation_metrics(df, rules, "t"))
+    counted, watch = quality.watch(df, rules, "t", seen="id < 50")
+    counted.write.parquet(str(tmp_path / "u"))
+    assert watch.rows() == [("t", "not_negative", "drop", 25, 25), ("t", "small", "warn", 42, 8)]
+    counted, watch = quality.watch(df.limit(0), rules, "t")
+    counted.write.parquet(str(tmp_path / "v"))
+    assert [r[3:] for r in watch.rows()] == [(0, 0), (0, 0)]
+
+
+def test_watched_build_needs_no_further_scan(spark):
+    """The counts of a build come from its writes: one aggregate less, and no plan of their own."""
+    df = spark.range(100).withColumn("x", F.col("id") % 5)
+    counted, _ = quality.watch(df, [quality.Rule("r", "x > 0")], "t")
+    assert "CollectMetrics" in counted._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_coverage_pairs_defects_with_rules(spark):
+    df = spark.createDataFrame(
+        [(True, False, 1), (True, True, 5), (False, True, 9), (False, False, 9),
+         (False, False, 1), (None, False, None)], "a boolean, b boolean, x int")
+    got = quality.coverage(df, {"a": F.col("a"), "b": F.col("b")},
+                           {"high": F.col("x") > 4, "top": F.col("x") > 8})
+    assert rows(got, "planted", "fired", "n") == [
+        ("a", "high", 1), ("a", "none", 1), ("b", "high", 2), ("b", "top", 1),
+        ("none", "high", 1), ("none", "none", 2), ("none", "top", 1)]
+    assert quality.coverage(df.limit(0), {"a": F.col("a")}, {"h": F.col("x") > 4}).count() == 0
+
+
+def test_a_run_is_entered_once(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    metric = lambda x: spark.createDataFrame([("n", x), ("share", None)], "metric string, value double")
+    assert profile.record_run(metric(1.0), ledger, "a")
+    assert not profile.record_run(metric(5.0), ledger, "a")
+    (tmp_path / "ledger" / "run=b").mkdir()          # a run that was cut short
+    (tmp_path / "ledger" / "run=b" / "part-0.parquet").write_bytes(b"half")
+    assert profile.record_run(metric(3.0), ledger, "b")
+    assert rows(profile.recorded_runs(spark, ledger)) == [
+        ("a", "n", 1.0), ("a", "share", None), ("b", "n", 3.0), ("b", "share", None)]
+    assert rows(profile.metric_spread(profile.recorded_runs(spark, ledger))) == [
+        ("n", 2, 1.0, 3.0), ("share", 0, None, None)]
+    for bad in ("", "a/b", "../x", "a=b"):
+        with pytest.raises(ValueError, match="named"):
+            profile.record_run(metric(1.0), ledger, bad)

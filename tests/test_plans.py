@@ -13,7 +13,8 @@ from .helpers import bronze
 FOLDER = "/root/testdata/sf0.001"
 # These run jobs of their own while they are built.
 EAGER = {n for n in QUERIES if n.startswith(("bronze_", "stream_"))} | {
-    "reordered_accounts", "damaged_transactions", "rebuild_counts",
+    "reordered_accounts", "damaged_transactions", "rebuild_counts", "observed_expectations",
+    "metric_spread_runs", "imputed_features", "category_index",
     "landing_manifest", "landing_rows", "table_counts", "promote_tables",
     "promote_scored", "churn_gbt_eval",
     "customers_scored", "risk_band_summary", "churn_watchlist", "churn_watchlist_groups",
