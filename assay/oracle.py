@@ -504,8 +504,14 @@ def _measures(names) -> str:
     return ", ".join(f'{_MEASURE_SQL[n]} AS "{n}"' for n in names)
 
 
-_DIMS = BANKING.dimensions
-_DIM_COLS = ", ".join(f'{x.expr} AS "{n}"' for n, x in _DIMS.items())
+# The eleven dimensions and their columns.
+_DIMS = {
+    "Age": "age", "Age Band": "age_band", "Gender": "gender", "State": "home_state",
+    "Region": "region", "Segment": "segment", "Acquisition Channel": "acquisition_channel",
+    "Source Bank": "source_bank", "Moved From Bank": "moved_from_bank",
+    "Customer Status": "customer_status", "Retained": "is_retained",
+}
+_DIM_COLS = ", ".join(f'{column} AS "{name}"' for name, column in _DIMS.items())
 _SPLIT = _share("(attrition_flag || ':' || customer_id)", "42:") + " < 0.25::DOUBLE"
 _BUCKET = "CASE reason " + " ".join(
     f"WHEN '{r}' THEN '{b}'" for r, b in v.REASON_BUCKETS.items()) + " ELSE 'other' END"
@@ -663,7 +669,7 @@ GROUP BY 1, 2""",
 SELECT region AS "Region", {_measures(_MEASURE_SQL)} FROM c360 GROUP BY region""",
     "metric_by_all_dimensions": f"""
 SELECT {_DIM_COLS}, {_measures(["Customer Count", "Median Balance"])} FROM c360
-GROUP BY {", ".join(x.expr for x in _DIMS.values())}""",
+GROUP BY {", ".join(_DIMS.values())}""",
     "metric_by_segment": f"""
 SELECT segment AS "Segment",
   {_measures(["Customer Count", "Average Balance", "Debit Card Swipes", "Retention Rate"])},
@@ -680,8 +686,8 @@ WHERE moved_from_bank""",
 SELECT age_band AS "Age Band", segment AS "Segment",
   {_measures(["Median Balance", "Customer Count"])} FROM c360 GROUP BY 1, 2""",
     "metric_catalogue": _union([
-        *[f"SELECT 'dimension' AS kind, '{n}' AS name, '{x.expr}' AS expr, "
-          f"count(DISTINCT {x.expr}) AS distinct_values FROM c360" for n, x in _DIMS.items()],
+        *[f"SELECT 'dimension' AS kind, '{n}' AS name, '{x}' AS expr, "
+          f"count(DISTINCT {x}) AS distinct_values FROM c360" for n, x in _DIMS.items()],
         *[f"SELECT 'measure', '{n}', '{x.expr.replace(chr(39), chr(39) * 2)}', NULL"
           for n, x in BANKING.measures.items()]]),
     "kpi_overview": _kpi(),
@@ -880,6 +886,10 @@ CTE["t_txns"] = _tagged("p_txns", "txn_id", {
     "duplicate_txn_rows": _hit("duplicate_txn_rows", "txn_id", TRANSACTION_COPY_RATE)})
 
 _BODIES |= {
+    "profile_sketched": _union(
+        f"SELECT '{f}' AS column_name, count(*) AS row_count, count(*) FILTER ({f} IS NULL) AS "
+        f"null_count, true AS distinct_near, {'true' if f == 'balance' else 'NULL'} AS median_near "
+        "FROM raw_accounts" for f in v.ACCOUNT_FIELDS),
     "observed_expectations": "SELECT * FROM metrics_before",
     "rule_coverage": _union([
         _coverage("customers", "(SELECT *, count(*) OVER (PARTITION BY customer_id) AS copies "

@@ -12,7 +12,7 @@ from .functions import values as v
 from .functions.features import churn_features, scorecard
 from .operators import defects as d
 from .operators import model as m
-from .operators import parents, profile, quality, ranks
+from .operators import parents, profile, quality, ranks, sketches
 from .operators.dedupe import dedupe_first, dedupe_latest, top_k
 from .operators.preparation import CategoryIndexer, MedianImputer
 from .plans import gold, metrics, reports, silver
@@ -223,6 +223,29 @@ def profile_columns(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+@register
+def profile_sketched(spark, folder):
+    """Profile of the accounts from sketches that were kept for each type of account and merged;
+    are the estimates within four standard errors of the exact numbers?"""
+    t = lake(spark, folder).bronze["accounts"]
+    accounts = t.withColumn("balance", F.col("balance").cast("double"))
+    kept = new_folder(spark, "sketches")
+    for kind in ("checking", "savings"):
+        sketches.store(accounts.where(F.col("account_type") == kind), kept, kind)
+    sketches.store(accounts.where("account_type NOT IN ('checking', 'savings')"), kept, "others")
+    told = sketches.estimates(sketches.stored(spark, kept), {"median": 0.5})
+    exact = profile.profile(accounts, approx=False).select(
+        "column_name", F.col("distinct_count").alias("exact"))
+    median = told.where("column_name = 'balance'").first()["median"]
+    below = accounts.agg(F.avg((F.col("balance") <= median).cast("double")).alias("rank"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.0325 * F.col("exact")
+    out = told.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", near.alias("distinct_near"))
+    rank = below.select(F.lit("balance").alias("column_name"),
+                        F.col("rank").between(0.48, 0.52).alias("median_near"))
+    return out.join(rank, "column_name", "left")
+
+
 @register
 def sample_customers(spark, folder):
     """A few raw rows to look at."""
