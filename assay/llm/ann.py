@@ -18,8 +18,10 @@ PROBES that reaches TARGET recall for SAMPLE_QUERIES queries among SAMPLE_ROWS v
 within a sample are farther away than within the whole table, so recall there is higher. Every
 vector is indexed. Scores are products summed with a single rounding.
 
-Vectors null, zero, or with null or non-finite components take no part, nor do rows without
-``vec_id``; repeated rows count once.
+Vectors null, zero, without components, or with null or non-finite ones take no part, nor do rows
+without ``vec_id``; repeated rows count once. Vectors are only compared with others of as many
+components. Equal scores come by ascending ``vec_id``. An empty table, or one without queries, has no
+rows. Other columns, whatever they are called, are not looked at. There are no texts.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import (FOUND, answers, best_rows, classes, found_batch, matrix, merge, queries,
-                      valid_vectors)
+from .vectors import (FOUND, answers, best_rows, by_length, classes, found_batch, matrix, merge,
+                      queries, valid_vectors)
 
 TABLES = 8
 KEYS = 6
@@ -234,8 +236,13 @@ def _search(keep: int):
 
 def nearest(df: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``df`` (vec_id, embedding) whose id is
-    divisible by ``every``: the ``k`` rows found with the largest inner products."""
-    rows = valid_vectors(df, lambda x: x, zeros=False)
+    divisible by ``every``: the ``k`` rows found with the largest inner products. Vectors of each
+    length are searched on their own."""
+    return by_length(valid_vectors(df, lambda x: x, zeros=False), every,
+                     lambda rows: _nearest(rows, k, every))
+
+
+def _nearest(rows: DataFrame, k: int, every: int) -> DataFrame:
     of = classes(rows, k + 1)
     asked = queries(rows, of, every)
     n, longest = of.agg(F.count("*"), F.max(F.sqrt(F.aggregate(
@@ -259,7 +266,7 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     sent = probes.join(parts, "cell").select(
         "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("salt"),
         F.lit(True).alias("asks"), "id", "ids", "vec", "buckets")
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = placed.unionAll(sent).repartition(tasks, "cell", "salt") \
         .sortWithinPartitions("cell", "salt", "asks").mapInArrow(_search(k + 1), FOUND)
     return answers(asked, merge(found, k + 1), k)

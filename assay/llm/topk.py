@@ -11,8 +11,10 @@ of the rest, bound the product from above; pairs whose bound stays below the k-t
 there, the others are multiplied exactly.
 
 Sums are exact while the product of two lengths is below 2^53; longer vectors are refused. Vectors
-null or with null or non-finite components take no part, nor do rows without ``vec_id``; repeated
-rows count once.
+null, without components, or with null or non-finite ones take no part, nor do rows without
+``vec_id``; repeated rows count once. Vectors are only compared with others of as many components.
+Equal scores come by ascending ``vec_id``. An empty table, or one without queries, has no rows. Other
+columns, whatever they are called, are not looked at. There are no texts.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import rows_per_partition, stage
-from .vectors import (FOUND, answers, best_rows, classes, found_batch, matrix, merge, queries,
-                      valid_vectors)
+from .vectors import (FOUND, answers, best_rows, by_length, classes, found_batch, matrix, merge,
+                      queries, valid_vectors)
 
 SCALE = 64
 BLOCK_ROWS = 8_192
@@ -151,9 +153,13 @@ def _compare(rotation: np.ndarray, keep: int):
 def top_products(df: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``df`` (vec_id, embedding) whose id is
     divisible by ``every``: the ``k`` other rows of the largest inner product, where a component x
-    counts as floor(scale * x)."""
+    counts as floor(scale * x). Vectors of each length are searched on their own."""
+    return by_length(valid_vectors(df, lambda x: F.floor(x * scale), zeros=True), every,
+                     lambda rows: _top_products(rows, k, every))
+
+
+def _top_products(rows: DataFrame, k: int, every: int) -> DataFrame:
     keep = k + 1
-    rows = valid_vectors(df, lambda x: F.floor(x * scale), zeros=True)
     of = classes(rows, keep)
     asked = queries(rows, of, every)
     n = of.count()

@@ -9,6 +9,7 @@ Query rows with equal vectors are one query until the answers are given out.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +24,26 @@ FOUND = "query long, ids array<long>, scores array<double>"
 def valid_vectors(df: DataFrame, change: Callable[[Column], Column], zeros: bool) -> DataFrame:
     """(vec_id, vec) of the distinct rows of ``df`` (vec_id, embedding) whose vector is whole and
     finite and, if not ``zeros``, has a component other than zero. ``change`` is applied to each
-    component, as a double, first. Vectors of another length than most have no measure and go."""
+    component, as a double, first. Vectors without components have no measure and go."""
     real = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
-    rows = df.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & real)
+    rows = df.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & real)
     if not zeros:
         rows = rows.where(F.exists("embedding", lambda x: x != 0))
-    length = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(
-        F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("embedding") == (length.n if length else 0)).select(
+    return rows.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.transform("embedding", lambda x: change(x.cast("double")).cast("double")).alias("vec")
     ).distinct()
 
 
+def by_length(rows: DataFrame, every: int, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``search`` of the rows of each length of vector that holds a query, together: vectors of
+    different lengths have no inner product."""
+    lengths = rows.groupBy(F.size("vec").alias("n")).agg(
+        F.count_if(F.col("vec_id") % every == 0).alias("asked")).where("asked > 0")
+    found = [search(rows.where(F.size("vec") == r["n"])) for r in lengths.orderBy("n").collect()]
+    return reduce(DataFrame.unionAll, found) if found else search(rows.limit(0))
+
+
 def classes(rows: DataFrame, keep: int) -> DataFrame:
     """(id, ids, vec): each distinct vector with its ``keep`` smallest ids and the first of them.
     The limit per vector is applied before the shuffle, so a vector that a third of all rows share

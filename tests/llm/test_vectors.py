@@ -18,13 +18,14 @@ def brute(rows, change, zeros, k=20):
     good = {(i, tuple(change(float(x)) for x in v)) for i, v in rows
             if i is not None and v is not None
             and all(x is not None and math.isfinite(x) for x in v) and (zeros or any(v))}
-    size = max({len(v) for _, v in good}, key=[len(v) for _, v in good].count, default=0)
-    good = sorted(g for g in good if len(g[1]) == size)
+    good = sorted(g for g in good if g[1])
     out = {}
     for i, q in good:
         if i % 20 == 0:
-            scored = [(-math.fsum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i]
-            out[i] = [(j, -s) for s, j in sorted(scored)[:k]]
+            scored = [(-math.fsum(a * b for a, b in zip(q, v)), j) for j, v in good
+                      if j != i and len(v) == len(q)]
+            if scored:
+                out[i] = [(j, -s) for s, j in sorted(scored)[:k]]
     return out
 
 
@@ -59,6 +60,18 @@ def test_products_are_exact(spark):
     assert top_products(alone).count() == 0
 
 
+def test_each_length_is_a_search_of_its_own(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=(8, 3, 5)[i % 3]).astype(np.float32).tolist()) for i in range(240)]
+    rows += [(1000, [1.0] * 7), (1001, [2.0] * 9), (1020, []), (1021, [])]
+    assert found(top_products(frame(spark, rows))) == brute(
+        rows, lambda x: math.floor(64 * x), zeros=True)
+    want, got = brute(rows, float, zeros=False), found(nearest(frame(spark, rows)))
+    assert set(got) == set(want) and {len(v) for v in want.values()} == {20}
+    hits = sum(len(set(got[q]) & set(want[q])) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
 def test_long_vectors_are_refused(spark):
     with pytest.raises(Exception, match="2\\^53"):
         top_products(frame(spark, [(20, [1e9, 1.0]), (21, [1e9, 2.0])])).collect()
