@@ -4,9 +4,13 @@ Lines are exploded with their positions and hashed; documents are counted per ha
 document is put together again from the runs of lines between the dropped positions. The text
 itself is shuffled once, when the positions come back to it; the hashes are staged once for the
 two steps that read them. A line that a third of all documents share costs one pre-aggregated
-row per map task in the count, and its join partition is one that adaptive execution may split.
+row per map task in the count. The shared lines are staged too: where an aggregate on the same key
+stood below the join, it would already have the join's partitioning, and adaptive execution could
+not split the join's hot partition.
 
-Null or empty text is one empty line. Rows with a null ``doc_id`` have no place in the order of
+Null or empty text is one empty line. A text of any length is split whole, but its positions must fit
+a row. An empty table has no rows. Other columns come out as they are, whatever they are called, unless
+their names begin with two underscores. Rows with a null ``doc_id`` have no place in the order of
 documents: their lines neither count nor go. Repeated rows count as one document, and each comes
 out. Lines are compared by 128 bits of hash.
 """
@@ -46,7 +50,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> Data
     else:
         firsts = seen.agg(F.min("doc_id").alias("first"),
                           F.count_distinct("doc_id").alias("n")).where(F.col("n") >= min_docs)
-    dropped = (hashed.join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
+    shared = stage(firsts.select("h1", "h2", "first"), "shared-lines")
+    dropped = (hashed.join(shared, ["h1", "h2"])
                .where("doc_id > first").groupBy("doc_id", "row")
                .agg(F.sort_array(F.collect_set("pos")).alias("__cut"))
                .withColumnsRenamed({"doc_id": "__doc", "row": "__of"}))

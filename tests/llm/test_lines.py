@@ -2,6 +2,7 @@
 
 import hypothesis.strategies as st
 from hypothesis import HealthCheck, given, settings
+from pyspark.sql import functions as F
 
 from assay.llm.lines import dedup_lines
 
@@ -55,3 +56,28 @@ LINES = st.sampled_from(["", " ", "alpha beta gamma", "ALPHA beta gamma ", "tiny
                 min_size=1, max_size=8))
 def test_any_rows(spark, rows):
     assert run(spark, rows) == plain(rows)
+
+
+def test_a_hot_line_is_split(spark):
+    """The join that finds the lines to drop splits the partition of a line in a third of all rows."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20kb",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10kb",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, value in keys.items():
+        spark.conf.set(k, value)
+    try:
+        docs = spark.range(12_000).repartition(8).select(
+            F.col("id").alias("doc_id"),
+            F.when(F.col("id") % 3 == 0, "the line that everybody has")
+             .otherwise(F.concat(F.lit("a line of its own "), (F.col("id") / 2).cast("int")))
+             .alias("text"))
+        kept = dedup_lines(docs)
+        kept.collect()
+        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, value in old.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
