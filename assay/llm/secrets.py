@@ -143,11 +143,13 @@ def match_spans(text: Column, rule: Rule, order: int) -> Column:
 def scan_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """Every row of ``docs`` with ``__spans``: an array of (start, kind, end) in order of start
     and kind, where kind is the rule's place in ``rules``."""
-    cand = candidates(docs, rules)
-    indexed = {c.removeprefix("__may_") for c in cand.columns if c != "__doc"}
+    indexed = {r.kind for r in rules if trigram_query(r.pattern)}
     text = F.coalesce("text", F.lit(""))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    both = docs.join(cand, F.col("doc_id").eqNullSafe(F.col("__doc")), "left")
+    both = docs
+    if indexed:
+        cand = candidates(docs, rules)
+        both = docs.join(cand, F.col("doc_id").eqNullSafe(F.col("__doc")), "left")
     found = [F.when(F.col(f"__may_{r.kind}"), match_spans(text, r, i)).otherwise(none)
              if r.kind in indexed else match_spans(text, r, i) for i, r in enumerate(rules)]
     return both.select(*[F.col(f"`{c}`") for c in docs.columns],

@@ -56,3 +56,13 @@ def test_own_rule(spark):
     rule = Rule("key", "-----BEGIN [A-Z ]+-----")
     df = spark.createDataFrame([(1, "x -----BEGIN RSA KEY----- y")], "doc_id long, text string")
     assert [tuple(s) for s in scan_secrets(df, [rule]).first()["__spans"]] == [(2, 0, 25)]
+
+
+def test_rules_without_trigrams_scan_every_text(spark):
+    docs = spark.createDataFrame([(1, "ab 12345 c"), (2, None), (3, "none")], "doc_id long, text string")
+    only = [r for r in RULES if r.kind == "hex"]
+    assert only and {r.doc_id: len(r["__spans"]) for r in scan_secrets(docs, only).collect()} == {
+        1: 0, 2: 0, 3: 0}
+    digits = [Rule("digits", "[0-9]+", 0, 3)]
+    assert {r.doc_id: [tuple(x) for x in r["__spans"]] for r in
+            scan_secrets(docs, digits).collect()} == {1: [(3, 0, 8)], 2: [], 3: []}
