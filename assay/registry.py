@@ -237,13 +237,12 @@ def profile_sketched(spark, folder):
     exact = profile.profile(accounts, approx=False).select(
         "column_name", F.col("distinct_count").alias("exact"))
     median = told.where("column_name = 'balance'").first()["median"]
-    below = accounts.agg(F.avg((F.col("balance") <= median).cast("double")).alias("rank"))
+    rank = accounts.agg(F.avg((F.col("balance") <= median).cast("double")).alias("rank")).first()
     near = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.0325 * F.col("exact")
-    out = told.join(exact, "column_name").select(
-        "column_name", "row_count", "null_count", near.alias("distinct_near"))
-    rank = below.select(F.lit("balance").alias("column_name"),
-                        F.col("rank").between(0.48, 0.52).alias("median_near"))
-    return out.join(rank, "column_name", "left")
+    return told.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", near.alias("distinct_near"),
+        F.when(F.col("column_name") == "balance", F.lit(rank["rank"]).between(0.48, 0.52))
+         .alias("median_near"))
 
 
 @register
