@@ -11,12 +11,13 @@ each different round is scheduled once, whatever the number of documents.
 
 When a source runs out, the others go on in proportion to their weights, so every document has a
 place. Sources that ``weights`` does not name, null among them, share one weight, ``rest``, and are
-scheduled as one. With ``rest`` None, as in the pipeline, each of them is scheduled as a source of
-its own, of weight 1, null as one source. Its one block in a round may take any slot of it, so these
-sources, numbered by falling block counts, take the slots that the named blocks leave free, however
-many sources there are. The schedule has the named sources' blocks only (MAX_SLOTS), once for each
-different round, which is why it may be broadcast: other sources add a different round per distinct
-block count, which are fewer than the square root of twice the number of blocks.
+scheduled as one. With ``rest`` None, as in the query and the pipeline, each of them is scheduled as
+a source of its own, of weight 1, null as one source. Its one block in a round may take any slot of
+it, so these sources, numbered by falling block counts, take the slots that the named blocks leave
+free, however many sources there are. The schedule has the named sources' blocks only (MAX_SLOTS),
+once for each different round; other sources add a different round per distinct block count, which
+are fewer than the square root of twice the number of blocks. No document sees all of these: rounds
+meet the (source, hash prefix) groups below by ranges, and a group's documents get its own few.
 
 Ranks inside a source come from counts per (source, hash prefix), so no source is ranked in one
 task; prefixes are as long as the number of documents asks for and do not change the result. Rows
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 MAX_SLOTS = 4096  # of a round: the sum of the weights
 ROWS_PER_PREFIX = 10_000
+SPAN = 1024  # rounds in a range by which schedules and documents meet
 WEIGHTS = {"src0": 6, "src1": 3, "src2": 3, "src3": 3, "src4": 3, "src5": 2, "src6": 2,
            "src7": 2, "src8": 2, "src9": 2}
 REST = 5
@@ -71,11 +73,11 @@ def _round_order(counts: Column, slots: Column) -> Column:
 
 
 def round_plan(blocks: DataFrame, others: DataFrame | None = None) -> DataFrame:
-    """For each source of ``blocks`` (pool, weight, n_blocks) its rounds: ``pool``, ``weight`` and
-    an array of (first round, next round, slots before it, slots per round, blocks per round,
-    slot of each block). ``others`` (n_blocks, n) counts the sources of weight 1 by their blocks;
-    they share a row, of pool 0, with the number of free slots before each taken one as last field.
-    One row per source of ``blocks``, all in one task."""
+    """For each source of ``blocks`` (pool, weight, n_blocks) and each different round: ``pool`` and
+    ``r``, which has first round, next round, slots before it, slots per round, blocks per round,
+    slot of each block. ``others`` (n_blocks, n) counts the sources of weight 1 by their blocks;
+    they share the rows of pool 0, with the number of free slots before each taken one as last
+    field. One row per different round, all in one task."""
     none = F.array().cast("array<struct<n_blocks: bigint, n: bigint>>")
     one = blocks.where("n_blocks > 0").agg(F.array_sort(F.collect_list(
         F.struct("pool", "weight", "n_blocks"))).alias("s"))
@@ -108,18 +110,39 @@ def round_plan(blocks: DataFrame, others: DataFrame | None = None) -> DataFrame:
     place = F.when(F.col("i") == F.size("s"), F.transform(
         "order", lambda p, t: p["slot"] - t)).otherwise(F.transform(
             F.filter("order", lambda p: p["source"] == F.col("i")), lambda p: p["slot"]))
-    return each.select(
-        F.col("x.pool").alias("pool"), F.col("x.weight").alias("weight"),
-        F.struct("first", "next", "before", "slots",
-                 count.alias("count"), place.alias("place")).alias("r")) \
-        .groupBy("pool", "weight").agg(F.array_sort(F.collect_list("r")).alias("rounds"))
+    return each.select(F.col("x.pool").alias("pool"), F.struct(
+        "first", "next", "before", "slots", count.alias("count"), place.alias("place")).alias("r"))
 
 
 def _bases(sizes: DataFrame, keys: list[str]) -> DataFrame:
-    """For ``sizes`` (keys, __prefix, n) the number of rows of the same keys before each prefix."""
+    """For ``sizes`` (keys, __prefix, n) its rows with the number of rows of the same keys before
+    each prefix."""
     before = F.sum("n").over(Window.partitionBy(*keys).orderBy("__prefix")
                              .rowsBetween(Window.unboundedPreceding, -1))
-    return sizes.select(*keys, "__prefix", F.coalesce(before, F.lit(0)).alias("__base"))
+    return sizes.select(*keys, "__prefix", "n", F.coalesce(before, F.lit(0)).alias("__base"))
+
+
+def _with_rounds(bases: DataFrame, plan: DataFrame, keys: list[str], weight: Column,
+                 block_docs: int) -> DataFrame:
+    """``bases`` with ``__weight`` and ``__rounds``, the rounds of ``plan`` in which blocks of the
+    group's documents lie. Both sides are cut into ranges of SPAN rounds and meet by range."""
+    def round_of(rank: Column) -> Column:
+        return F.floor(F.floor(rank / block_docs) / F.col("__weight"))
+
+    def ranges(low: Column, high: Column) -> Column:
+        return F.explode(F.sequence(F.floor(low / SPAN), F.floor(high / SPAN)))
+
+    group = [*keys, "__prefix"]
+    reach = bases.withColumn("__weight", weight).withColumns(
+        {"__low": round_of(F.col("__base")), "__high": round_of(F.col("__base") + F.col("n") - 1)})
+    cut = plan.select(F.col("pool").alias("__pool"), "r",
+                      ranges(F.col("r.first"), F.col("r.next") - 1).alias("__span"))
+    met = reach.withColumn("__span", ranges(F.col("__low"), F.col("__high"))) \
+        .join(cut, ["__pool", "__span"]) \
+        .where((F.col("r.first") <= F.col("__high")) & (F.col("r.next") > F.col("__low"))) \
+        .where(F.col("__span") == F.floor(F.greatest("r.first", "__low") / SPAN))  # met once
+    return reach.drop("n", "__low", "__high").join(
+        met.groupBy(*group).agg(F.collect_list("r").alias("__rounds")), group)
 
 
 def _source_numbers(blocks: DataFrame, levels: DataFrame, digits: int) -> DataFrame:
@@ -130,7 +153,8 @@ def _source_numbers(blocks: DataFrame, levels: DataFrame, digits: int) -> DataFr
         F.lit(0)).alias("above"))
     keyed = blocks.withColumn("__order", F.md5("__own")) \
                   .withColumn("__prefix", F.substring("__order", 1, digits))
-    bases = _bases(keyed.groupBy("n_blocks", "__prefix").agg(F.count("*").alias("n")), ["n_blocks"])
+    bases = _bases(keyed.groupBy("n_blocks", "__prefix").agg(F.count("*").alias("n")),
+                   ["n_blocks"]).drop("n")
     return keyed.join(bases, ["n_blocks", "__prefix"]).join(above, "n_blocks").select(
         "__pool", "__own", (F.col("above") + F.col("__base") - 1 + F.row_number().over(
             Window.partitionBy("n_blocks", "__prefix").orderBy("__order"))).alias("__number"))
@@ -172,13 +196,12 @@ def mix(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS, rest: int | None
         levels = others.groupBy("n_blocks").agg(F.count("*").alias("n"))
         bases = bases.join(_source_numbers(others, levels, digits), keys, "left")
         blocks = blocks.where("__pool > 0")
-    plan = round_plan(blocks.select(F.col("__pool").alias("pool"), "weight", "n_blocks"), levels) \
-        .select(F.col("pool").alias("__pool"), F.col("weight").alias("__weight"),
-                F.col("rounds").alias("__rounds"))
+    plan = round_plan(blocks.select(F.col("__pool").alias("pool"), "weight", "n_blocks"), levels)
+    bases = _with_rounds(bases, plan, keys, weight, block_docs)
     ranked = keyed.join(bases, [*keys, "__prefix"]).withColumn(
         "__rank", F.col("__base") - 1 + F.row_number().over(
             Window.partitionBy(*keys, "__prefix").orderBy("__order", "doc_id")))
-    placed = ranked.join(F.broadcast(plan), "__pool") \
+    placed = ranked \
         .withColumn("__block", F.floor(F.col("__rank") / block_docs)) \
         .withColumns({"__round": F.floor(F.col("__block") / F.col("__weight")),
                       "__k": (F.col("__block") % F.col("__weight")).cast("int")}) \

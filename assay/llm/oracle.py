@@ -1,6 +1,6 @@
 """The registered queries in DuckDB's SQL, where it can express them."""
 
-from .mixing import BLOCK_DOCS, REST, WEIGHTS
+from .mixing import BLOCK_DOCS, WEIGHTS
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _POOLS = ", ".join(f"('{n}', {i}, {WEIGHTS[n]})" for i, n in enumerate(sorted(WEIGHTS), 1))
@@ -35,11 +35,15 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT * FROM r WHERE rank <= 20""",
     "op5_mixing": f"""
 WITH RECURSIVE named(source, pool, weight) AS (VALUES {_POOLS}),
+sources AS (
+  SELECT source, coalesce(weight, 1) AS weight, row_number() OVER (
+           ORDER BY pool NULLS LAST, (count(*) - 1) // {BLOCK_DOCS} DESC,
+                    md5(coalesce('=' || source, ''))) AS pool
+  FROM documents LEFT JOIN named USING (source) GROUP BY source, named.pool, named.weight),
 d AS (
-  SELECT doc_id, documents.source, coalesce(pool, 0) AS pool, coalesce(weight, {REST}) AS weight,
-         row_number() OVER (PARTITION BY coalesce(pool, 0)
-                            ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS rank
-  FROM documents LEFT JOIN named USING (source)),
+  SELECT doc_id, documents.source, pool, weight, row_number() OVER (
+           PARTITION BY pool ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS rank
+  FROM documents JOIN sources ON documents.source IS NOT DISTINCT FROM sources.source),
 b AS (SELECT pool, weight, max(rank) // {BLOCK_DOCS} + 1 AS n FROM d GROUP BY ALL),
 cuts AS (SELECT 0 AS first UNION SELECT n // weight FROM b UNION SELECT n // weight + 1 FROM b),
 spans AS (SELECT first, lead(first) OVER (ORDER BY first) AS next FROM cuts),

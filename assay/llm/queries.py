@@ -49,7 +49,7 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mix(table(spark, folder, "documents").select("doc_id", "source")).select(
+    return mix(table(spark, folder, "documents").select("doc_id", "source"), rest=None).select(
         "doc_id", "source", "__mix.*")
 
 

@@ -6,8 +6,10 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from assay.llm import mixing
 from assay.llm.mixing import BLOCK_DOCS, in_mixed_order, mix
 from assay.llm.mixing import WEIGHTS as DEFAULTS
+from assay.llm.queries import QUERIES
 
 WEIGHTS = {"a": 5, "b": 3, "c": 1}
 
@@ -72,7 +74,8 @@ def check_every_source(rows, weights, block_docs):
 @pytest.mark.parametrize("counts", [
     {"a": 500, "b": 300, "c": 100}, {"a": 37, "b": 200, "c": 5}, {"c": 11},
     {"a": 3, "z": 50, None: 14, "": 9}, {"hot": 400, "y": 20, "z": 20, None: 20, "a": 60},
-    {f"s{i}": 1 + i % 7 for i in range(60)} | {"a": 40, "b": 9}])
+    {f"s{i}": 1 + i % 7 for i in range(60)} | {"a": 40, "b": 9},
+    {f"s{i}": 1 + i for i in range(80)} | {"a": 70}])
 @pytest.mark.parametrize("block_docs", [1, 4])
 def test_sources_not_named_are_scheduled_too(spark, counts, block_docs):
     rows = mix(frame(spark, counts), WEIGHTS, rest=None, block_docs=block_docs).select(
@@ -91,6 +94,22 @@ def test_pipeline_schedules_every_supplied_source(spark):
         r.doc_id for r in sorted(rows, key=lambda r: r.position)]
 
 
+def test_rounds_meet_documents_by_ranges(spark, monkeypatch):
+    """Short ranges and prefixes, so that a group lies in several of both, change nothing."""
+    docs = frame(spark, {"a": 400, "b": 90, "y": 60, "z": 7, None: 33})
+    whole = sorted(map(str, mix(docs, WEIGHTS, rest=None, block_docs=1).collect()))
+    monkeypatch.setattr(mixing, "SPAN", 3)
+    monkeypatch.setattr(mixing, "ROWS_PER_PREFIX", 8)
+    assert sorted(map(str, mix(docs, WEIGHTS, rest=None, block_docs=1).collect())) == whole
+
+
+def test_query_schedules_every_supplied_source(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = QUERIES["op5_mixing"](spark, folder).collect()
+    check_every_source(rows, DEFAULTS, BLOCK_DOCS)
+    assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
 def test_odd_rows_of_sources_not_named(spark):
     odd = frame(spark, {"a": 3}, [(None, "a"), (None, None), (1, "y"), (1, "y")])
     assert in_mixed_order(odd, rest=None).count() == 7
