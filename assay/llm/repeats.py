@@ -8,10 +8,13 @@ windows. Prefixes that only one document holds end there. A prefix with up to GR
 a group that fits a task. A prefix with more is lengthened to the whole window, by whose digest
 its suffixes are then counted, pre-aggregated.
 
-A task builds the suffix tree of some groups, cut at depth ``width``: suffixes get equal numbers
-exactly if their first 1, 2, 4, ... words are equal (prefix doubling), and the numbers at full depth
-are the tree's nodes there. Nodes below which several documents meet are the repeats. Copies of
-whole documents never reach the trees, since their first one stands for all.
+A task builds the suffix trees of some groups: the words' ranks at depths 1, 2, 4, ... order the
+suffixes, the words that neighbours in this order share give the internal nodes, and those of a
+depth of at least ``width`` are the repeats. Climbing from a suffix to the first node below which a
+smaller document lies gives the longest repeat that starts there; where the suffix one word before
+has it too, it is not maximal and left out. The maximal ones, as spans of words, cover exactly the
+words of repeated windows. Copies of whole documents never reach the trees, since their first one
+stands for all.
 
 Texts are stored once, in compressed blocks of documents in a table bucketed by block, and are not
 shuffled: only prefixes, and the words around shared anchors, are.
@@ -144,9 +147,11 @@ def _copies(stored: DataFrame, width: int) -> DataFrame:
     each = stored.select("block", F.posexplode(F.arrays_zip("doc_ids", "sizes", "digests"))
                          .alias("at", "d")).select("block", "at", "d.*") \
                  .where((F.col("sizes") >= width) & F.col("doc_ids").isNotNull())
-    firsts = each.groupBy("digests").agg(F.min("doc_ids").alias("first"),
-                                         F.max("doc_ids").alias("last")).where("first < last")
-    return each.join(firsts.select("digests", "first"), "digests").where("doc_ids > first") \
+    # Staged, so that a hot digest's partition of the join can be split.
+    firsts = stage(each.groupBy("digests").agg(
+        F.min("doc_ids").alias("first"), F.max("doc_ids").alias("last")).where("first < last")
+        .select("digests", "first"), "repeats-firsts")
+    return each.join(firsts, "digests").where("doc_ids > first") \
                .groupBy("block").agg(F.collect_list("at").alias("copies"))
 
 
@@ -177,41 +182,110 @@ def _segments(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
                      pa.array(part[4], pa.int64()), pa.array(part[5], pa.binary())], names)
 
 
-def tree_nodes(words: np.ndarray, width: int) -> np.ndarray:
-    """For each place from which ``width`` numbers follow, the number of its node at that depth:
-    equal for two places exactly if the numbers that follow are equal."""
-    depth = 1
-    node = np.unique(words, return_inverse=True)[1].astype(np.int64)
-    while depth < width:
-        step = min(depth, width - depth)
-        pair = node[:-step] * (int(node.max()) + 1) + node[step:]
-        node = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        depth += step
-    return node
+def word_ranks(words: np.ndarray, width: int) -> list[np.ndarray]:
+    """For depths 1, 2, 4, ... up to ``width`` the rank of every place by the words that follow, as
+    many as the depth; what lies beyond the end comes first."""
+    ranks, depth = [np.unique(words, return_inverse=True)[1].astype(np.int64)], 1
+    while 2 * depth <= width:
+        last = ranks[-1]
+        pair = last * (int(last.max()) + 2)
+        pair[:-depth] += last[depth:] + 1
+        ranks.append(np.unique(pair, return_inverse=True)[1].astype(np.int64))
+        depth *= 2
+    return ranks
+
+
+def suffix_order(ranks: list[np.ndarray], places: np.ndarray,
+                 longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the suffixes at ``places``, and how many words each shares with the next.
+    Each suffix ends, after ``longest`` words at most, in a number that occurs once."""
+    end, top, step = len(ranks[0]) - 1, ranks[-1], 1 << (len(ranks) - 1)
+    order = np.lexsort([top[np.minimum(places + at, end)]
+                        for at in range(longest - longest % step, -1, -step)])
+    a, b = places[order[:-1]], places[order[1:]]
+    shared, open_ = np.zeros(len(a), np.int64), np.arange(len(a))
+    while len(open_):
+        x, y = (np.minimum(p[open_] + shared[open_], end) for p in (a, b))
+        open_ = open_[top[x] == top[y]]
+        shared[open_] += step
+    for level, rank in reversed(list(enumerate(ranks[:-1]))):
+        x, y = (np.minimum(p + shared, end) for p in (a, b))
+        shared[rank[x] == rank[y]] += 1 << level
+    return order, shared
+
+
+def internal_nodes(shared: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """The suffix tree's internal nodes of a depth of at least ``width``: depth, first suffix, end,
+    parent (-1: none so deep); and the parent of each suffix."""
+    depth, first, end, parent, leaf, stack = [], [], [], [], [], []
+    before = 0
+    for i, h in enumerate([*shared.tolist(), 0]):
+        h = h if h >= width else 0
+        top, left, popped = stack[-1] if stack else -1, i, -1
+        while stack and depth[stack[-1]] > h:
+            popped = stack.pop()
+            end[popped], left = i + 1, first[popped]
+            if stack and depth[stack[-1]] >= h:
+                parent[popped], popped = stack[-1], -1
+        if h and (not stack or depth[stack[-1]] < h):
+            if popped >= 0:
+                parent[popped] = len(depth)
+            stack.append(len(depth))
+            for column, value in ((depth, h), (first, left), (end, 0), (parent, -1)):
+                column.append(value)
+        leaf.append(top if h < before else stack[-1] if h else -1)
+        before = h
+    return tuple(np.array(c, np.int64) for c in (depth, first, end, parent, leaf))
+
+
+def repeat_lengths(ranks: list[np.ndarray], places: np.ndarray, docs: np.ndarray, longest: int,
+                   width: int) -> np.ndarray:
+    """For the suffixes at ``places`` of ``docs`` the length of the longest repeat that they begin
+    and that a smaller document holds; 0 below ``width``."""
+    order, shared = suffix_order(ranks, places, longest)
+    depth, first, end, parent, node = internal_nodes(shared, width)
+    docs, out = docs[order], np.zeros(len(places), np.int64)
+    if len(depth):
+        bounds = np.stack([first, end], axis=1).ravel()
+        least = np.minimum.reduceat(np.r_[docs, np.iinfo(np.int64).max], bounds)[::2]
+        climbing = np.flatnonzero(node >= 0)
+        while len(climbing):
+            at = node[climbing]
+            found = least[at] < docs[climbing]
+            out[order[climbing[found]]] = depth[at[found]]
+            node[climbing] = parent[at]
+            climbing = climbing[~found & (parent[at] >= 0)]
+    return out
 
 
 def _solve(rows: list[tuple], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For rows (doc_id, words): row, first and end word of each run of repeated windows."""
+    """For rows (doc_id, words): row, first and end word of each maximal repeat of ``width`` words
+    or more that the row of a smaller document holds."""
     numbers: dict[bytes, int] = {}
     parts = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in words.split(b" ")),
                          np.int64) for _, words in rows]
     sizes = np.array([len(p) for p in parts])
-    starts = np.cumsum(sizes) - sizes
+    starts = np.cumsum(sizes + 1) - sizes - 1
     runs = sizes - width + 1
     row = np.repeat(np.arange(len(rows)), runs)
     place = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
-    node = tree_nodes(np.concatenate(parts), width)[starts[row] + place]
+    words = np.concatenate([x for i, p in enumerate(parts) for x in (p, [len(numbers) + i])])
+    ranks = word_ranks(words, width)
     docs = np.array([d for d, _ in rows], dtype=np.int64)
-    order = np.argsort(node, kind="stable")
-    ends = np.flatnonzero(np.r_[True, node[order][1:] != node[order][:-1]])
-    first = np.empty_like(node)
-    first[order] = np.repeat(np.minimum.reduceat(docs[row][order], ends),
-                             np.diff(np.r_[ends, len(node)]))
-    hit = np.flatnonzero(first < docs[row])
-    new = np.r_[True, (row[hit][1:] != row[hit][:-1]) | (place[hit][1:] != place[hit][:-1] + 1)]
-    heads = np.flatnonzero(new[:len(hit)])
-    tails = np.r_[heads[1:], len(hit)][:len(heads)] - 1
-    return row[hit[heads]], place[hit[heads]], place[hit[tails]] + width
+    # Suffixes whose first words only one document holds are leaves above all deep nodes.
+    at, top = starts[row] + place, ranks[-1]
+    begins = top[at] * (int(top.max()) + 1) + top[at + width - (1 << (len(ranks) - 1))]
+    order = np.argsort(begins, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, begins[order][1:] != begins[order][:-1]])
+    sizes_of = np.diff(np.r_[cuts, len(order)])
+    several = np.minimum.reduceat(docs[row[order]], cuts) < np.maximum.reduceat(docs[row[order]], cuts)
+    some = np.sort(order[np.repeat(several, sizes_of)])
+    length = np.zeros(len(row), np.int64)
+    if len(some):
+        length[some] = repeat_lengths(ranks, at[some], docs[row[some]], int(sizes.max()) + 1, width)
+    longer = np.r_[False, (row[1:] == row[:-1]) & (length[:-1] > length[1:])]
+    hit = np.flatnonzero((length > 0) & ~longer)
+    return row[hit], place[hit], place[hit] + length[hit]
 
 
 def _trees(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -244,7 +318,8 @@ def _long_prefixes(segments: DataFrame, width: int) -> DataFrame:
         "block", "at", "doc_id", "first", F.posexplode(F.transform(
             F.sequence(F.lit(1), F.size("w") - (width - 1)),
             lambda i: F.sha2(F.array_join(F.slice("w", i, width), " "), 256))))
-    least = each.groupBy("col").agg(F.min("doc_id").alias("least"))
+    # Staged, so that a hot window's partition of the join can be split.
+    least = stage(each.groupBy("col").agg(F.min("doc_id").alias("least")), "repeats-windows")
     return each.join(least, "col").where("doc_id > least").select(
         "block", "at", (F.col("first") + F.col("pos")).alias("start"),
         (F.col("first") + F.col("pos") + width).alias("end"))

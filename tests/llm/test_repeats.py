@@ -6,7 +6,8 @@ import re
 import numpy as np
 import pytest
 
-from assay.llm.repeats import anchors, drop_repeats, tree_nodes
+from assay.llm.repeats import (anchors, drop_repeats, internal_nodes, suffix_order, word_ranks)
+from assay.llm.repeats import _solve as solve
 
 
 def plain(rows, width):
@@ -77,9 +78,57 @@ def test_anchor_is_that_of_the_window():
         assert alone[0] == key[np.searchsorted(end, i, side="right")]
 
 
-def test_tree_nodes():
-    words = np.random.default_rng(2).integers(0, 2, 400)
-    node = tree_nodes(words, 11)
-    strings = [tuple(words[i:i + 11]) for i in range(390)]
-    assert len(node) == 390
-    assert len(set(zip(strings, node.tolist()))) == len(set(strings)) == len(set(node.tolist()))
+def rows_of_words(seed, n=14, letters=2):
+    rng = np.random.default_rng(seed)
+    shared = rng.integers(0, letters, 12)
+    return [(int(rng.integers(0, 6)), np.concatenate([rng.integers(0, letters, rng.integers(8, 25)),
+                                                      shared[:rng.integers(4, 12)]])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_internal_nodes_are_the_repeats_that_more_words_follow(seed):
+    """Below a node stand all places of one sequence of words, and no longer sequence has them all."""
+    width, rows = 5, rows_of_words(seed)
+    words = np.concatenate([x for i, (_, w) in enumerate(rows) for x in (w, [100 + i])])
+    places = np.array([i for i in range(len(words) - width) if words[i:i + width].max() < 100])
+    order, shared = suffix_order(word_ranks(words, width), places, 40)
+    suffixes = [tuple(words[places[i]:places[i] + 40]) for i in order]
+    assert suffixes == sorted(suffixes)
+    lcp = lambda a, b: next(i for i, (x, y) in enumerate(zip(a, b)) if x != y)
+    assert shared.tolist() == [lcp(a, b) for a, b in zip(suffixes, suffixes[1:])]
+    depth, first, end, parent, leaf = internal_nodes(shared, width)
+    groups = {}
+    for i, suffix in enumerate(suffixes):
+        for n in range(width, len(suffix)):
+            if max(suffix[:n]) < 100:
+                groups.setdefault(suffix[:n], set()).add(i)
+    longest = {}
+    for string, members in groups.items():
+        if len(members) > 1:
+            longest[frozenset(members)] = max(longest.get(frozenset(members), 0), len(string))
+    nodes = {frozenset(range(a, b)): d for d, a, b in zip(*map(np.ndarray.tolist, (depth, first, end)))}
+    assert nodes == longest and len(nodes) == len(depth)
+    above = [min((m for m in longest if m > set(range(a, b))), key=len, default=None)
+             for a, b in zip(first, end)]
+    assert [None if p < 0 else frozenset(range(first[p], end[p])) for p in parent] == above
+    assert [None if p < 0 else frozenset(range(first[p], end[p])) for p in leaf] == [
+        min((m for m in longest if i in m), key=len, default=None) for i in range(len(places))]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_spans_are_maximal_repeats(seed):
+    """Each span stands in a smaller document, no span can be longer to either side, and all
+    repeated windows are covered."""
+    width, rows = 5, rows_of_words(seed, letters=3)
+    row, start, end = solve([(d, " ".join(map(str, w)).encode()) for d, w in rows], width)
+    held = {}
+    for doc, w in rows:
+        for a in range(len(w)):
+            for b in range(a + width, len(w) + 1):
+                held[tuple(w[a:b])] = min(doc, held.get(tuple(w[a:b]), doc))
+    want = set()
+    for i, (doc, w) in enumerate(rows):
+        earlier = lambda a, b: 0 <= a and b <= len(w) and held[tuple(w[a:b])] < doc
+        want |= {(i, a, b) for a in range(len(w)) for b in range(a + width, len(w) + 1)
+                 if earlier(a, b) and not earlier(a - 1, b) and not earlier(a, b + 1)}
+    assert want and set(zip(row.tolist(), start.tolist(), end.tolist())) == want
