@@ -1,7 +1,9 @@
 """Secret scans through a trigram inverted index.
 
 Each rule's regular expression gives a Boolean query over the trigrams that any match must
-contain: an OR of ANDs. The index holds postings (trigram, document) of the trigrams that some
+contain: an OR of ANDs. It is put together from the pattern's parts: what a part can match as a
+whole, begin with and end with, and what it must contain. In a sequence all parts' queries hold, and
+the trigrams across each seam; of alternatives one query holds. The index holds postings (trigram, document) of the trigrams that some
 query mentions. Intersected postings name the documents in which a rule can match, and only
 their texts are searched with the rule's expression. A rule without mandatory trigrams searches
 every text.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -46,49 +49,120 @@ RULES = [
 ]
 # "hex" asks for its length at once: a run of hex digits is one match either way, and text is
 # full of short runs.
+MAX_REPEATS = 8  # of a part that are written out
 
+Query = list[frozenset[str]]  # an OR of ANDs; an empty AND always holds
+ALWAYS: Query = [frozenset()]
 
-def trigram_query(pattern: str, limit: int = 64) -> list[frozenset[str]] | None:
-    """Sets of lower-case trigrams, of which every match of ``pattern`` contains at least one in
-    full; None if the pattern has no such sets.
 
-    The pattern's leading part is expanded into the strings it can match, up to ``limit``. A set
-    that holds another one whole adds nothing and is left out.
-    """
-    strings, _ = _expand(list(re._parser.parse(pattern)), limit)
-    sets = [frozenset(s[i:i + 3] for i in range(len(s) - 2)) for s in strings]
-    if not all(sets):
-        return None
-    least = [s for s in dict.fromkeys(sets) if not any(o < s for o in sets)]
-    return least or None
-
-
-def _expand(nodes: list, limit: int) -> tuple[list[str], bool]:
-    """The lower-case strings with which a match of ``nodes`` begins, and whether they are all of
-    it."""
-    out = [""]
+@dataclass(frozen=True)
+class Part:
+    """What is known of all matches of a part of a pattern: ``whole``, all of them if they are few,
+    else None; strings of which one begins, and one ends, each match; and what it contains."""
+
+    whole: frozenset[str] | None
+    begins: frozenset[str]
+    ends: frozenset[str]
+    holds: tuple[frozenset[str], ...] = tuple(ALWAYS)
+
+
+NOTHING = frozenset([""])
+EMPTY = Part(NOTHING, NOTHING, NOTHING)
+UNKNOWN = Part(None, NOTHING, NOTHING)
+
+
+def _least(sets: Iterable[frozenset[str]]) -> Query:
+    """The sets that hold no other one whole: another one adds nothing to an OR."""
+    sets = list(dict.fromkeys(sets))
+    return [s for s in sets if not any(o < s for o in sets)]
+
+
+def _of_strings(strings: Iterable[str]) -> Query:
+    return _least(frozenset(s[i:i + 3] for i in range(len(s) - 2))
+                  for s in sorted(strings, key=lambda s: (len(s), s)))
+
+
+def _both(a: Query, b: Query, limit: int) -> Query:
+    """Both queries; if that takes too many sets, the one of fewer, which asks for more than none."""
+    if len(a) * len(b) <= limit:
+        return _least(x | y for x, y in itertools.product(a, b))
+    return min((q for q in (a, b) if q != ALWAYS), key=len)
+
+
+def _asked(part: Part, limit: int) -> Query:
+    query = list(part.holds)
+    for strings in (part.whole, part.begins, part.ends):
+        if strings is not None:
+            query = _both(query, _of_strings(strings), limit)
+    return query
+
+
+def _joined(a: frozenset[str], b: frozenset[str]) -> frozenset[str]:
+    return frozenset(x + y for x, y in itertools.product(a, b))
+
+
+def _then(a: Part, b: Part, limit: int) -> Part:
+    if a.whole is not None and b.whole is not None and len(a.whole) * len(b.whole) <= limit:
+        whole = _joined(a.whole, b.whole)
+        return Part(whole, whole, whole)
+    begins, ends = a.begins, b.ends
+    if a.whole is not None and len(a.whole) * len(b.begins) <= limit:
+        begins = _joined(a.whole, b.begins)
+    if b.whole is not None and len(a.ends) * len(b.whole) <= limit:
+        ends = _joined(a.ends, b.whole)
+    holds = _both(_asked(a, limit), _asked(b, limit), limit)
+    if len(a.ends) * len(b.begins) <= limit:
+        holds = _both(holds, _of_strings(_joined(a.ends, b.begins)), limit)
+    return Part(None, begins, ends, tuple(holds))
+
+
+def _either(parts: list[Part], limit: int) -> Part:
+    def union(sets: list[frozenset[str]]) -> frozenset[str]:
+        every = frozenset().union(*sets)
+        return every if len(every) <= limit else NOTHING
+
+    if all(p.whole is not None for p in parts) \
+            and len(whole := frozenset().union(*(p.whole for p in parts))) <= limit:
+        return Part(whole, whole, whole)
+    holds = _least(s for p in parts for s in _asked(p, limit))
+    return Part(None, union([p.begins for p in parts]), union([p.ends for p in parts]),
+                tuple(holds if len(holds) <= limit else ALWAYS))
+
+
+def _part(nodes: Iterable, limit: int) -> Part:
+    out = EMPTY
     for op, arg in nodes:
-        name, whole = str(op), True
+        name, part = str(op), UNKNOWN
         if name == "LITERAL":
-            more = [chr(arg).lower()]
+            whole = frozenset([chr(arg).lower()])
+            part = Part(whole, whole, whole)
         elif name == "IN" and all(str(o) == "LITERAL" for o, _ in arg):
-            more = sorted({chr(a).lower() for _, a in arg})
+            whole = frozenset(chr(a).lower() for _, a in arg)
+            part = Part(whole, whole, whole)
         elif name == "SUBPATTERN":
-            more, whole = _expand(list(arg[3]), limit)
+            part = _part(arg[3], limit)
         elif name == "BRANCH":
-            parts = [_expand(list(b), limit) for b in arg[1]]
-            more, whole = [s for p, _ in parts for s in p], all(w for _, w in parts)
-        elif name in ("MAX_REPEAT", "MIN_REPEAT") and arg[1] == 1 and arg[0] == 0:
-            more, whole = _expand(list(arg[2]), limit)
-            more = ["", *more]
-        else:
-            return out, False
-        if len(out) * len(more) > limit:
-            return out, False
-        out = [a + b for a, b in itertools.product(out, more)]
-        if not whole:
-            return out, False
-    return out, True
+            part = _either([_part(b, limit) for b in arg[1]], limit)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and (arg[0] or arg[1] == 1):
+            once = _part(arg[2], limit)
+            if arg[0] == 0:
+                part = _either([EMPTY, once], limit)
+            else:  # the first and the last of the repeats, at least one
+                part = reduce(lambda a, b: _then(a, b, limit), [once] * min(arg[0], MAX_REPEATS))
+                if arg[1] != arg[0] or arg[0] > MAX_REPEATS:
+                    part = Part(None, part.begins, part.ends, tuple(_asked(part, limit)))
+        elif name in ("AT", "ASSERT", "ASSERT_NOT"):  # these match no characters
+            part = EMPTY
+        out = _then(out, part, limit)
+    return out
+
+
+def trigram_query(pattern: str, limit: int = 64) -> Query | None:
+    """Sets of lower-case trigrams, of which every match of ``pattern`` contains at least one in
+    full; None if the pattern has no such sets. Parts with more than ``limit`` strings, and queries
+    of more sets, are taken for unknown, which can only add candidates."""
+    least = _asked(_part(re._parser.parse(pattern), limit), limit)
+    return None if not all(least) else least
 
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:

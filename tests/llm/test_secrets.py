@@ -2,6 +2,9 @@
 
 import re
 
+from hypothesis import given
+from hypothesis import strategies as st
+
 from assay.llm.secrets import RULES, Rule, candidates, scan_secrets, trigram_query
 
 KEYWORDS = "(password|passwd|secret|token|api_?key)"
@@ -44,6 +47,30 @@ def test_queries():
     assert trigram_query("ab?cde") == [{"acd", "cde"}, {"abc", "bcd", "cde"}]
 
 
+def test_queries_from_any_place_of_a_pattern():
+    tok = {"tok", "oke", "ken"}
+    assert trigram_query("[0-9]+token") == trigram_query("token[0-9]*") == [tok]
+    assert trigram_query("[a-z](x+)token.+secret") == [tok | {"xto"} | {"sec", "ecr", "cre", "ret"}]
+    assert trigram_query("[0-9](?:abc|xyz)[0-9]") == [{"abc"}, {"xyz"}]
+    assert trigram_query("(?:[0-9]abc|x)[0-9]") is None
+    assert trigram_query("(?:ab){2,}c") == [{"aba", "bab", "abc"}]
+    assert trigram_query("(abc)*") is None and trigram_query(".*") is None
+    assert trigram_query(r"^\bgh[pousr]_[A-Za-z0-9]{36}$") == [
+        {f"gh{c}", f"h{c}_"} for c in "oprsu"]
+
+
+PIECES = ["a", "b", "[ab]", "[a-c]", "abc", "(?:ab|c)", "(?:ca|bb.)", ".", "c?", "(?:ab)?", "b+",
+          "(?:abc)+", "(?:ab){2}", "a{2,4}", "c*", "(?:a|bc*|ab+c)", "^", r"\b", "(?=a)"]
+
+
+@given(st.lists(st.sampled_from(PIECES), min_size=1, max_size=6).map("".join),
+       st.integers(1, 64), st.text("abcd", max_size=40))
+def test_every_match_holds_its_query(pattern, limit, text):
+    query = trigram_query(pattern, limit)
+    for m in re.finditer(pattern, text, re.DOTALL):
+        assert query is None or any(all(t in m.group() for t in s) for s in query)
+
+
 def test_candidates_hold_all_trigrams(spark):
     df = spark.createDataFrame([(1, "ken tok oke"), (2, "tok ken"), (3, "aki kia"), (4, None)],
                                "doc_id long, text string")
