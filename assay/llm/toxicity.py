@@ -14,10 +14,16 @@ and where the second part turns negative, a step goes against it (Kiryo et al.,
 sigmoid loss, so a sure positive cannot outweigh the unlabelled part; loss+ is logistic, so no
 confirmed document is given up.
 
-The fit reads bounded samples, MAX_POSITIVES and MAX_UNLABELLED documents chosen by a hash of their
-ids; the prior and the scores cover all rows. Neither labels nor any column but ``text`` enters a
-score. Null and empty texts get the score of a text without features. Without toxic labels every
-score is 0. Labels that contradict each other count as toxic. Repeated rows score alike.
+Features are chosen by how many of all open documents hold them. Only the gradient steps read
+bounded samples, about MAX_POSITIVES and MAX_UNLABELLED different rows chosen by a hash of id and
+text, so that an id or a row that very many rows repeat does not fill them. The prior and the scores
+cover all rows. Neither labels nor any column but ``text`` enters a score.
+
+Null and empty texts get the score of a text without features; long texts count whole. Without toxic
+labels, as with an empty table of labels, every score is 0; an empty table of documents has no rows.
+Labels that contradict each other count as toxic; null ids and labels teach nothing, and rows with a
+null id are scored like others. Repeated rows score alike. Features of equal surprise are taken by
+their hashes. Other columns stay as they are, whatever they are called, but for ``__score``.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -34,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, stage
 
 MAX_POSITIVES = 4_000
 MAX_UNLABELLED = 8_000
@@ -128,19 +135,35 @@ def originals(docs: list[np.ndarray]) -> list[np.ndarray]:
     return kept
 
 
-def choose(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> np.ndarray:
-    """The features to train on."""
-    ids, n_pos = np.unique(np.concatenate(pos), return_counts=True)
-    tried = max(len(ids), 1)
-    ids, n_pos = ids[n_pos >= MIN_DOCS], n_pos[n_pos >= MIN_DOCS]
-    n_unl = np.bincount(_rows(unl, ids)[1], minlength=len(ids))
-    rate_pos, rate_unl = n_pos / len(pos), (n_unl + PSEUDO) / (len(unl) + PSEUDO)
-    expected = rate_unl * len(pos)
+@dataclass(frozen=True)
+class Candidates:
+    """Features that enough positives hold, how many of ``docs`` positives hold each, and how many
+    features there are in all."""
+
+    features: np.ndarray
+    held: np.ndarray
+    docs: int
+    tried: int
+
+
+def candidates(pos: list[np.ndarray]) -> Candidates:
+    pos = originals(pos)
+    ids, held = np.unique(np.concatenate(pos), return_counts=True)
+    often = held >= MIN_DOCS
+    return Candidates(ids[often], held[often], len(pos), max(len(ids), 1))
+
+
+def choose(found: Candidates, n_unl: np.ndarray, docs: int, prior: float) -> np.ndarray:
+    """The features to train on. ``n_unl`` of all ``docs`` unlabelled documents hold each."""
+    ids, n_pos = found.features, found.held
+    rate_pos, rate_unl = n_pos / found.docs, (n_unl + PSEUDO) / (docs + PSEUDO)
+    expected = rate_unl * found.docs
     # Chernoff's bound on the chance that a feature as common as among unlabelled documents is in
     # so many positives, as a negative logarithm.
     surprise = np.where(n_pos > expected, n_pos * np.log(n_pos / expected) - n_pos + expected, 0)
     clean = np.maximum(rate_unl - prior * rate_pos, 0) / max(1 - prior, 1e-9)
-    good = (surprise >= np.log(tried / CHANCE)) & (rate_pos >= MIN_RATIO * (clean + 1 / (len(unl) + 1)))
+    good = (surprise >= np.log(found.tried / CHANCE)) \
+        & (rate_pos >= MIN_RATIO * (clean + 1 / (docs + 1)))
     order = np.lexsort((ids, -surprise))
     return np.sort(ids[order[good[order]][:MAX_FEATURES]])
 
@@ -156,6 +179,24 @@ def _rows(docs: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray, np.
     return row, np.concatenate(columns), len(docs)
 
 
+def gradients(theta: np.ndarray, pos: tuple, unl: tuple, prior: float
+              ) -> tuple[float, np.ndarray, np.ndarray]:
+    """The unlabelled part of the risk, E_unl[loss-] - prior * E_pos[loss-], its gradient, and that
+    of the positive part, prior * E_pos[loss+]. ``theta`` are the weights, then the bias; a set is
+    (row, column, number of rows, weight of each row)."""
+    def chance(part: tuple) -> np.ndarray:  # also the loss against 0
+        row, col, n, _ = part
+        return 1 / (1 + np.exp(-np.clip(theta[-1] + np.bincount(row, theta[col], n), -40, 40)))
+
+    def gradient(part: tuple, slope: np.ndarray) -> np.ndarray:
+        return np.r_[np.bincount(part[1], slope[part[0]], len(theta) - 1), slope.sum()]
+
+    (p_pos, w_pos), (p_unl, w_unl) = ((chance(s), s[3]) for s in (pos, unl))
+    rest = gradient(unl, w_unl * p_unl * (1 - p_unl)) \
+        - prior * gradient(pos, w_pos * p_pos * (1 - p_pos))
+    return w_unl @ p_unl - prior * (w_pos @ p_pos), rest, prior * gradient(pos, w_pos * (p_pos - 1))
+
+
 def train(pos: tuple, unl: tuple, width: int, prior: float, seed: int) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier by Adam on the non-negative risk; each classifier
     sees its own resampling of both sets."""
@@ -166,33 +207,17 @@ def train(pos: tuple, unl: tuple, width: int, prior: float, seed: int) -> tuple[
         sets.append((row, col, n, times / times.sum()))
     theta = np.zeros(width + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-
-    def logits(part: tuple) -> np.ndarray:
-        row, col, n, _ = part
-        return np.clip(theta[-1] + np.bincount(row, theta[col], n), -40, 40)
-
-    def gradient(part: tuple, slope: np.ndarray) -> np.ndarray:
-        return np.r_[np.bincount(part[1], slope[part[0]], width), slope.sum()]
-
     for step in range(1, STEPS + 1):
-        p_pos, p_unl = (1 / (1 + np.exp(-logits(s))) for s in sets)  # also the loss against 0
-        w_pos, w_unl = sets[0][3], sets[1][3]
-        g_rest = gradient(sets[1], w_unl * p_unl * (1 - p_unl)) \
-            - prior * gradient(sets[0], w_pos * p_pos * (1 - p_pos))
-        if w_unl @ p_unl >= prior * (w_pos @ p_pos):
-            grad = prior * gradient(sets[0], w_pos * (p_pos - 1)) + g_rest
-        else:
-            grad = -g_rest
+        value, rest, positive = gradients(theta, *sets, prior)
+        grad = positive + rest if value >= 0 else -rest
         grad[:-1] += DECAY * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return theta[:-1], float(theta[-1])
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> Model:
-    pos = originals(pos)
-    features = choose(pos, unl, prior)
-    parts = _rows(pos, features), _rows(unl, features)
+def fit(pos: list[np.ndarray], unl: list[np.ndarray], features: np.ndarray, prior: float) -> Model:
+    parts = _rows(originals(pos), features), _rows(unl, features)
     trained = [train(*parts, len(features), prior, seed) for seed in range(CLASSIFIERS)]
     return Model(features, np.array([w for w, _ in trained]), np.array([b for _, b in trained]))
 
@@ -202,13 +227,51 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _sampled(df: DataFrame, n: int, most: int) -> DataFrame:
-    """About ``most`` of the ``n`` rows, by a hash of their ids."""
+def _sampled(df: DataFrame, n: int, most: int, *key: str) -> DataFrame:
+    """About ``most`` of the ``n`` rows, or fewer, by a hash of ``key``."""
     share = min(1.0, most / max(n, 1))
-    return df.where(F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 30))
+    return df.where(F.pmod(F.xxhash64(F.lit("toxicity"), *key), F.lit(1 << 30))
                     <= int(share * (1 << 30)))
 
 
+def samples(open_docs: DataFrame, toxic: DataFrame) -> tuple[int, DataFrame]:
+    """The number of rows of ``open_docs`` (doc_id, text), and (pos, text) of the rows to train on.
+    Copies of a row are dropped after the choice, so that they cannot exceed the bounds."""
+    # At most about MAX_POSITIVES ids of eight bytes, so the broadcast has a fixed bound.
+    chosen = F.broadcast(_sampled(toxic, toxic.count(), MAX_POSITIVES, "doc_id")
+                         .select("doc_id", F.lit(True).alias("pos")))
+    n, n_pos = open_docs.join(chosen, "doc_id", "left").agg(F.count("*"), F.count("pos")).first()
+    unlabelled = open_docs.withColumn("pos", F.lit(False))
+    return n, reduce(DataFrame.unionAll, [
+        _sampled(rows, size, most, "doc_id", "text").select("doc_id", "pos", "text")
+        .dropDuplicates() for rows, size, most in
+        [(open_docs.join(chosen, "doc_id"), n_pos, MAX_POSITIVES),
+         (unlabelled, n, MAX_UNLABELLED)]]).select("pos", "text")
+
+
+def frequencies(docs: DataFrame, features: np.ndarray) -> np.ndarray:
+    """How many rows of ``docs`` hold each of ``features`` in their ``text``. A task adds its rows
+    up before anything is shuffled."""
+    model = Model(features, np.empty((0, 0)), np.empty(0))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = _Known(model), np.zeros(len(features), np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                at = {i for w in set((text.as_py() or "").split()) for i in known[w]}
+                held[np.fromiter(at, np.int64, len(at))] += 1
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], ["at", "n"])
+
+    total = np.zeros(len(features), np.int64)
+    if len(features):
+        # One row per feature, of which the sample of positives holds a bounded number.
+        for row in docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(
+                F.sum("n").alias("n")).collect():
+            total[row["at"]] = row["n"]
+    return total
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the rows of ``labels`` (doc_id, toxic) that are open to training."""
     small_batches(docs.sparkSession)
@@ -221,37 +284,51 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Model:
     prior = toxic / n
     open_docs = docs.where("doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))) \
                     .select("doc_id", "text")
-    # At most about MAX_POSITIVES ids of eight bytes, so the broadcast has a fixed bound.
-    chosen = _sampled(known.where("toxic = 1"), toxic, MAX_POSITIVES).select("doc_id")
-    pos = open_docs.join(F.broadcast(chosen), "doc_id").select(F.lit(True).alias("pos"), "text")
-    unl = _sampled(open_docs, open_docs.count(), MAX_UNLABELLED) \
-        .select(F.lit(False).alias("pos"), "text")
+    n_docs, rows = samples(open_docs, known.where("toxic = 1"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [text_features(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())],
+            ids = [text_features(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
                                              ["pos", "ids"])
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    def sides(batches: Iterator[pa.RecordBatch]) -> dict[bool, list[np.ndarray]]:
+        held: dict[bool, list[bytes]] = {True: [], False: []}
         for batch in batches:
             for is_pos, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sides[is_pos].append(np.frombuffer(ids.as_buffer(), np.int64).copy())
-        if sides[True] and sides[False]:
-            model = fit(sides[True], sides[False], prior)
+                held[is_pos].append(ids.as_py())
+        # In an order that does not depend on which part came first.
+        return {k: [np.frombuffer(x, np.int64) for x in sorted(v)] for k, v in held.items()}
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if pos := sides(batches)[True]:
+            found = candidates(pos)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x]) for x in (found.features.tobytes(), found.held.tobytes(),
+                                         found.docs, found.tried)],
+                ["features", "held", "docs", "tried"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sides(batches)
+        if held[True] and held[False]:
+            model = fit(held[True], held[False], features, prior)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x.tobytes()], pa.binary())
-                 for x in (model.features, model.weights, model.biases)],
-                ["features", "weights", "biases"])
+                [pa.array([x.tobytes()], pa.binary()) for x in (model.weights, model.biases)],
+                ["weights", "biases"])
 
     # The sample is bounded, so one task may hold it.
-    rows = pos.unionAll(unl).mapInArrow(featurise, "pos boolean, ids binary")
-    row = rows.repartition(1).mapInArrow(
-        learn, "features binary, weights binary, biases binary").first()
+    sample = stage(rows.mapInArrow(featurise, "pos boolean, ids binary"), "toxicity-sample")
+    row = sample.where("pos").repartition(1).mapInArrow(
+        look, "features binary, held binary, docs long, tried long").first()
+    if row is None:
+        return empty
+    found = Candidates(np.frombuffer(row.features, np.int64), np.frombuffer(row.held, np.int64),
+                       row.docs, row.tried)
+    features = choose(found, frequencies(open_docs, found.features), n_docs, prior)
+    row = sample.repartition(1).mapInArrow(learn, "weights binary, biases binary").first()
     if row is None:
         return empty
-    features, biases = np.frombuffer(row.features, np.int64), np.frombuffer(row.biases)
+    biases = np.frombuffer(row.biases)
     return Model(features, np.frombuffer(row.weights).reshape(len(biases), len(features)), biases)
 
 

@@ -66,3 +66,62 @@ def test_odd_rows(spark):
     none = toxicity.score_docs(docs, labels.limit(0)).agg(F.max("__score")).first()[0]
     assert none == 0.0
     assert toxicity.score_docs(docs.limit(0), labels).count() == 0
+
+
+def test_gradients_are_those_of_the_risk():
+    rng = np.random.default_rng(3)
+    prior, theta = 0.3, rng.normal(size=6)
+    dense = [(rng.random((n, 5)) < 0.4).astype(float) for n in (7, 11)]
+    weights = [rng.random(len(x)) for x in dense]
+    weights = [w / w.sum() for w in weights]
+    sets = [(*np.nonzero(x), len(x), w) for x, w in zip(dense, weights)]
+
+    def parts(t):
+        z_pos, z_unl = (x @ t[:-1] + t[-1] for x in dense)
+        sure = [1 / (1 + np.exp(-z)) for z in (z_pos, z_unl)]
+        return (weights[1] @ sure[1] - prior * (weights[0] @ sure[0]),
+                prior * (weights[0] @ np.log1p(np.exp(-z_pos))))
+
+    value, rest, positive = toxicity.gradients(theta, *sets, prior)
+    assert np.isclose(value, parts(theta)[0])
+    steps = [(parts(theta + h), parts(theta - h)) for h in np.eye(6) * 1e-6]
+    for k, got in enumerate((rest, positive)):
+        assert np.allclose(got, [(a[k] - b[k]) / 2e-6 for a, b in steps], atol=1e-8)
+
+
+def test_frequencies_cover_all_rows(spark):
+    rng = np.random.default_rng(5)
+    words = [f"word{i}" for i in range(30)] + ["Vile!", "vile", "plain"]
+    texts = [" ".join(rng.choice(words, 6)) for _ in range(400)] + [None, "", "vile " * 50_000]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    features = np.unique(np.concatenate([toxicity.text_features(w) for w in words[5:]]))
+    got = toxicity.frequencies(docs, features)
+    held = [set(toxicity.text_features(t).tolist()) for t in texts]
+    assert got.tolist() == [sum(f in h for h in held) for f in features.tolist()]
+    assert len(toxicity.frequencies(docs, features[:0])) == 0
+
+
+def test_features_are_those_that_positives_hold_more_often():
+    rng = np.random.default_rng(6)
+    pos = [np.unique(np.r_[rng.integers(0, 400, 8), 1000 + np.flatnonzero(rng.random(3) < 0.6)])
+           for _ in range(60)]
+    found = toxicity.candidates(pos)
+    kept = toxicity.originals(pos)
+    assert found.docs == len(kept)
+    assert dict(zip(found.features.tolist(), found.held.tolist())) == {
+        f: n for f in {int(x) for d in kept for x in d}
+        if (n := sum(f in d for d in kept)) >= toxicity.MIN_DOCS}
+    counts = np.where(found.features >= 1000, 40, 100)
+    assert toxicity.choose(found, counts, 5_000, 0.01).tolist() == [1000, 1001, 1002]
+
+
+def test_a_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_POSITIVES", 100)
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 200)
+    docs, labels = make(spark)
+    docs = docs.select("doc_id", "text").unionAll(spark.range(6_000).selectExpr(
+        "10 AS doc_id", "concat('vile other text ', if(id % 2 = 0, '', string(id))) AS text"))
+    n, rows = toxicity.samples(docs, labels.where("toxic = 1"))
+    sizes = {r.pos: r["count"] for r in rows.groupBy("pos").count().collect()}
+    # 3,000 of the rows are one row; it may be chosen once.
+    assert n == 6_600 and 20 <= sizes[True] <= 100 and 60 <= sizes[False] <= 200
