@@ -10,9 +10,12 @@ what is found). Partial sums over a growing part of the coordinates, plus the pr
 of the rest, bound the product from above; pairs whose bound stays below the k-th best score are cut
 there, the others are multiplied exactly.
 
-Sums are exact while the product of two lengths is below 2^53; longer vectors are refused. Vectors
-null, without components, or with null or non-finite ones take no part, nor do rows without
-``vec_id``; repeated rows count once. Vectors are only compared with others of as many components.
+Scores are exact at any size. Blocks whose lengths multiply to less than 2^53 are multiplied in
+doubles; beyond that doubles only bound the products, and the pairs that the bounds leave are
+multiplied in 64-bit, beyond 2^62 in unlimited integers. A score that 64 bits cannot hold becomes
+2^63 - 1 or its negative. Components may be as large as single precision goes. Vectors null, without
+components, or with null or non-finite ones take no part, nor do rows without ``vec_id``; repeated
+rows count once. Vectors are only compared with others of as many components.
 Equal scores come by ascending ``vec_id``. An empty table, or one without queries, has no rows. Other
 columns, whatever they are called, are not looked at. There are no texts.
 """
@@ -25,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import rows_per_partition, stage
-from .vectors import (FOUND, answers, best_rows, by_length, classes, found_batch, matrix, merge,
+from .vectors import (FOUND_EXACT, answers, best_rows, by_length, classes, found_batch, matrix, merge,
                       queries, valid_vectors)
 
 SCALE = 64
@@ -37,10 +40,19 @@ BLOCK_ROWS = 8_192
 QUERY_ROWS = 512
 CHUNK_ROWS = 2_048
 FIRST_BLOCKS = 4
+PAIR_ROWS = 65_536  # pairs that are multiplied at a time
+WIDEST = (1 << 63) - 1
 STEPS = (0.25, 0.5, 0.75)  # parts of the coordinates after which sums are bounded
 SAMPLE_ROWS = 4_096
 
 
+def _below(scores: np.ndarray) -> np.ndarray:
+    """Doubles that are not above the scores, and equal to those below 2^53."""
+    near = scores.astype(np.float64)
+    low = np.where(np.abs(near) < 2 ** 53, near, np.nextafter(near, -np.inf))
+    return np.where(scores <= -WIDEST, -np.inf, low)
+
+
 def _lengths(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt((vectors * vectors).sum(axis=1))
 
@@ -84,6 +96,28 @@ BLOCK = ("part int, seq int, high double, need double, id array<long>, ids array
          "vecs binary, least array<double>")
 
 
+def exact_products(asked: np.ndarray, items: np.ndarray, query: np.ndarray, item: np.ndarray,
+                   bound: float) -> np.ndarray:
+    """The inner products of pairs of rows of whole numbers, as 64-bit integers. ``bound`` is at
+    least the product of the lengths of any pair."""
+    kind = np.float64 if bound < 2 ** 53 else np.int64 if bound < 2 ** 62 else object
+    if kind is object:
+        whole = np.frompyfunc(int, 1, 1)
+        asked, items = whole(asked), whole(items)
+    else:
+        asked, items = asked.astype(kind), items.astype(kind)
+    out = np.empty(len(query), np.int64)
+    step = PAIR_ROWS if kind is not object else PAIR_ROWS // 16
+    for begin in range(0, len(query), step):
+        part = slice(begin, begin + step)
+        if kind is object:
+            sums = (asked[query[part]] * items[item[part]]).sum(axis=1)
+            out[part] = [max(-WIDEST, min(WIDEST, x)) for x in sums]
+        else:
+            out[part] = np.einsum("nd,nd->n", asked[query[part]], items[item[part]])
+    return out
+
+
 def block_best(asked: np.ndarray, least: np.ndarray, items: np.ndarray, rotation: np.ndarray,
                keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, item, score) of the products that may be among a query's ``keep`` best: all of its
@@ -92,10 +126,9 @@ def block_best(asked: np.ndarray, least: np.ndarray, items: np.ndarray, rotation
     cuts = sorted({0, *(math.ceil(d * s) for s in STEPS)})
     turned, turned_items = asked @ rotation, items @ rotation
     length, item_length = _lengths(asked), _lengths(items)
-    if length.max() * item_length.max() >= 2 ** 53:
-        raise ValueError("the lengths of two vectors multiply to 2^53 or more")
+    bound = length.max() * item_length.max() * (1 + 1e-9)
     least = least.copy()
-    pool = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    pool = tuple(np.empty(0, np.int64) for _ in range(3))
     for begin in range(0, len(items), CHUNK_ROWS):
         part = slice(begin, begin + CHUNK_ROWS)
         slack = 1e-9 * (length[:, None] * item_length[None, part] + 1)
@@ -107,13 +140,13 @@ def block_best(asked: np.ndarray, least: np.ndarray, items: np.ndarray, rotation
             sums += turned[:, a:b] @ turned_items[part, a:b].T
             rest = _lengths(turned[:, b:])[:, None] * _lengths(turned_items[part, b:])[None, :]
             alive &= sums + rest + slack >= least[:, None]
-        if alive.mean() > 0.2:
+        if bound < 2 ** 53 and alive.mean() > 0.2:
             scores = asked @ items[part].T
             query, item = np.nonzero(alive & (scores >= least[:, None]))
-            found = scores[query, item]
+            found = scores[query, item].astype(np.int64)
         else:
             query, item = np.nonzero(alive)
-            found = np.einsum("nd,nd->n", asked[query], items[part][item])
+            found = exact_products(asked, items[part], query, item, bound)
             reach = found >= least[query]
             query, item, found = query[reach], item[reach], found[reach]
         query, item, found = (np.concatenate([old, new]) for old, new in
@@ -123,7 +156,7 @@ def block_best(asked: np.ndarray, least: np.ndarray, items: np.ndarray, rotation
         starts = np.searchsorted(query, np.arange(len(asked)))
         rank = np.arange(len(query)) - starts[query]
         at = rank == keep - 1
-        least[query[at]] = np.maximum(least[query[at]], found[at])
+        least[query[at]] = np.maximum(least[query[at]], _below(found[at]))
         stay = found >= least[query]  # ties stay: their order is by id
         pool = query[stay], item[stay], found[stay]
     return pool
@@ -154,7 +187,12 @@ def top_products(df: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE
     """(query_id, rank, vec_id, score) for the rows of ``df`` (vec_id, embedding) whose id is
     divisible by ``every``: the ``k`` other rows of the largest inner product, where a component x
     counts as floor(scale * x). Vectors of each length are searched on their own."""
-    return by_length(valid_vectors(df, lambda x: F.floor(x * scale), zeros=True), every,
+    def scaled(x: Column) -> Column:
+        # Doubles from 2^52 on are whole, and may be beyond the range of floor().
+        return F.when(F.abs(x * scale) < 2.0 ** 52, F.floor(x * scale).cast("double")) \
+            .otherwise(x * scale)
+
+    return by_length(valid_vectors(df, scaled, zeros=True), every,
                      lambda rows: _top_products(rows, k, every))
 
 
@@ -167,7 +205,7 @@ def _top_products(rows: DataFrame, k: int, every: int) -> DataFrame:
     sample = of.where(F.pmod(F.xxhash64(F.lit("topk"), "id"), F.lit(1 << 30))
                       <= int(share * (1 << 30))).select("vec").collect()
     if not sample:
-        return answers(asked, of.sparkSession.createDataFrame([], FOUND), k)
+        return answers(asked, of.sparkSession.createDataFrame([], FOUND_EXACT), k)
     vectors = np.array([r.vec for r in sample])
     rotation = np.linalg.eigh(vectors.T @ vectors)[1][:, ::-1].copy()
 
@@ -196,7 +234,7 @@ def _top_products(rows: DataFrame, k: int, every: int) -> DataFrame:
 
     def compared(pairs: DataFrame) -> DataFrame:
         return stage(merge(pairs.select("id", "least", "vecs", "ids", "items").mapInArrow(
-            _compare(rotation, keep), FOUND), keep), "topk-found")
+            _compare(rotation, keep), FOUND_EXACT), keep, FOUND_EXACT), "topk-found")
 
     first = [(r.part, r.seq) for r in
              items.select("part", "seq").orderBy("part", "seq").limit(FIRST_BLOCKS).collect()]
@@ -205,9 +243,12 @@ def _top_products(rows: DataFrame, k: int, every: int) -> DataFrame:
     begun = compared(start.select("id", "least", "vecs", F.explode(places).alias("to"))
                      .select("id", "least", "vecs", "to.*").join(
                          items.select("part", "seq", "ids", "items"), ["part", "seq"]))
+    # Lowered by more than the cast may have raised it; below 2^53 the cast is exact.
+    worst = F.get("scores", F.lit(keep - 1)).cast("double")
+    lowered = F.when(F.abs(worst) < 2.0 ** 53, worst) \
+        .when(worst > -2.0 ** 63, worst - F.abs(worst) * 2.0 ** -50)
     known = unique.join(begun.select(F.col("query").alias("id"), "scores"), "id", "left") \
-        .withColumn("least", F.coalesce(F.get("scores", F.lit(keep - 1)),
-                                        F.lit(float("-inf")))).drop("scores")
+        .withColumn("least", F.coalesce(lowered, F.lit(float("-inf")))).drop("scores")
     later = packed(known)
     heads = items.select("part", "seq", "high").where(~F.struct("part", "seq").isin(
         *[F.struct(F.lit(p), F.lit(s)) for p, s in first]))
@@ -217,4 +258,4 @@ def _top_products(rows: DataFrame, k: int, every: int) -> DataFrame:
         .where(F.col("high") * (1 + 1e-9) >= F.col("need")).select("name", "part", "seq")
     loaded = pairs.join(later.select("name", "id", "least", "vecs"), "name") \
                   .join(items.select("part", "seq", "ids", "items"), ["part", "seq"])
-    return answers(asked, merge(begun.unionAll(compared(loaded)), keep), k)
+    return answers(asked, merge(begun.unionAll(compared(loaded)), keep, FOUND_EXACT), k)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import rows_per_partition, stage
 
 FOUND = "query long, ids array<long>, scores array<double>"
+FOUND_EXACT = "query long, ids array<long>, scores array<long>"
 
 
 def valid_vectors(df: DataFrame, change: Callable[[Column], Column], zeros: bool) -> DataFrame:
@@ -77,16 +78,19 @@ def best_rows(scores: np.ndarray, members: Sequence[np.ndarray], keep: int
 
 def found_batch(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     query, ids, scores = zip(*rows)
+    kind = pa.int64() if scores[0].dtype == np.int64 else pa.float64()
     return pa.RecordBatch.from_arrays(
         [pa.array(query, pa.int64()), pa.array(ids, pa.list_(pa.int64())),
-         pa.array(scores, pa.list_(pa.float64()))], ["query", "ids", "scores"])
+         pa.array(scores, pa.list_(kind))], ["query", "ids", "scores"])
 
 
-def merge(found: DataFrame, keep: int) -> DataFrame:
+def merge(found: DataFrame, keep: int, schema: str = FOUND) -> DataFrame:
     """One row per query with the ``keep`` best of its partial results, without repeats. A query's
     rows come one after another, so only its best so far are held."""
+    none = np.empty(0, np.int64 if schema == FOUND_EXACT else np.float64)
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, ids, scores, out = None, np.empty(0, np.int64), np.empty(0), []
+        last, ids, scores, out = None, np.empty(0, np.int64), none, []
         for batch in batches:
             for query, new, values in zip(batch.column(0).to_pylist(), batch.column(1),
                                           batch.column(2)):
@@ -94,7 +98,7 @@ def merge(found: DataFrame, keep: int) -> DataFrame:
                 if query != last:
                     if last is not None:
                         out.append((last, ids, scores))
-                    last, ids, scores = query, np.empty(0, np.int64), np.empty(0)
+                    last, ids, scores = query, np.empty(0, np.int64), none
                 ids, scores = np.concatenate([ids, new]), np.concatenate([scores, values])
                 order = np.lexsort((ids, -scores))
                 ids, scores = ids[order], scores[order]
@@ -107,7 +111,7 @@ def merge(found: DataFrame, keep: int) -> DataFrame:
             yield found_batch([(last, ids, scores)])
 
     n = rows_per_partition(found, 0, 1)
-    return found.repartition(n, "query").sortWithinPartitions("query").mapInArrow(walk, FOUND)
+    return found.repartition(n, "query").sortWithinPartitions("query").mapInArrow(walk, schema)
 
 
 def answers(asked: DataFrame, best: DataFrame, k: int) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 
 from assay.llm.ann import nearest, perturbations
 from assay.llm.queries import QUERIES
-from assay.llm.topk import block_best, top_products
+from assay.llm.topk import WIDEST, block_best, top_products
 
 FOLDER = "/root/testdata/sf0.01"
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, score double"
@@ -72,9 +72,22 @@ def test_each_length_is_a_search_of_its_own(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
-def test_long_vectors_are_refused(spark):
-    with pytest.raises(Exception, match="2\\^53"):
-        top_products(frame(spark, [(20, [1e9, 1.0]), (21, [1e9, 2.0])])).collect()
+@pytest.mark.parametrize("most", [4, 7, 9, 37])
+def test_products_of_long_vectors_are_exact(spark, most):
+    """Lengths that multiply to over 2^53, 2^62 and 2^63, mixed with short ones."""
+    rng = np.random.default_rng(most)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** rng.uniform(0, most)).astype(np.float32).tolist())
+            for i in range(200)]
+    rows += [(i, rows[i - 200][1]) for i in range(200, 230)]
+    rows += [(300, [3e38 if most > 9 else 1.0] * 6), (301, [0.0] * 6)]
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    want = {}
+    for i, q in whole:
+        if i % 20 == 0:
+            scores = [(max(-WIDEST, min(WIDEST, sum(a * b for a, b in zip(q, v)))), j)
+                      for j, v in whole if j != i]
+            want[i] = [(j, s) for s, j in sorted(scores, key=lambda x: (-x[0], x[1]))[:20]]
+    assert found(top_products(frame(spark, rows))) == want
 
 
 def test_lengths_prune_nothing_that_counts():
