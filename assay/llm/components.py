@@ -16,17 +16,20 @@ def components(edges: DataFrame) -> DataFrame:
     """(u, v) pairs to (u, v) with v the smallest node that u reaches, for every u but that node.
 
     Large-star and small-star steps by turns until nothing changes. Every step is a minimum per
-    node, which is pre-aggregated, and a join with it, so a node with very many neighbours is
-    neither collected nor held in one task. Each round is a written table.
+    node, which is pre-aggregated and written, and a join with that table: adaptive execution can
+    split the join of a node with very many neighbours, as it could not below the aggregate itself.
+    Each round is a written table. Edges with a null end and loops are no links, repeated edges are
+    one, and no edges give no rows.
     """
     edges = stage(edges.where("u <> v").distinct(), "edges")
     seen = None
     while True:
         both = _turned(edges)
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        least = stage(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "edges-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"),
                                                             F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stage(large, "edges-large")
+        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "edges-low")
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))

@@ -7,19 +7,24 @@ files by their Content-Length, checks every payload against its digest, and keep
 headers apart from payloads; joins on the digest give the original records back.
 
 In writing, payloads never move by digest, where a hot one would gather: pages are shuffled by
-``page_id``, and only (id, digest) pairs meet per digest. In reading, a payload moves once per part
-of its revisits.
+``page_id``, and only ids, urls and digests meet per digest. The first page of each digest is a
+written table, so that adaptive execution can split the revisits of a hot one over several tasks and
+files. In reading, a payload moves once per part of its revisits.
 
 Null html is an empty payload, a null url leaves its header out, and line ends in a url are
 percent-encoded. Rows with a null ``page_id`` are responses that nobody refers to. Repeated rows of
-the smallest page are all responses. An archive of no pages has no records.
+the smallest page are all responses. An archive of no pages has no records. Long payloads are kept
+whole; one record must fit in a task. Other columns of ``pages``, whatever they are called, are not
+looked at.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 from collections.abc import Iterator
+from gzip import GzipFile
+from io import BufferedReader, BytesIO
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +37,7 @@ MIN_SHARED_BYTES = 100
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of their own
 END = "\r\n"
 BATCH_BYTES = 8 << 20
+FILE_RECORDS = 20_000
 MAX_HOT = 4096  # digests that are dealt to parts
 LEAST_HOT = 256  # revisits in a part, at least
 
@@ -59,8 +65,8 @@ def write_archive(pages: DataFrame, folder: str, min_shared: int = MIN_SHARED_BY
                  .withColumns({"digest": F.sha2("payload", 256),
                                "bytes": F.octet_length("payload").cast("bigint")})
     named = whole.select("page_id", "url", "digest", "bytes")
-    firsts = named.where((F.col("bytes") >= min_shared) & F.col("page_id").isNotNull()) \
-                  .groupBy("digest").agg(F.min("page_id").alias("first"))
+    firsts = stage(named.where((F.col("bytes") >= min_shared) & F.col("page_id").isNotNull())
+                   .groupBy("digest").agg(F.min("page_id").alias("first")), "warc-firsts")
     stored = firsts.select(F.col("first").alias("kept"), F.col("digest").alias("kept_digest"))
     responses = whole.join(
         stored, (F.col("page_id") == F.col("kept")) & (F.col("digest") == F.col("kept_digest")),
@@ -75,22 +81,24 @@ def write_archive(pages: DataFrame, folder: str, min_shared: int = MIN_SHARED_BY
         revisits.select(F.concat(
             _header(F.lit("revisit"), F.col("page_id"), F.col("url"), F.col("digest"),
                     F.lit(0), F.col("first")), F.lit(END + END)).alias("value")))
-    records.write.option("lineSep", END + END).option("compression", "gzip").text(folder)
-
-
-def _records(data: bytes) -> Iterator[tuple]:
-    """The records of one WARC file: the columns of RECORD and the payload."""
-    at = 0
-    while at < len(data):
-        head_end = data.index(b"\r\n\r\n", at)
-        header = data[at:head_end].decode()
+    records.write.option("lineSep", END + END).option("compression", "gzip") \
+           .option("maxRecordsPerFile", FILE_RECORDS).text(folder)
+
+
+def _records(stream: BinaryIO) -> Iterator[tuple]:
+    """The records of one WARC file, read one by one: the columns of RECORD and the payload."""
+    while line := stream.readline():
+        lines = []
+        while line != b"\r\n":
+            if not line:
+                raise ValueError("a WARC file ends within a header")
+            lines.append(line)
+            line = stream.readline()
+        header = b"".join(lines).decode().removesuffix(END)
         fields = dict(line.split(": ", 1) for line in header.split(END)[1:])
-        start = head_end + 4
-        at = start + int(fields["Content-Length"])
-        payload = data[start:at]
-        if data[at:at + 4] != b"\r\n\r\n":
+        payload = stream.read(int(fields["Content-Length"]))
+        if stream.read(4) != b"\r\n\r\n":
             raise ValueError("a WARC record is longer or shorter than its Content-Length")
-        at += 4
         kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha256:")
         if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
             raise ValueError(f"the payload of {fields['WARC-Record-ID']} does not fit its digest")
@@ -106,8 +114,8 @@ def _records(data: bytes) -> Iterator[tuple]:
 def parse_archive(spark: SparkSession, folder: str, payloads: bool) -> DataFrame:
     """Every record of the archive: the columns of RECORD, and ``payload`` if asked for.
 
-    Files are read whole; a file holds what one task wrote, which adaptive execution keeps near
-    its advisory size.
+    A file holds at most FILE_RECORDS records of what one task wrote. Its compressed bytes are read
+    whole and unpacked record by record.
     """
     width = 7 if payloads else 6
     schema = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()),
@@ -119,7 +127,7 @@ def parse_archive(spark: SparkSession, folder: str, payloads: bool) -> DataFrame
         rows, size = [], 0
         for batch in batches:
             for content in batch.column("content"):
-                for record in _records(gzip.decompress(content.as_py())):
+                for record in _records(BufferedReader(GzipFile(fileobj=BytesIO(content.as_py())))):
                     rows.append(record[:width])
                     size += len(record[6]) + len(record[5])
                     if size > BATCH_BYTES:

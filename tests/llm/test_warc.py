@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import io
 from pathlib import Path
 
 import pytest
@@ -54,9 +55,11 @@ def test_empty_and_damaged(spark):
     head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\n" \
            f"WARC-Payload-Digest: sha256:{'0' * 64}\r\nContent-Length: 1\r\n\r\n"
     with pytest.raises(ValueError, match="digest"):
-        list(warc._records((head + "x\r\n\r\n").encode()))
+        list(warc._records(io.BytesIO((head + "x\r\n\r\n").encode())))
     with pytest.raises(ValueError, match="Content-Length"):
-        list(warc._records((head + "xy\r\n\r\n").encode()))
+        list(warc._records(io.BytesIO((head + "xy\r\n\r\n").encode())))
+    with pytest.raises(ValueError, match="within a header"):
+        list(warc._records(io.BytesIO(head[:40].encode())))
 
 
 @pytest.mark.parametrize("least_hot", [1, 7, 256])
@@ -78,3 +81,30 @@ def test_a_missing_payload_is_an_error(spark):
     with pytest.raises(Exception, match="no response holds the payload"):
         warc.rebuild(spark, folder, headers.withColumn(
             "payload_digest", F.lit("0" * 64))).collect()
+
+
+def test_a_hot_digest_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_RECORDS", 300)
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        pages = spark.range(0, 4_000, 1, 8).select(
+            F.col("id").alias("page_id"), F.format_string("http://host/%d", "id").alias("url"),
+            F.when(F.col("id") % 2 == 0, F.lit(LONG)).otherwise(
+                F.concat(F.lit("y" * 100), F.col("id").cast("string"))).alias("html"))
+        folder, records = warc.archive_pages(pages)
+        assert records.groupBy("record_type").count().orderBy("record_type").collect() == [
+            ("response", 2_001), ("revisit", 1_999)]
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    counts = [gzip.decompress(p.read_bytes()).count(b"WARC-Type: ")
+              for p in Path(folder).glob("*.gz")]
+    tasks = {p.name.split("-")[1] for p in Path(folder).glob("*.gz")
+             if b"WARC-Type: revisit" in gzip.decompress(p.read_bytes())}
+    assert sum(counts) == 4_000 and max(counts) <= 300 \
+        and len(tasks) > 1
