@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import values as v
 from ..functions.columns import clean_numeric, fill_defaults, threshold_band, whole_share
 from ..functions.features import churn_features
-from ..session import stage
+from ..session import new_folder, stage
 from .preparation import CategoryIndexer, CategoryIndexerModel, MedianImputer
 from .ranks import _match, rank_auc, totals_before
 
@@ -112,7 +112,14 @@ def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CH
             LogisticRegression(featuresCol="features", labelCol=label, maxIter=400, tol=1e-11,
                                regParam=1e-4, elasticNetParam=0.0, standardization=False),
         ]
-    return PipelineModel([*prepared.stages, *Pipeline(stages=last).fit(ready).stages])
+    fitted = Pipeline(stages=last).fit(ready)
+    if algo == "logistic":
+        # A fresh logistic model keeps its training summary, and with it the session, which tasks
+        # cannot be sent once anything was observed in it. A loaded model has its weights alone.
+        path = new_folder(train.sparkSession, "fitted")
+        save_model(fitted, path)
+        fitted = load_model(path)
+    return PipelineModel([*prepared.stages, *fitted.stages])
 
 
 def fit_baseline(train: DataFrame, label: str = v.CHURN_LABEL) -> PipelineModel:

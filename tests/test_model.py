@@ -1,8 +1,10 @@
 import pytest
 from pyspark.ml.feature import OneHotEncoder
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from assay.functions import values as v
+from assay.functions.features import churn_features
 from assay.operators import model as m
 from assay.operators import preparation as prep
 from assay.session import new_folder, stage
@@ -177,3 +179,15 @@ def test_permuting_a_feature_that_counts_costs_auc(spark):
         "s").collect()}
     assert got["good"].auc == got["noise"].auc == 1.0
     assert got["noise"].drop == 0.0 and 0.35 < got["good"].drop < 0.65
+
+
+def test_logistic_model_scores_in_a_session_that_observed(spark, rows_):
+    """A watched write gives the session an observation manager, which no task can be sent."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).write.parquet(
+        new_folder(spark, "observed"))
+    assert seen.get == {"n": 3}
+    labelled = m.split_labelled(rows_)[0]
+    model = m.fit_baseline(labelled.filter("split = 'train'"))
+    scored = stage(m.score(model, churn_features(labelled)), "scored")
+    assert scored.count() == labelled.count()
