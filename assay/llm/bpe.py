@@ -242,75 +242,92 @@ def _offsets(counts: np.ndarray) -> np.ndarray:
     return np.cumsum(counts, dtype=np.int64) - counts
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
-    """(doc_id, ids) for each row of ``docs``: the ids as little-endian unsigned 32-bit integers."""
+def _coded(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """Blocks with the ids of their words: ``doc_ids``, ``sizes``, ``codes``, ``deal`` and, for each
+    task to which words went, their ``ids``."""
     stored = blocks(docs, pattern)
     words = stored.select("block", F.posexplode("words").alias("part", "words")) \
                   .where("words IS NOT NULL")
     back = encode_words(words, ranks).groupBy("block").agg(
         F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("parts"))
-    joined = stored.drop("words").join(back, "block", "left").select(
+    return stored.drop("words").join(back, "block", "left").select(
         "doc_ids", "sizes", "codes", "deal", "parts.ids")
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_ids, sizes, codes, deal, parts in zip(*batch.columns):
-                found = [_unpack(p) for p in parts.as_py() or []]
-                dealt = np.concatenate([np.empty(0, np.uint32),
-                                        *[f[1:1 + f[0]] for f in found]]).astype(np.int64)
-                flat = np.concatenate([np.empty(0, np.uint32), *[f[1 + f[0]:] for f in found]])
-                place = np.argsort(_unpack(deal.as_py()), kind="stable")
-                counts, starts = np.empty_like(dealt), np.empty_like(dealt)
-                counts[place], starts[place] = dealt, _offsets(dealt)
-                codes, at, done, rows, held = _unpack(codes.as_py()), 0, 0, [], 0
-                for n in sizes.as_py():
-                    own = codes[at:at + n]
-                    at += n
-                    rows.append(_gather(starts[own], counts[own], flat).astype("<u4").tobytes())
-                    held += len(rows[-1])
-                    if held > BATCH_BYTES:
-                        yield pa.RecordBatch.from_arrays(
-                            [doc_ids.values.slice(done, len(rows)), pa.array(rows, pa.binary())],
-                            ["doc_id", "ids"])
-                        done, rows, held = done + len(rows), [], 0
-                if rows:
+
+def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Coded blocks to (doc_id, ids)."""
+    for batch in batches:
+        for doc_ids, sizes, codes, deal, parts in zip(*batch.columns):
+            found = [_unpack(p) for p in parts.as_py() or []]
+            dealt = np.concatenate([np.empty(0, np.uint32),
+                                    *[f[1:1 + f[0]] for f in found]]).astype(np.int64)
+            flat = np.concatenate([np.empty(0, np.uint32), *[f[1 + f[0]:] for f in found]])
+            place = np.argsort(_unpack(deal.as_py()), kind="stable")
+            counts, starts = np.empty_like(dealt), np.empty_like(dealt)
+            counts[place], starts[place] = dealt, _offsets(dealt)
+            codes, at, done, rows, held = _unpack(codes.as_py()), 0, 0, [], 0
+            for n in sizes.as_py():
+                own = codes[at:at + n]
+                at += n
+                rows.append(_gather(starts[own], counts[own], flat).astype("<u4").tobytes())
+                held += len(rows[-1])
+                if held > BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays(
                         [doc_ids.values.slice(done, len(rows)), pa.array(rows, pa.binary())],
                         ["doc_id", "ids"])
+                    done, rows, held = done + len(rows), [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [doc_ids.values.slice(done, len(rows)), pa.array(rows, pa.binary())],
+                    ["doc_id", "ids"])
+
+
+def _decode(batches: Iterator[pa.RecordBatch], ranks: bytes) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids) with the bytes of the ids."""
+    table = sorted((rank, token) for token, rank in parse_ranks(ranks).items())
+    lengths = np.zeros(table[-1][0] + 1 if table else 0, np.int64)
+    lengths[[rank for rank, _ in table]] = [len(token) for _, token in table]
+    flat = np.frombuffer(b"".join(token for _, token in table), np.uint8)
+    starts = _offsets(lengths)
+    for batch in batches:
+        begin, held, rows = 0, 0, []
+        for ids in batch.column(1):
+            ids = np.frombuffer(ids.as_buffer(), "<u4")
+            rows.append(b"".join(
+                _gather(starts[part], lengths[part], flat).tobytes()
+                for part in (ids[i:i + PIECE_CHARS] for i in range(0, len(ids), PIECE_CHARS))))
+            held += 5 * len(rows[-1])
+            if held > BATCH_BYTES or begin + len(rows) == batch.num_rows:
+                part = batch.slice(begin, len(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(rows, pa.binary())],
+                    ["doc_id", "ids", "decoded"])
+                begin, held, rows = begin + len(rows), 0, []
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(assemble, f"doc_id {kind}, ids binary")
+
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
+
+
+def encode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """(doc_id, ids) for each row of ``docs``: the ids as little-endian unsigned 32-bit integers."""
+    return _coded(docs, ranks, pattern).mapInArrow(_assemble, f"doc_id {_kind(docs)}, ids binary")
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     """(doc_id, ids) with ``decoded``, the bytes of the ids one after another."""
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sorted((rank, token) for token, rank in parse_ranks(ranks).items())
-        lengths = np.zeros(table[-1][0] + 1 if table else 0, np.int64)
-        lengths[[rank for rank, _ in table]] = [len(token) for _, token in table]
-        flat = np.frombuffer(b"".join(token for _, token in table), np.uint8)
-        starts = _offsets(lengths)
-        for batch in batches:
-            begin, held, rows = 0, 0, []
-            for ids in batch.column(1):
-                ids = np.frombuffer(ids.as_buffer(), "<u4")
-                rows.append(b"".join(
-                    _gather(starts[part], lengths[part], flat).tobytes()
-                    for part in (ids[i:i + PIECE_CHARS] for i in range(0, len(ids), PIECE_CHARS))))
-                held += 5 * len(rows[-1])
-                if held > BATCH_BYTES or begin + len(rows) == batch.num_rows:
-                    part = batch.slice(begin, len(rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), pa.array(rows, pa.binary())],
-                        ["doc_id", "ids", "decoded"])
-                    begin, held, rows = begin + len(rows), 0, []
-
-    kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(
-        join, f"doc_id {kind}, ids binary, decoded binary")
+        lambda batches: _decode(batches, ranks),
+        f"doc_id {_kind(encoded)}, ids binary, decoded binary")
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids, decoded) for each row of ``docs``."""
+    """(doc_id, ids, decoded) for each row of ``docs``.
+
+    ``encode`` and ``decode`` in one: the tasks that put the ids together decode them too. A step of
+    its own would hold a second Python worker, and its batches in the JVM, for every running task.
+    """
     ranks = read_ranks(ranks_path)
-    return decode(encode(docs, ranks, pattern), ranks)
+    return _coded(docs, ranks, pattern).mapInArrow(
+        lambda batches: _decode(_assemble(batches), ranks),
+        f"doc_id {_kind(docs)}, ids binary, decoded binary")

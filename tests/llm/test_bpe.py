@@ -53,3 +53,13 @@ def test_odd_texts(spark, library, monkeypatch):
     assert sorted((str(r.doc_id), tuple(np.frombuffer(r.ids, "<u4").tolist()), bytes(r.decoded))
                   for r in got) == want
     assert bpe.round_trip(docs.limit(0), PATH, P.PATTERN).count() == 0
+    ranks = bpe.read_ranks(PATH)
+    steps = bpe.decode(bpe.encode(docs, ranks, P.PATTERN), ranks).collect()
+    assert sorted(map(repr, steps)) == sorted(map(repr, got))
+
+
+def test_ids_are_decoded_where_they_are_put_together(spark):
+    """One Python step after the join, so a running task holds one worker."""
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = bpe.round_trip(docs, PATH, P.PATTERN)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[:plan.index("Join")].count("MapInArrow") == 1
