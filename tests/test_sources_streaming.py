@@ -334,3 +334,15 @@ def test_stage_round_trip(spark):
     staged = session.stage(df, "staged")
     assert rows(staged) == rows(df) and staged.schema == df.schema
     assert all(session.work_root(spark) in f for f in staged.inputFiles())
+
+
+def test_stream_dedupe_state_keeps_no_paths(spark, tmp_path):
+    progress = str(tmp_path / "progress")
+    landing.export_source(bronze(spark, "card_transactions", {}), str(tmp_path / "land"),
+                          "card_transactions")
+    ingest.stream_dedupe(
+        spark, str(tmp_path / "land" / "card_transactions"),
+        landing.landing_schema("card_transactions"), "txn_id", str(tmp_path / "out"), progress)
+    kept = [dict(spark.read.format("statestore").option("operatorId", n).load(progress)
+                 .select("key.*").dtypes) for n in (0, 1)]
+    assert sorted(kept, key=len) == [{"txn_id": "string"}, {"txn_id": "string", "_files": "int"}]
