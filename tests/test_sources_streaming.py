@@ -346,3 +346,24 @@ def test_stream_dedupe_state_keeps_no_paths(spark, tmp_path):
     kept = [dict(spark.read.format("statestore").option("operatorId", n).load(progress)
                  .select("key.*").dtypes) for n in (0, 1)]
     assert sorted(kept, key=len) == [{"txn_id": "string"}, {"txn_id": "string", "_files": "int"}]
+
+
+def test_buckets_of_first_rows_follow_the_shuffle_width(spark, tmp_path):
+    landing.export_source(bronze(spark, "card_transactions", *[
+        dict(txn_id=f"T{i}") for i in range(40)]), str(tmp_path / "land"), "card_transactions")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.sql("DROP TABLE IF EXISTS assay_test_width")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        got = ingest.stream_first(
+            spark, str(tmp_path / "land" / "card_transactions"),
+            landing.landing_schema("card_transactions"), "txn_id", "txn_ts", "assay_test_width",
+            str(tmp_path / "t"), str(tmp_path / "p"))
+        told = {r.col_name: r.data_type for r in spark.sql(
+            "DESCRIBE FORMATTED assay_test_width").collect()}
+        assert told["Num Buckets"] == "13" and got.count() == 40
+        # Each task of the batch wrote into one bucket.
+        assert len(list((tmp_path / "t").glob("*.parquet"))) <= 13
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sql("DROP TABLE IF EXISTS assay_test_width")
