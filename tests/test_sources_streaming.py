@@ -367,3 +367,12 @@ def test_buckets_of_first_rows_follow_the_shuffle_width(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.sql("DROP TABLE IF EXISTS assay_test_width")
+
+
+def test_tables_are_written_with_zstd(spark, tmp_path):
+    df = spark.createDataFrame([(1, True), (2, False)], "n int, good boolean")
+    database = tables.create_database(spark, "assay_test_zstd", str(tmp_path / "db"))
+    tables.write_table(df, "assay_test_zstd.plain")
+    tables.write_split(df, "assay_test_zstd.parts", str(tmp_path / "parts"), F.col("good"), ["n"])
+    files = [*(tmp_path / "db").rglob("*.parquet"), *(tmp_path / "parts").rglob("*.parquet")]
+    assert database and files and all(f.name.endswith(".zstd.parquet") for f in files)
