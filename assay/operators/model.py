@@ -19,6 +19,10 @@ from .preparation import CategoryIndexer, CategoryIndexerModel, MedianImputer
 from .ranks import _match, rank_auc, totals_before
 
 
+ROWS_TO_SPLIT = 20_000
+ROWS_PER_PIECE = 1_000_000
+
+
 def feature_table(df: DataFrame, numeric: Sequence[str] = v.CHURN_NUMERIC,
                   categorical: Sequence[str] = v.CHURN_CATEGORICAL,
                   label: str = v.CHURN_LABEL, key: str = "customer_id") -> DataFrame:
@@ -74,6 +78,12 @@ def _check_classes(train: DataFrame, label: str) -> None:
         raise ValueError("the label has fewer than two classes")
 
 
+def fit_pieces(rows: int, cores: int) -> int:
+    """In how many pieces a fit reads its rows. It has hundreds of passes: each shall keep all cores
+    busy, but not with tasks of a few rows, and no piece shall outgrow a task."""
+    return max(1, min(cores, -(-rows // ROWS_TO_SPLIT)), -(-rows // ROWS_PER_PIECE))
+
+
 def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CHURN_NUMERIC,
               categorical: Sequence[str] = v.CHURN_CATEGORICAL, label: str = v.CHURN_LABEL,
               trees: int = 100, seed: int = 42) -> PipelineModel:
@@ -98,9 +108,10 @@ def fit_churn(train: DataFrame, algo: str = "gbt", numeric: Sequence[str] = v.CH
         assembled = assembled + [f"{c}_hot" for c in categorical]
     steps.append(VectorAssembler(inputCols=assembled, outputCol="raw_features"))
     prepared = Pipeline(stages=steps).fit(train)
-    # The joins of the preparation run once, and every pass of the fit reads what they left, in
-    # pieces of the advised size: a fit has hundreds of passes, and small pieces slow each down.
-    ready = stage(prepared.transform(train).select(label, "raw_features").hint("rebalance"),
+    # The joins of the preparation run once, and every pass of the fit reads what they left.
+    vectors = prepared.transform(train).select(label, "raw_features")
+    pieces = fit_pieces(train.count(), train.sparkSession.sparkContext.defaultParallelism)
+    ready = stage(vectors.repartition(pieces) if pieces > 1 else vectors.hint("rebalance"),
                   "prepared")
     if algo == "gbt":
         last = [GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=trees,

@@ -181,6 +181,20 @@ def test_permuting_a_feature_that_counts_costs_auc(spark):
     assert got["noise"].drop == 0.0 and 0.35 < got["good"].drop < 0.65
 
 
+def test_fit_reads_as_many_pieces_as_cores(spark, monkeypatch):
+    assert [m.fit_pieces(n, 12) for n in (0, 1, 20_000, 20_001, 200_000, 900_000, 30_000_000)] \
+        == [1, 1, 1, 2, 10, 12, 30]
+    written = []
+    monkeypatch.setattr(m, "ROWS_TO_SPLIT", 100)
+    monkeypatch.setattr(m, "stage", lambda df, name: written.append(stage(df, name)) or written[-1])
+    rows = spark.range(900).select(
+        F.col("id").cast("string").alias("customer_id"), F.rand(1).alias("x"),
+        (F.col("id") % 2).cast("int").alias("attrition_flag"))
+    m.fit_churn(stage(rows, "pieces"), "logistic", ["x"], ())
+    counts = [r["count"] for r in written[0].groupBy(F.input_file_name()).count().collect()]
+    assert len(counts) == spark.sparkContext.defaultParallelism == 4 and max(counts) < 300
+
+
 def test_logistic_model_scores_in_a_session_that_observed(spark, rows_):
     """A watched write gives the session an observation manager, which no task can be sent."""
     seen = Observation()
